@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="clickflow-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="clickflow-tests", shuffle_partitions=4,
+                      extra={"spark.driver.memory": "4g"})
     # tests set their own checkpoint folder only where the cluster names none
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickflow-test-"))
