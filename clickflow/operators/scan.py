@@ -31,9 +31,21 @@ KINDS = ("sum", "max", "min", "first")
 DEFAULT_BLOCK = 1 << 16
 
 
-def block_of(order_col: str | Column, size: int = DEFAULT_BLOCK) -> Column:
+def block_of(order_col: str | Column, size: int | Column = DEFAULT_BLOCK) -> Column:
     c = F.col(order_col) if isinstance(order_col, str) else order_col
-    return F.floor(c / F.lit(size)).cast("long")
+    s = size if isinstance(size, Column) else F.lit(size)
+    return F.floor(c / s).cast("long")
+
+
+def adaptive_block(df: DataFrame, order_col: str, floor: int = 4096) -> Column:
+    """Block expression whose width follows the data: ``sqrt(range)`` of the
+    order column, at least ``floor``.  With a unique order column a block then
+    holds at most ~sqrt(N) rows and a key spans at most ~sqrt(N) blocks, so
+    both windows of the scan stay near sqrt(N) rows per task, whatever the
+    skew.  The range is one scalar subquery (a min/max over one column)."""
+    rng = df.agg((F.max(order_col) - F.min(order_col) + F.lit(1)).alias("r")).scalar()
+    width = F.greatest(F.lit(floor).cast("double"), F.ceil(F.sqrt(rng.cast("double"))).cast("double"))
+    return block_of(order_col, width)
 
 
 def _local(kind: str, expr: Column) -> Column:
@@ -54,8 +66,11 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
     # keys packed in one struct: struct equality treats null fields as equal,
     # so null keys form their own group and survive the equi-join below
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    d = df.withColumn("_key", key).withColumn("_blk", block)
     part = ["_key", "_blk"]
+    # The input is read twice: once shuffled whole on (key, block) for the
+    # local window, once pre-aggregated map-side for the block summaries
+    # (that second shuffle carries one row per (key, block) per map task).
+    d = df.withColumn("_key", key).withColumn("_blk", block)
     ordc = [F.col(c) for c in order]
 
     w_local = (Window.partitionBy(*part).orderBy(*ordc)

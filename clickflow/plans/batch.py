@@ -20,7 +20,7 @@ from clickflow.operators import windows as W
 from clickflow.operators.changelog import changelog_count as _changelog
 from clickflow.operators.combine import co_map_union as _co_map, join_text, keyed_join as _join
 from clickflow.operators.ranking import top_n, report
-from clickflow.operators.scan import block_of, prefix_scan
+from clickflow.operators.scan import adaptive_block, prefix_scan
 from clickflow.operators.timers import periodic_counts, timer_per_event as _timers
 from clickflow.operators.udf import PV_UV, LengthMapper, aggregate_with, map_rich
 from clickflow.plans.registry import CK, register, sql_event_text, sql_java_words, sql_ts_text
@@ -38,12 +38,12 @@ SLIDE_SIZE_MS = 2 * HOUR_MS   # sliding window size (reference: 10 s)
 SLIDE_STEP_MS = HOUR_MS       # sliding step (reference: 5 s)
 REPORT_PERIOD_MS = DAY_MS     # periodic PV report (reference: 10 s)
 TIMER_DELAY_MS = 10_000       # per-event timer delay (reference value)
-SEQ_BLOCK = 4096              # prefix-scan block on seq (rows per block <= this)
-DOC_BLOCK = 64                # prefix-scan block on doc_id for token scans
+SEQ_BLOCK = 4096              # smallest prefix-scan block on seq (grows as sqrt of the seq range)
+DOC_BLOCK = 64                # smallest prefix-scan block on doc_id for token scans
 
 
-def _seq_block():
-    return block_of("seq", SEQ_BLOCK)
+def _seq_block(c: DataFrame):
+    return adaptive_block(c, "seq", SEQ_BLOCK)
 
 
 # ---------------------------------------------------------------- word count
@@ -74,7 +74,8 @@ FROM toks""")
 def word_count_running(spark, sf_dir):
     """A2: running count per word in (doc, line, position) order."""
     t = _tokens(spark, sf_dir)
-    return prefix_scan(t, ["word"], ["doc_id", "line_no", "pos"], block_of("doc_id", DOC_BLOCK),
+    blk = adaptive_block(table(spark, sf_dir, "documents"), "doc_id", DOC_BLOCK)
+    return prefix_scan(t, ["word"], ["doc_id", "line_no", "pos"], blk,
                        {"n": ("sum", F.lit(1).cast("long"))}).select("doc_id", "line_no", "pos", "word", "n")
 
 
@@ -215,7 +216,8 @@ SELECT seq, user_id,
 FROM ck""")
 def max_by_user_running(spark, sf_dir):
     """A3 running: keyBy(user).max(field)."""
-    return A.max_keep_first_running(clicks(spark, sf_dir), block=_seq_block())
+    c = clicks(spark, sf_dir)
+    return A.max_keep_first_running(c, block=_seq_block(c))
 
 
 @register("maxby_user", f"""WITH {CK}
@@ -232,7 +234,8 @@ SELECT seq, user_id, max({{'v': value, 'ns': -seq, 'u': url}}) OVER (PARTITION B
 SELECT seq, user_id, b.u AS url, b.v AS value FROM r""")
 def maxby_user_running(spark, sf_dir):
     """A4 running: keyBy(user).maxBy(field)."""
-    return A.max_by_record_running(clicks(spark, sf_dir), block=_seq_block())
+    c = clicks(spark, sf_dir)
+    return A.max_by_record_running(c, block=_seq_block(c))
 
 
 @register("user_frequency", f"WITH {CK} SELECT user_id, count(*) AS cnt FROM ck GROUP BY user_id")
@@ -245,7 +248,8 @@ def user_frequency(spark, sf_dir):
 SELECT seq, user_id, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS cnt FROM ck""")
 def user_frequency_running(spark, sf_dir):
     """A5 running: the reduce's per-record output."""
-    return A.count_by_key_running(clicks(spark, sf_dir), "user_id", "cnt", _seq_block())
+    c = clicks(spark, sf_dir)
+    return A.count_by_key_running(c, "user_id", "cnt", _seq_block(c))
 
 
 @register("most_active_user", f"""WITH {CK}, c AS (
@@ -263,7 +267,8 @@ m AS (SELECT seq, max({{'c': c, 'q': seq, 'u': user_id}}) OVER (ORDER BY seq
 SELECT seq, b.u AS user_id, b.c AS cnt FROM m""")
 def most_active_user_running(spark, sf_dir):
     """A6 running: global reduce over the running per-user counts."""
-    return A.most_active_running(clicks(spark, sf_dir), "user_id", "cnt", _seq_block())
+    c = clicks(spark, sf_dir)
+    return A.most_active_running(c, "user_id", "cnt", _seq_block(c))
 
 
 @register("sql_count_by_user", f"WITH {CK} SELECT user_id, count(url) AS url_count FROM ck GROUP BY user_id")
@@ -379,7 +384,8 @@ UNION ALL
 SELECT seq, CASE WHEN n > 1 THEN 1 ELSE 0 END AS pos, CASE WHEN n = 1 THEN '+I' ELSE '+U' END AS op, url, n FROM r""")
 def changelog_count(spark, sf_dir):
     """K8: changelog (+I/-U/+U) of an updating COUNT per url."""
-    return _changelog(clicks(spark, sf_dir), "url", _seq_block())
+    c = clicks(spark, sf_dir)
+    return _changelog(c, "url", _seq_block(c))
 
 
 @register("timer_per_event", f"""WITH {CK}, e AS (SELECT max(ms) AS m FROM ck),
