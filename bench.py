@@ -36,7 +36,7 @@ def main() -> None:
     from clickflow.plans import REGISTRY
 
     mem = os.environ.get("BENCH_DRIVER_MEMORY", "12g")
-    spark = build_session(f"local[{cpus}]", app="clickflow-bench", shuffle_partitions=int(cpus) * 2,
+    spark = build_session(f"local[{cpus}]", app="clickflow-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": mem})
 
     def run(name: str) -> float:

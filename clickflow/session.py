@@ -32,9 +32,6 @@ def build_session(master: str | None = None, app: str = "clickflow",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # stateful processors (transformWithState) need the RocksDB store
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.python.unix.domain.socket.enabled": "true",
     }
     if master and master.startswith("local"):

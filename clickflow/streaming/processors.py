@@ -53,26 +53,48 @@ class ChangelogCounter(StatefulProcessor):
 
 
 class TimerPerEvent(StatefulProcessor):
-    """E5: emit each arrival, register an event-time timer at ts + delay, emit
-    a row when it fires.  Timers are a set per key: one per distinct time."""
+    """E5: emit each arrival and fire an event-time timer at ts + delay (one
+    per distinct time and key).
+
+    Pending timer times are kept sorted in one value state and only the
+    earliest is registered with Spark; a firing walks every pending time up to
+    the watermark.  Output equals one registered timer per element, with a
+    handful of state calls per key and batch instead of one per element.
+    """
 
     def __init__(self, delay_ms: int):
         self.delay_ms = delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.pending = handle.getValueState("pending", "times array<long>, armed long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
         ms = pdf["ms"].to_numpy(dtype="int64")
-        for t in np.unique(ms + self.delay_ms):
-            self.handle.registerTimer(int(t))
+        old, armed = (self.pending.get() if self.pending.exists() else ([], None))
+        times = np.union1d(np.asarray(old or [], dtype="int64"), ms + self.delay_ms)
+        first = int(times[0])
+        if armed is None or first < armed:
+            if armed is not None:
+                self.handle.deleteTimer(int(armed))
+            self.handle.registerTimer(first)
+            armed = first
+        self.pending.update((times.tolist(), armed))
         yield pd.DataFrame({"user_id": key[0], "kind": "data", "at_ms": ms})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"user_id": [key[0]], "kind": ["timer"],
-                            "at_ms": [expiredTimerInfo.getExpiryTimeInMs()]})
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        times, _ = self.pending.get()
+        times = np.asarray(times, dtype="int64")
+        due, rest = times[times <= wm], times[times > wm]
+        if len(rest):
+            self.handle.registerTimer(int(rest[0]))
+            self.pending.update((rest.tolist(), int(rest[0])))
+        else:
+            self.pending.clear()
+        yield pd.DataFrame({"user_id": key[0], "kind": "timer", "at_ms": due})
 
     def close(self) -> None:
         pass
@@ -87,7 +109,9 @@ class PeriodicCount(StatefulProcessor):
     include later clicks and only one tick per batch.  Instead each click is
     filed under the first tick at or after it; a firing timer walks every tick
     up to the watermark, emits the running total, drops those ticks and
-    re-arms once.
+    re-arms once.  All of it lives in one value state (pending ticks are
+    those past the watermark, a short array), so each key costs a few state
+    calls per batch.
     """
 
     def __init__(self, period_ms: int):
@@ -95,43 +119,39 @@ class PeriodicCount(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.meta = handle.getValueState("meta", "first long, next long, total long")
-        self.ticks = handle.getMapState("ticks", "tick long", "c long")
+        self.state = handle.getValueState(
+            "state", "first long, next long, total long, ticks array<long>, counts array<long>")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _concat(rows)
-        ms = pdf["ms"].to_numpy(dtype="int64")
-        if self.meta.exists():
-            first, nxt, total = self.meta.get()
+        ms = _concat(rows)["ms"].to_numpy(dtype="int64")
+        if self.state.exists():
+            first, nxt, total, ticks, counts = self.state.get()
         else:
             first = int(ms.min())
-            nxt, total = first + self.period, 0
+            nxt, total, ticks, counts = first + self.period, 0, [], []
             self.handle.registerTimer(nxt)
         k = np.maximum(np.ceil((ms - first) / self.period), 1).astype("int64")
-        ticks, counts = np.unique(first + k * self.period, return_counts=True)
-        for t, c in zip(ticks.tolist(), counts.tolist()):
-            old = self.ticks.getValue((t,))
-            self.ticks.updateValue((t,), ((old[0] if old else 0) + c,))
-        self.meta.update((first, nxt, total))
+        new_t, new_c = np.unique(first + k * self.period, return_counts=True)
+        merged = pd.Series(np.asarray(counts or [], dtype="int64"), index=np.asarray(ticks or [], dtype="int64"))
+        merged = merged.add(pd.Series(new_c.astype("int64"), index=new_t), fill_value=0).sort_index()
+        self.state.update((first, nxt, total, merged.index.astype("int64").tolist(),
+                           merged.to_numpy(dtype="int64").tolist()))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        first, t, total = self.meta.get()
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        first, t, total, ticks, counts = self.state.get()
+        pending = dict(zip(ticks or [], counts or []))
         t = expiredTimerInfo.getExpiryTimeInMs()
         out_t, out_pv = [], []
-        while True:
-            c = self.ticks.getValue((t,))
-            if c:
-                total += c[0]
-                self.ticks.removeKey((t,))
+        while t <= wm:
+            total += pending.pop(t, 0)
             out_t.append(t)
             out_pv.append(total)
             t += self.period
-            if t > wm:
-                break
-        self.meta.update((first, t, total))
+        rest = sorted(pending.items())
+        self.state.update((first, t, total, [a for a, _ in rest], [b for _, b in rest]))
         self.handle.registerTimer(t)
         yield pd.DataFrame({"user_id": key[0], "tick": out_t, "pv": out_pv})
 
