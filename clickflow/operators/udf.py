@@ -96,3 +96,21 @@ PV_UV = PandasAggregate(
     merge={"pv": "sum", "uv": "sum"},
     result=lambda pv, uv: pv.cast("double") / uv,
 )
+
+
+def flatmap_udtf(spark, user_value):
+    """A general flatMap as a Python table function (Arrow-batched),
+    applied with a lateral join.  Same rows as
+    ``transforms.flatmap_conditional``; the column form is the fast path, this
+    is the surface for logic no expression can state."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="pos int, v string", useArrow=True)
+    class ConditionalFlatMap:
+        def eval(self, user, url, ms):
+            u, t = str(user), str(ms)
+            out = [url, t, u, t] if user == user_value else [u, t]
+            for i, v in enumerate(out):
+                yield i, v
+
+    return ConditionalFlatMap

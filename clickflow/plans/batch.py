@@ -22,7 +22,7 @@ from clickflow.operators.combine import co_map_union as _co_map, join_text, keye
 from clickflow.operators.ranking import top_n, report
 from clickflow.operators.scan import adaptive_block, prefix_scan
 from clickflow.operators.timers import periodic_counts, timer_per_event as _timers
-from clickflow.operators.udf import PV_UV, LengthMapper, aggregate_with, map_rich
+from clickflow.operators.udf import PV_UV, LengthMapper, aggregate_with, flatmap_udtf, map_rich
 from clickflow.plans.registry import CK, register, sql_event_text, sql_java_words, sql_ts_text
 from clickflow.schema import DAY_MS, HOUR_MS
 from clickflow.session import scratch_path
@@ -138,6 +138,19 @@ def flatmap_conditional(spark, sf_dir):
     return P.flatmap_conditional(clicks(spark, sf_dir), FILTER_USER)
 
 
+@register("udtf_flatmap_conditional", f"""WITH {CK}, a AS (
+SELECT seq, CASE WHEN user_id = {FILTER_USER}
+  THEN [url, CAST(ms AS VARCHAR), CAST(user_id AS VARCHAR), CAST(ms AS VARCHAR)]
+  ELSE [CAST(user_id AS VARCHAR), CAST(ms AS VARCHAR)] END AS arr FROM ck)
+SELECT seq, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) AS v FROM a""")
+def udtf_flatmap_conditional(spark, sf_dir):
+    """The conditional flatMap as a Python UDTF in a lateral join."""
+    fn = flatmap_udtf(spark, FILTER_USER)
+    c = clicks(spark, sf_dir).select("seq", "user_id", "url", "ms")
+    return c.lateralJoin(fn(F.col("user_id").outer(), F.col("url").outer(), F.col("ms").outer())).select(
+        "seq", "pos", "v")
+
+
 @register("process_conditional", f"""WITH {CK}, a AS (
 SELECT seq, CASE WHEN user_id = {FILTER_USER}
   THEN [CAST(user_id AS VARCHAR) || 'clicks' || url, {sql_event_text()}]

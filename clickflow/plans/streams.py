@@ -120,6 +120,36 @@ def stream_latest_url_per_user(spark, sf_dir):
     return run_available_now(s, "stream_latest_url_per_user", mode="update").last_per_key(["user_id"])
 
 
+@register("stream_max_by_user", _sql("max_by_user"), streaming=True)
+def stream_max_by_user(spark, sf_dir):
+    """A3 on a stream: keyBy(user).max(value) keeping the first record's other
+    fields, update mode (state: one row per user)."""
+    s = A.max_keep_first(click_stream(spark, sf_dir), "user_id", "value", "url")
+    return run_available_now(s, "stream_max_by_user", mode="update").last_per_key(["user_id"])
+
+
+@register("stream_maxby_user", _sql("maxby_user"), streaming=True)
+def stream_maxby_user(spark, sf_dir):
+    """A4 on a stream: keyBy(user).maxBy(value), update mode."""
+    s = A.max_by_record(click_stream(spark, sf_dir))
+    return run_available_now(s, "stream_maxby_user", mode="update").last_per_key(["user_id"])
+
+
+@register("stream_most_active_user", _sql("most_active_user"), streaming=True)
+def stream_most_active_user(spark, sf_dir):
+    """A6 on a stream: per-user counts in update mode; each micro-batch ranks
+    only the users it updated.  Counts never decrease, so the best over all
+    batches' winners is the current most active user (the newer click wins
+    ties); no global state key, no per-row reduce."""
+    per_user = click_stream(spark, sf_dir).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("c"), F.max("seq").alias("q"))
+    best = lambda b: b.agg(F.max(F.struct("c", "q", "user_id")).alias("_b")).select(
+        F.col("_b.user_id").alias("user_id"), F.col("_b.c").alias("cnt"), F.col("_b.q").alias("q"))
+    res = run_available_now(per_user, "stream_most_active_user", mode="update", batch_fn=best)
+    top = res.batches().agg(F.max(F.struct("cnt", "q", "user_id")).alias("_b"))
+    return top.select(F.col("_b.user_id").alias("user_id"), F.col("_b.cnt").alias("cnt"))
+
+
 # ------------------------------------------------------ append-mode windows
 
 @register("stream_url_count_tumbling", _closed_sql("url_count_tumbling"), streaming=True)
