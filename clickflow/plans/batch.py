@@ -208,8 +208,8 @@ def file_sink_roundtrip(spark, sf_dir):
     """K3: write record strings as bucketed, rolled text files; read back."""
     c = clicks(spark, sf_dir)
     out = scratch_path(spark, "files", "roundtrip")
-    write_text_files(c.select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket")), out,
-                     max_records_per_file=100_000)
+    write_text_files(c.select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket"), "ms"), out,
+                     max_records_per_file=100_000, order_col="ms")
     return spark.read.option("basePath", out).text(out).select("value", F.col("bucket").cast("string"))
 
 

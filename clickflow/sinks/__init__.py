@@ -17,9 +17,15 @@ def hour_bucket(ms_col: str = "ms"):
 
 
 def write_text_files(df: DataFrame, path: str, value: str = "value", bucket: str = "bucket",
-                     max_records_per_file: int = 1_000_000) -> None:
+                     max_records_per_file: int = 1_000_000, order_col: str | None = None) -> None:
     """K3 (batch): row-format text files, one folder per bucket, rolled by
-    record count (Spark has no byte-size roll)."""
+    record count (Spark has no byte-size roll).
+
+    With ``order_col`` the rows are range-partitioned on (bucket, order_col)
+    first: each task writes a contiguous slice, so a bucket gets a few files
+    instead of one per task, and a hot bucket is still split over tasks."""
+    if order_col:
+        df = df.repartitionByRange(bucket, order_col)
     (df.select(F.col(value).alias("value"), bucket).write.mode("overwrite")
      .partitionBy(bucket).option("maxRecordsPerFile", str(max_records_per_file)).text(path))
 
