@@ -17,7 +17,10 @@ def java_split(col: Column, sep: str) -> Column:
     from the input first.
     """
     esc = re.escape(sep)
-    stripped = F.regexp_replace(col, f"(?:{esc})+$", "")
+    if len(sep) == 1:
+        stripped = F.rtrim(col, F.lit(sep))   # no regex for a one-char separator
+    else:
+        stripped = F.regexp_replace(col, f"(?:{esc})+$", "")
     empty = F.array().cast("array<string>")
     return (F.when(col.isNull(), F.lit(None).cast("array<string>"))
             .when((F.length(col) > 0) & (F.length(stripped) == 0), empty)

@@ -7,7 +7,7 @@ one task; with one key holding a third of the data (or no key at all) that is
 one task for a third of the data.
 
 ``prefix_scan`` splits each key's sequence into *blocks* given by a monotone
-block expression of the order key (e.g. ``seq div 65536``):
+block expression of the order key (e.g. ``floor(seq / 65536)``):
 
 1. local prefix per (key, block)            -- window over <= block-size rows
 2. one summary row per (key, block)         -- partial/final hash aggregate
@@ -25,10 +25,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("sum", "max", "min", "first")
 
 DEFAULT_BLOCK = 1 << 16
+NULL_BLOCK = -(1 << 62)
 
 
 def block_of(order_col: str | Column, size: int | Column = DEFAULT_BLOCK) -> Column:
@@ -52,6 +54,28 @@ def _local(kind: str, expr: Column) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[kind](expr) if kind != "first" else F.first(expr)
 
 
+def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[list[Column], list[str]]:
+    """Non-null stand-ins for the key columns, so the scan's join is a plain
+    equi-join on the window's own partitioning and null keys still form their
+    own group: a nullable string/number key becomes (coalesced value, is-null
+    flag); other nullable types are wrapped in a struct (struct equality
+    treats null fields as equal)."""
+    cols, names = [], []
+    for i, k in enumerate(keys):
+        f = df.schema[k]
+        if not f.nullable:
+            cols.append(F.col(k).alias(f"_k{i}"))
+            names.append(f"_k{i}")
+        elif isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType)):
+            default = F.lit("") if isinstance(f.dataType, T.StringType) else F.lit(0).cast(f.dataType)
+            cols += [F.coalesce(F.col(k), default).alias(f"_k{i}"), F.col(k).isNull().alias(f"_n{i}")]
+            names += [f"_k{i}", f"_n{i}"]
+        else:
+            cols.append(F.struct(F.col(k)).alias(f"_k{i}"))
+            names.append(f"_k{i}")
+    return cols, names
+
+
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
                 specs: dict[str, tuple[str, Column]]) -> DataFrame:
     """Add one running-aggregate column per ``specs`` entry.
@@ -63,14 +87,10 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
     for kind, _ in specs.values():
         if kind not in KINDS:
             raise ValueError(f"unsupported running aggregate {kind!r}")
-    # keys packed in one struct: struct equality treats null fields as equal,
-    # so null keys form their own group and survive the equi-join below
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    part = ["_key", "_blk"]
-    # The input is read twice: once shuffled whole on (key, block) for the
-    # local window, once pre-aggregated map-side for the block summaries
-    # (that second shuffle carries one row per (key, block) per map task).
-    d = df.withColumn("_key", key).withColumn("_blk", block)
+    kcols, kparts = _key_columns(df, keys)
+    # a null order value sorts first, so its rows go to a block before all others
+    d = df.select("*", *kcols, F.coalesce(block, F.lit(NULL_BLOCK)).alias("_blk"))
+    part = [*kparts, "_blk"]
     ordc = [F.col(c) for c in order]
 
     w_local = (Window.partitionBy(*part).orderBy(*ordc)
@@ -88,8 +108,8 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
         summaries.append(s.alias(f"_b_{name}"))
     blocks = d.groupBy(*part).agg(*summaries)
 
-    w_prev = (Window.partitionBy("_key").orderBy("_blk")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    w_prev = (Window.partitionBy(*kparts) if kparts else Window).orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
     offs = [F.count(F.lit(1)).over(w_prev).alias("_prev_n")]
     for name, (kind, _) in specs.items():
         b = F.col(f"_b_{name}")
@@ -110,5 +130,5 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
         else:
             v = F.when(has_prev, oc).otherwise(lc)
         out = out.withColumn(name, v)
-    drop = ["_key", "_blk", "_prev_n"] + [f"_{p}_{n}" for n in specs for p in ("l", "o")]
+    drop = [*kparts, "_blk", "_prev_n"] + [f"_{p}_{n}" for n in specs for p in ("l", "o")]
     return out.drop(*drop)
