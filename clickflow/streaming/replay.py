@@ -1,23 +1,32 @@
 """Click replay (S4 re-aimed): a bounded table written as a sequence of
 time-ordered file groups, so a file-source stream sees it arrive in event-time
-order, ``files_per_chunk`` files per micro-batch.
+order, one group per micro-batch.
 
-The replay folder lives below ``spark.checkpoint.dir`` (shared storage); each
-chunk is one distributed write of its time slice (range-partitioned so files
-of a chunk are themselves in time order), chunks written oldest first so the
-file source, which orders files by modification time, replays them in order.
+* The replay folder lives below ``spark.checkpoint.dir`` (shared storage).
+* Slices are equal-width ranges of the order column, selected with range
+  predicates on the raw column (pushed into the parquet scan).
+* Each slice is one distributed write, range-partitioned into
+  ``files_per_chunk`` files; that number grows with the data
+  (``rows_per_file``), so no task writes more than about that many rows.
+* Slices are written oldest first: the file source orders files by
+  modification time, and ``maxFilesPerTrigger = files_per_chunk`` makes every
+  micro-batch exactly one slice (checked after each write).
 """
 
 from __future__ import annotations
 
+import math
 import time
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.session import is_local_fs, scratch_path
 
 _CACHE: dict[tuple, "Replay"] = {}
+_EPOCH = datetime(1970, 1, 1)
+ROWS_PER_FILE = 4_000_000
 
 
 class Replay:
@@ -31,33 +40,64 @@ class Replay:
         return r.load(self.path)
 
 
-def chunk_index(order_col: str, lo, hi, chunks: int):
-    """Equal-width time slices over [lo, hi]: 0 .. chunks-1."""
-    span = F.lit(int(hi) - int(lo) + 1)
-    return F.floor((F.col(order_col).cast("long") - F.lit(int(lo))) * F.lit(chunks) / span).cast("int")
+def _as_int(v) -> tuple[int, bool]:
+    if isinstance(v, datetime):
+        return (v - _EPOCH) // timedelta(microseconds=1), True
+    return int(v), False
+
+
+def _literal(v: int, is_ts: bool) -> Column:
+    if is_ts:
+        return F.expr(f"TIMESTAMP_NTZ '{(_EPOCH + timedelta(microseconds=v)).isoformat(sep=' ')}'")
+    return F.lit(v)
+
+
+def slice_predicates(df: DataFrame, order_col: str, chunks: int) -> list[Column]:
+    """``chunks`` equal-width ranges over [min, max] of ``order_col`` (a number
+    or a TIMESTAMP_NTZ); row r is in slice floor((x - min) * chunks / (max - min + 1))."""
+    b = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    (lo, is_ts), (hi, _) = _as_int(b["lo"]), _as_int(b["hi"])
+    span = hi - lo + 1
+    edges = [lo + -(-c * span // chunks) for c in range(chunks + 1)]  # ceil division
+    col = F.col(order_col)
+    return [(col >= _literal(edges[c], is_ts)) & (col < _literal(edges[c + 1], is_ts)) for c in range(chunks)]
+
+
+def _count_files(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0
+    return sum(1 for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
 
 
 def write_replay(spark: SparkSession, df: DataFrame, order_col: str, name: str, chunks: int = 4,
-                 files_per_chunk: int = 2, chunk_order: list[int] | None = None,
-                 fmt: str = "parquet", value_col: str | None = None, cache_key: tuple | None = None) -> Replay:
-    """Write ``df`` in ``chunks`` slices of ``order_col`` (epoch-like number),
-    one slice after the other in ``chunk_order`` (default: oldest first)."""
+                 min_files_per_chunk: int = 2, chunk_order: list[int] | None = None,
+                 fmt: str = "parquet", value_col: str | None = None, cache_key: tuple | None = None,
+                 rows_per_file: int = ROWS_PER_FILE) -> Replay:
+    """Write ``df`` as ``chunks`` slices of ``order_col``, one slice after the
+    other in ``chunk_order`` (default: oldest first)."""
     if cache_key is not None and cache_key in _CACHE:
         return _CACHE[cache_key]
     path = scratch_path(spark, "replay", name)
-    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    order = chunk_order or list(range(chunks))
-    tagged = df.withColumn("_chunk", chunk_index(order_col, lo, hi, chunks))
-    for i, c in enumerate(order):
-        part = tagged.filter(F.col("_chunk") == c).drop("_chunk")
-        part = part.repartitionByRange(files_per_chunk, order_col).sortWithinPartitions(order_col)
+    preds = slice_predicates(df, order_col, chunks)
+    rows = df.count()
+    files = max(min_files_per_chunk, math.ceil(rows / chunks / rows_per_file))
+    written = 0
+    for i, c in enumerate(chunk_order or list(range(chunks))):
+        part = df.filter(preds[c]).repartitionByRange(files, order_col).sortWithinPartitions(order_col)
         if fmt == "text":
             part = part.select(value_col)
         part.write.mode("append").format(fmt).save(path)
-        if i + 1 < len(order) and not is_local_fs(path):
+        now = _count_files(spark, path)
+        if now - written != files:
+            raise RuntimeError(f"replay slice {c} of {name} wrote {now - written} files, expected {files}; "
+                               "micro-batches would not align with slices")
+        written = now
+        if i + 1 < chunks and not is_local_fs(path):
             time.sleep(1.0)  # object stores keep second-resolution mtimes
-    r = Replay(path, df.schema if fmt != "text" else None, files_per_chunk, fmt)
+    r = Replay(path, df.schema if fmt != "text" else None, files, fmt)
     if cache_key is not None:
         _CACHE[cache_key] = r
     return r
@@ -65,10 +105,8 @@ def write_replay(spark: SparkSession, df: DataFrame, order_col: str, name: str,
 
 def events_replay(spark: SparkSession, sf_dir: str, chunks: int = 4, files_per_chunk: int = 2,
                   chunk_order: list[int] | None = None) -> Replay:
-    """``events`` replayed in event-time order (or a given chunk order)."""
+    """``events`` replayed in event-time order (or a given slice order)."""
     from clickflow.sources.tables import table
     ev = table(spark, sf_dir, "events")
-    ev = ev.withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
     key = ("events", sf_dir, chunks, files_per_chunk, tuple(chunk_order or ()))
-    r = write_replay(spark, ev, "_us", "events", chunks, files_per_chunk, chunk_order, cache_key=key)
-    return r
+    return write_replay(spark, ev, "ts", "events", chunks, files_per_chunk, chunk_order, cache_key=key)
