@@ -66,10 +66,19 @@ class StreamResult:
         return last.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions for a new stateful query: the session's shuffle partitions,
+    at most one per core of the cluster (each state partition costs a fixed
+    amount per micro-batch, and it is fixed for the life of the checkpoint)."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+
+
 def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
                       batch_fn: Callable[[DataFrame], DataFrame] | None = None,
                       conf: dict[str, str] | None = None, timeout_s: int = 1800) -> StreamResult:
     spark = stream_df.sparkSession
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), **(conf or {})}
     out = scratch_path(spark, "out", name)
     ckpt = scratch_path(spark, "ckpt", name)
     holder: dict = {}
