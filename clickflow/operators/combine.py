@@ -63,3 +63,17 @@ def join_text(key: Column, left_ms: Column, right_ms: Column) -> Column:
     k = key.cast("string")
     return F.concat(k, F.lit(" "), left_ms.cast("string"), F.lit("=>("), k, F.lit(","),
                     right_ms.cast("string"), F.lit(")"))
+
+
+def keyed_join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
+                      bound_ms: int) -> DataFrame:
+    """J1 with an optional time bound: pairs whose event times lie within
+    ``bound_ms`` of each other.  On streams with watermarks on both inputs,
+    Spark evicts join state older than the bound, so state stays bounded
+    (the unbounded form keeps all history, as the reference does)."""
+    b = F.expr(f"INTERVAL {int(bound_ms)} MILLISECONDS")
+    l, r = left.alias("l"), right.alias("r")
+    cond = ((F.col(f"l.{key}") == F.col(f"r.{key}"))
+            & (F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") - b)
+            & (F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + b))
+    return l.join(r, cond, "inner")

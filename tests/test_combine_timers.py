@@ -47,3 +47,27 @@ def test_periodic_counts_gap(spark):
     assert [r for r in out if r[0] == "a"] == [("a", 10_000, 1), ("a", 20_000, 1), ("a", 30_000, 2),
                                                ("a", 40_000, 2), ("a", 50_000, 2), ("a", 60_000, 2)]
     assert [r for r in out if r[0] == "b"][-1] == ("b", 61_000, 1)
+
+
+def test_bounded_keyed_join_stream_equals_batch(spark):
+    from clickflow.operators.combine import keyed_join_within
+    from clickflow.streaming.replay import write_replay
+    from clickflow.streaming.runner import run_available_now
+
+    rnd = random.Random(5)
+    lrows = [(f"k{rnd.randint(0, 3)}", "L", rnd.randint(0, 120_000)) for _ in range(300)]
+    rrows = [(f"k{rnd.randint(0, 3)}", "R", rnd.randint(0, 120_000)) for _ in range(300)]
+
+    def prep(df, name):
+        return df.select(F.col("key"), F.col("seq").alias(f"{name}_seq"), F.col("timestamp").alias(f"{name}_ms"),
+                         F.timestamp_millis("timestamp").alias(f"{name}_ts"))
+
+    lb, rb = prep(keyed_rows(spark, lrows), "l"), prep(keyed_rows(spark, rrows), "r")
+    batch = keyed_join_within(lb, rb, "key", "l_ts", "r_ts", 5_000).select("l_seq", "r_seq")
+    lr = write_replay(spark, lb, "l_ms", "bl", 3, 1)   # both inputs arrive in event-time order
+    rr = write_replay(spark, rb, "r_ms", "br", 3, 1)
+    ls = lr.stream(spark).withWatermark("l_ts", "0 seconds")
+    rs = rr.stream(spark).withWatermark("r_ts", "0 seconds")
+    res = run_available_now(keyed_join_within(ls, rs, "key", "l_ts", "r_ts", 5_000).select("l_seq", "r_seq"),
+                            "bounded_join")
+    assert rows(res.rows()) == rows(batch) and len(rows(batch)) > 0
