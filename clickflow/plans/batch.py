@@ -254,7 +254,7 @@ def maxby_user_running(spark, sf_dir):
 @register("user_frequency", f"WITH {CK} SELECT user_id, count(*) AS cnt FROM ck GROUP BY user_id")
 def user_frequency(spark, sf_dir):
     """P2 + A5: map to (user, 1), reduce by summing."""
-    return A.count_by_key(clicks(spark, sf_dir), "user_id", "cnt")
+    return A.sum_by_key(P.with_one(clicks(spark, sf_dir), "user_id"), "user_id", "one", "cnt")
 
 
 @register("user_frequency_running", f"""WITH {CK}
@@ -355,6 +355,53 @@ def topn_report(spark, sf_dir):
     return report(topn_sliding(spark, sf_dir))
 
 
+# ----------------------------------------- the reference's own window sizes
+
+REF_PV_UV_MS = 5_000           # PV/UV window of the reference
+REF_URL_WINDOW_MS = 10_000     # url-count window of the reference
+REF_SLIDE = (10_000, 5_000)    # top-N window size and slide of the reference
+
+
+def _pv_uv_sql(size: int) -> str:
+    return f"""WITH {CK}
+SELECT (ms // {size}) * {size} AS window_start, count(*) AS pv, count(DISTINCT user_id) AS uv,
+       count(*)::DOUBLE / count(DISTINCT user_id) AS ratio FROM ck GROUP BY 1"""
+
+
+def _url_tumbling_sql(size: int) -> str:
+    return f"""WITH {CK}
+SELECT url, count(*) AS cnt, (ms // {size}) * {size} AS window_start,
+       (ms // {size}) * {size} + {size} AS window_end FROM ck GROUP BY url, 3, 4"""
+
+
+def _topn_sql(size: int, step: int, n: int) -> str:
+    return f"""WITH {CK}, s AS (
+SELECT url, (ms // {step}) * {step} - k * {step} AS ws FROM ck, range({size // step}) t(k)),
+c AS (SELECT url, count(*) AS cnt, ws + {size} AS window_end FROM s GROUP BY url, ws),
+r AS (SELECT window_end, url, cnt,
+      CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rk FROM c)
+SELECT window_end, url, cnt, rk FROM r WHERE rk <= {n}"""
+
+
+@register("pv_uv_tumbling_5s", _pv_uv_sql(REF_PV_UV_MS))
+def pv_uv_tumbling_5s(spark, sf_dir):
+    """W1 + A9 at the reference's 5 s window."""
+    return W.pv_uv(clicks(spark, sf_dir), REF_PV_UV_MS)
+
+
+@register("url_count_tumbling_10s", _url_tumbling_sql(REF_URL_WINDOW_MS))
+def url_count_tumbling_10s(spark, sf_dir):
+    """W2 + A11 at the reference's 10 s window."""
+    return W.url_counts(clicks(spark, sf_dir), REF_URL_WINDOW_MS)
+
+
+@register("topn_sliding_10s", _topn_sql(*REF_SLIDE, TOP_N))
+def topn_sliding_10s(spark, sf_dir):
+    """T2 at the reference's 10 s / 5 s sliding window, top 2."""
+    counts = W.url_counts(clicks(spark, sf_dir), *REF_SLIDE)
+    return top_n(counts, TOP_N).select("window_end", "url", "cnt", "rk")
+
+
 # ------------------------------------------------------ two inputs, timers
 
 @register("co_map_union", """

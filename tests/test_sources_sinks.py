@@ -79,3 +79,20 @@ def test_bucketed_text_files(spark):
                      max_records_per_file=1)
     back = spark.read.text(out)
     assert rows(back, "bucket") == [("1970-01-01--00",), ("1970-01-01--01",)]
+
+
+def test_rich_mapper_lifecycle(spark):
+    import pandas as pd
+    from clickflow.operators.udf import RichMapper, map_rich
+
+    class Tagged(RichMapper):
+        def open(self, partition):
+            self.pid, self.opened = partition, True
+
+        def map(self, pdf):
+            return pd.DataFrame({"seq": pdf["seq"], "pid": self.pid})
+
+    df = spark.range(0, 1000, numPartitions=4).withColumnRenamed("id", "seq")
+    out = map_rich(df, Tagged, "seq long, pid int")
+    assert sorted(r.pid for r in out.select("pid").distinct().collect()) == [0, 1, 2, 3]
+    assert out.count() == 1000
