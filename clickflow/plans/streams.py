@@ -19,7 +19,7 @@ from clickflow.operators import aggregates as A
 from clickflow.operators import transforms as P
 from clickflow.operators import windows as W
 from clickflow.operators.combine import co_map_union as _co_map, join_text
-from clickflow.operators.ranking import top_n
+from clickflow.operators.ranking import report, top_n
 from clickflow.operators.timers import DATA_LABEL, TIMER_LABEL
 from clickflow.plans import batch as B
 from clickflow.plans.registry import CK, REGISTRY, register
@@ -184,6 +184,15 @@ def stream_topn_sliding(spark, sf_dir):
     return res.rows()
 
 
+@register("stream_topn_report", _closed_sql("topn_report"), streaming=True)
+def stream_topn_report(spark, sf_dir):
+    """T3 on a stream: each closed window's ranking rendered as text, one
+    report per window (windows close once, in one micro-batch)."""
+    counts = W.url_counts(click_stream(spark, sf_dir), B.SLIDE_SIZE_MS, B.SLIDE_STEP_MS)
+    res = run_available_now(counts, "stream_topn_report", batch_fn=lambda b: report(top_n(b, B.TOP_N)))
+    return res.rows()
+
+
 @register("stream_late_data", f"""WITH {CK},
 k AS (SELECT ms, CAST(floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {CHUNKS}
       / ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events) + 1)) AS INTEGER) AS chunk FROM ck),
