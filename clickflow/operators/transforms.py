@@ -30,7 +30,7 @@ def field_length(clicks: DataFrame, field: str = "url", out: str = "len") -> Dat
     return clicks.select("seq", F.length(F.col(field).cast("string")).alias(out))
 
 
-def event_text(c: DataFrame | None = None) -> Column:
+def event_text() -> Column:
     """P3 raw form: ``Event{user='…', url='…', timestamp=<ms>}``."""
     return event_string(F.col("user_id"), F.col("url"), F.col("ms"))
 

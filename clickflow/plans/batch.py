@@ -21,7 +21,7 @@ from clickflow.operators.changelog import changelog_count as _changelog
 from clickflow.operators.combine import co_map_union as _co_map, join_text, keyed_join as _join
 from clickflow.operators.ranking import top_n, report
 from clickflow.operators.scan import adaptive_block, prefix_scan
-from clickflow.operators.timers import periodic_counts, timer_per_event as _timers
+from clickflow.operators.timers import periodic_counts, pv_report_text, timer_per_event as _timers
 from clickflow.operators.udf import PV_UV, LengthMapper, aggregate_with, flatmap_udtf, map_rich
 from clickflow.plans.registry import CK, register, sql_event_text, sql_java_words, sql_ts_text
 from clickflow.schema import DAY_MS, HOUR_MS
@@ -461,12 +461,14 @@ def timer_per_event(spark, sf_dir):
 
 @register("periodic_user_pv", f"""WITH {CK}, f AS (SELECT user_id, min(ms) AS first_ms FROM ck GROUP BY user_id),
 e AS (SELECT max(ms) AS m FROM ck),
-t AS (SELECT user_id, unnest(range(first_ms + {REPORT_PERIOD_MS}, (SELECT m FROM e) + 1, {REPORT_PERIOD_MS})) AS tick FROM f)
-SELECT t.user_id, t.tick, count(c.seq) AS pv FROM t LEFT JOIN ck c ON c.user_id = t.user_id AND c.ms <= t.tick
-GROUP BY t.user_id, t.tick""")
+t AS (SELECT user_id, unnest(range(first_ms + {REPORT_PERIOD_MS}, (SELECT m FROM e) + 1, {REPORT_PERIOD_MS})) AS tick FROM f),
+p AS (SELECT t.user_id, t.tick, count(c.seq) AS pv FROM t LEFT JOIN ck c ON c.user_id = t.user_id AND c.ms <= t.tick
+      GROUP BY t.user_id, t.tick)
+SELECT user_id, tick, pv, CAST(user_id AS VARCHAR) || ',pv:' || CAST(pv AS VARCHAR) AS msg FROM p""")
 def periodic_user_pv(spark, sf_dir):
     """E8 + E10: cumulative PV per user reported every period."""
-    return periodic_counts(clicks(spark, sf_dir), REPORT_PERIOD_MS, "user_id")
+    return periodic_counts(clicks(spark, sf_dir), REPORT_PERIOD_MS, "user_id").withColumn(
+        "msg", pv_report_text("user_id"))
 
 
 @register("rich_map_length", f"WITH {CK} SELECT seq, CAST(length(url) AS INTEGER) AS len FROM ck")

@@ -20,7 +20,7 @@ from clickflow.operators import transforms as P
 from clickflow.operators import windows as W
 from clickflow.operators.combine import co_map_union as _co_map, join_text
 from clickflow.operators.ranking import report, top_n
-from clickflow.operators.timers import DATA_LABEL, TIMER_LABEL
+from clickflow.operators.timers import DATA_LABEL, TIMER_LABEL, pv_report_text
 from clickflow.plans import batch as B
 from clickflow.plans.registry import CK, REGISTRY, register
 from clickflow.sinks import hour_bucket, stream_text_files
@@ -277,4 +277,5 @@ def stream_periodic_user_pv(spark, sf_dir):
     t = s.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=PeriodicCount(B.REPORT_PERIOD_MS), outputStructType=PERIODIC_SCHEMA,
         outputMode="Append", timeMode="EventTime")
-    return run_available_now(t, "stream_periodic_user_pv", conf=_TWS_CONF).rows()
+    return run_available_now(t, "stream_periodic_user_pv", conf=_TWS_CONF).rows().withColumn(
+        "msg", pv_report_text("user_id"))
