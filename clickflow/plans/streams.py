@@ -28,7 +28,8 @@ from clickflow.session import scratch_path, use_utc
 from clickflow.sources.tables import click_view, table
 from clickflow.sources.views import register_view
 from clickflow.streaming.processors import (
-    CHANGELOG_SCHEMA, PERIODIC_SCHEMA, TIMER_SCHEMA, ChangelogCounter, PeriodicCount, TimerPerEvent,
+    CHANGELOG_SCHEMA, ELEMENT_WM_SCHEMA, PERIODIC_SCHEMA, TIMER_SCHEMA, ChangelogCounter, ElementWatermark,
+    PeriodicCount, TimerPerEvent,
 )
 from clickflow.streaming.replay import events_replay, write_replay
 from clickflow.streaming.runner import ROCKSDB, run_available_now
@@ -211,6 +212,23 @@ def stream_late_data(spark, sf_dir):
     return res.rows()
 
 
+@register("stream_element_watermark", f"""WITH {CK},
+k AS (SELECT seq, user_id, ms, CAST(floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {CHUNKS}
+      / ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events) + 1)) AS INTEGER) AS chunk FROM ck),
+m AS (SELECT chunk, max(ms) AS mx FROM k GROUP BY chunk),
+w AS (SELECT c.chunk, coalesce((SELECT max(mx) FROM m WHERE m.chunk < c.chunk), 0) AS watermark_ms
+      FROM (SELECT DISTINCT chunk FROM k) c)
+SELECT k.seq, k.user_id, k.ms, w.watermark_ms FROM k JOIN w ON k.chunk = w.chunk""", streaming=True)
+def stream_element_watermark(spark, sf_dir):
+    """Every click with the watermark current when it was processed
+    (the largest event time of earlier micro-batches, delay 0)."""
+    s = click_stream(spark, sf_dir).select("user_id", "seq", "ms", "ts")
+    t = s.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=ElementWatermark(), outputStructType=ELEMENT_WM_SCHEMA,
+        outputMode="Append", timeMode="EventTime")
+    return run_available_now(t, "stream_element_watermark", conf=_TWS_CONF).rows()
+
+
 @register("stream_progress", None, streaming=True)
 def stream_progress(spark, sf_dir):
     """Per micro-batch input rows and event-time watermark (epoch ms) of

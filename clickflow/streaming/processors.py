@@ -157,3 +157,22 @@ class PeriodicCount(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+ELEMENT_WM_SCHEMA = "seq long, user_id long, ms long, watermark_ms long"
+
+
+class ElementWatermark(StatefulProcessor):
+    """Each element with its event time and the event-time watermark in
+    force when it was processed (Spark advances it once per micro-batch)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            yield pd.DataFrame({"seq": pdf["seq"], "user_id": key[0], "ms": pdf["ms"], "watermark_ms": wm})
+
+    def close(self) -> None:
+        pass
