@@ -81,6 +81,7 @@ def aggregate_with(df: DataFrame, keys: list[str], agg: PandasAggregate, acc_sch
                 yield agg.add(pdf).reset_index()
     parts = df.mapInPandas(partial, acc_schema)
     merged = parts.groupBy(*keys).agg(*[getattr(F, fn)(c).alias(c) for c, fn in agg.merge.items()])
+    merged = merged.fillna(agg.create())  # accumulators start from create()
     return merged.withColumn(out, agg.result(*[F.col(c) for c in agg.merge]))
 
 

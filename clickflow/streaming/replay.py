@@ -35,7 +35,9 @@ class Replay:
 
     def stream(self, spark: SparkSession) -> DataFrame:
         r = (spark.readStream.format(self.fmt).option("maxFilesPerTrigger", str(self.files_per_chunk)))
-        if self.fmt != "text":
+        if self.fmt == "text":
+            r = r.option("lineSep", "\n")   # lines as in the batch form: split on \n only
+        else:
             r = r.schema(self.schema)
         return r.load(self.path)
 
