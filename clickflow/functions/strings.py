@@ -33,10 +33,14 @@ def java_trim(col: Column) -> Column:
     return F.regexp_replace(col, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
 
 
+# The click record's display format, Event{user='u', url='x', timestamp=t}
+EVENT_PREFIX, EVENT_URL, EVENT_TS, EVENT_SUFFIX = "Event{user='", "', url='", "', timestamp=", "}"
+
+
 def event_string(user: Column, url: Column, ts_text: Column) -> Column:
-    """Display form of a click record: ``Event{user='u', url='x', timestamp=t}``."""
-    return F.concat(F.lit("Event{user='"), user.cast("string"), F.lit("', url='"),
-                    url, F.lit("', timestamp="), ts_text.cast("string"), F.lit("}"))
+    """Display form of a click record."""
+    return F.concat(F.lit(EVENT_PREFIX), user.cast("string"), F.lit(EVENT_URL),
+                    url, F.lit(EVENT_TS), ts_text.cast("string"), F.lit(EVENT_SUFFIX))
 
 
 def json_object(key: Column, value: Column) -> Column:
