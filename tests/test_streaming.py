@@ -90,3 +90,21 @@ def test_stream_periodic_equals_batch(spark):
     got = run_available_now(t, "twin_periodic", conf=TWS).rows()
     exp = periodic_counts(clicks(spark, SF_SMALL), 86_400_000)
     assert rows(got, "user_id", "tick", "pv") == rows(exp, "user_id", "tick", "pv")
+
+
+@pytest.mark.parametrize("chunks,files", [(4, 1), (2, 3)])
+def test_stream_pv_uv_and_topn_equal_batch(spark, chunks, files):
+    from clickflow.operators.ranking import top_n
+    r = events_replay(spark, SF_SMALL, chunks, files)
+    s = click_view(r.stream(spark)).withWatermark("ts", "0 seconds")
+    b = clicks(spark, SF_SMALL)
+    end = b.agg(F.max("ms")).first()[0]
+
+    got = run_available_now(W.pv_uv(s, 3_600_000), f"pvuv_{chunks}").rows()
+    exp = W.pv_uv(b, 3_600_000).filter(F.col("window_start") + 3_600_000 <= end)
+    assert rows(got, "window_start", "pv", "uv", "ratio") == rows(exp, "window_start", "pv", "uv", "ratio")
+
+    counts = W.url_counts(s, 7_200_000, 3_600_000)
+    got = run_available_now(counts, f"topn_{chunks}", batch_fn=lambda d: top_n(d, 2)).rows()
+    exp = top_n(W.url_counts(b, 7_200_000, 3_600_000).filter(F.col("window_end") <= end), 2)
+    assert rows(got, "window_end", "url", "cnt", "rk") == rows(exp, "window_end", "url", "cnt", "rk")
