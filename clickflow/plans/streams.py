@@ -40,7 +40,9 @@ WATERMARK_DELAY = "0 seconds"   # bounded out-of-orderness 0 (reference)
 LATE_CHUNK_ORDER = [0, 2, 1, 3]  # stream_late_data: slice 1 arrives after slice 2
 
 _CLOSED = "(SELECT max(epoch_us(ts)//1000) FROM events)"
-_TWS_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+_TWS_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+             # commit only the changes of each micro-batch, not a full state snapshot
+             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def click_stream(spark: SparkSession, sf_dir: str, chunk_order=None) -> DataFrame:
