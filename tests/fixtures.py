@@ -28,3 +28,7 @@ CLICKS_WINDOW = [("maliao", "/abc@a=1?", ms(2023, 9, 6, 22, 1, 52)), ("jary", "/
 # two keyed streams
 LEFT_PAIRS = [("a", "stream-1", 1000), ("b", "stream-1", 2000)]
 RIGHT_PAIRS = [("a", "stream-2", 1000), ("b", "stream-2", 2000)]
+
+# the generator's value domain (non-ASCII user, '?', '@', '=' in urls)
+USERS9 = ["liha", "Tom", "mary", "小明", "jary", "maliao"]
+URLS9 = ["/a", "/b", "/c", "/abc@a=1?", "/al/a?", "/b/url/afs"]

@@ -59,14 +59,15 @@ def test_latest_url_per_user(spark, c7):
     assert rows(A.latest_per_key(c7)) == [("a", "./home"), ("b", "./ada?id=3"), ("c", "./sdf")]
 
 
-def test_prefix_scan_matches_single_window(spark):
+@pytest.mark.parametrize("blk", [1, 13, 97, 10_000])
+def test_prefix_scan_matches_single_window(spark, blk):
     """Blocked scan == one window per key, on a skewed key set with nulls."""
     rnd = random.Random(7)
     data = [(i, rnd.choice(["hot"] * 6 + ["k1", "k2", None]), rnd.randint(-50, 50)) for i in range(400)]
     df = spark.createDataFrame(data, "seq long, k string, v long")
     specs = {"s": ("sum", F.col("v")), "mx": ("max", F.col("v")), "mn": ("min", F.col("v")),
              "f": ("first", F.col("v"))}
-    got = rows(prefix_scan(df, ["k"], ["seq"], block_of("seq", 13), specs), "seq", "s", "mx", "mn", "f")
+    got = rows(prefix_scan(df, ["k"], ["seq"], block_of("seq", blk), specs), "seq", "s", "mx", "mn", "f")
     w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     exp = rows(df.select("seq", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("mx"),
                          F.min("v").over(w).alias("mn"), F.first("v").over(w).alias("f")),

@@ -92,3 +92,17 @@ def test_parse_csv_tolerant_rejects(spark):
 def test_words_keep_positions(spark):
     out = P.words(line_rows(spark, ["a  b "]), "value").orderBy("pos").collect()
     assert [(r.pos, r.word) for r in out] == [(0, "a"), (1, ""), (2, "b")]
+
+
+def test_generator_domain_f9(spark):
+    from fixtures import URLS9, USERS9
+    from clickflow.operators import windows as W
+    from clickflow.operators.ranking import top_n
+    data = [(USERS9[i % 6], URLS9[(i * 5) % 6], 1000 * i) for i in range(36)]
+    c = from_click_records(click_rows(spark, data))
+    parsed = P.parse_click_csv(P.click_csv_lines(c))
+    assert rows(parsed, "user", "url", "timestamp") == sorted(data)
+    docs = {r.doc for r in json_documents(c).collect()}
+    assert '{"小明":"/abc@a=1?"}' in docs
+    top = top_n(W.url_counts(c, 10_000, 5_000), 2)
+    assert top.count() > 0 and top.filter(F.col("rk") > 2).count() == 0
