@@ -322,9 +322,15 @@ def url_count_tumbling(spark, sf_dir):
     return W.url_counts(clicks(spark, sf_dir), TUMBLE_MS)
 
 
+def _sliding_starts_sql(size: int, step: int) -> str:
+    """Every (url, window start) a click falls in: one shifted copy of the
+    clicks per window overlap (UNION ALL, no join)."""
+    return "\nUNION ALL ".join(f"SELECT url, (ms // {step}) * {step} - {k * step} AS ws FROM ck"
+                               for k in range(size // step))
+
+
 _SLIDING_SQL = f"""WITH {CK}, s AS (
-SELECT url, (ms // {SLIDE_STEP_MS}) * {SLIDE_STEP_MS} - k * {SLIDE_STEP_MS} AS ws
-FROM ck, range({SLIDE_SIZE_MS // SLIDE_STEP_MS}) t(k)),
+{_sliding_starts_sql(SLIDE_SIZE_MS, SLIDE_STEP_MS)}),
 c AS (SELECT url, count(*) AS cnt, ws AS window_start, ws + {SLIDE_SIZE_MS} AS window_end FROM s GROUP BY url, ws)"""
 
 
@@ -376,7 +382,7 @@ SELECT url, count(*) AS cnt, (ms // {size}) * {size} AS window_start,
 
 def _topn_sql(size: int, step: int, n: int) -> str:
     return f"""WITH {CK}, s AS (
-SELECT url, (ms // {step}) * {step} - k * {step} AS ws FROM ck, range({size // step}) t(k)),
+{_sliding_starts_sql(size, step)}),
 c AS (SELECT url, count(*) AS cnt, ws + {size} AS window_end FROM s GROUP BY url, ws),
 r AS (SELECT window_end, url, cnt,
       CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rk FROM c)
@@ -462,9 +468,11 @@ def timer_per_event(spark, sf_dir):
 @register("periodic_user_pv", f"""WITH {CK}, f AS (SELECT user_id, min(ms) AS first_ms FROM ck GROUP BY user_id),
 e AS (SELECT max(ms) AS m FROM ck),
 t AS (SELECT user_id, unnest(range(first_ms + {REPORT_PERIOD_MS}, (SELECT m FROM e) + 1, {REPORT_PERIOD_MS})) AS tick FROM f),
-p AS (SELECT t.user_id, t.tick, count(c.seq) AS pv FROM t LEFT JOIN ck c ON c.user_id = t.user_id AND c.ms <= t.tick
-      GROUP BY t.user_id, t.tick)
-SELECT user_id, tick, pv, CAST(user_id AS VARCHAR) || ',pv:' || CAST(pv AS VARCHAR) AS msg FROM p""")
+ev AS (SELECT user_id, ms AS t_ms, 0 AS is_tick FROM ck UNION ALL SELECT user_id, tick AS t_ms, 1 AS is_tick FROM t),
+r AS (SELECT user_id, t_ms, is_tick, sum(1 - is_tick) OVER (PARTITION BY user_id ORDER BY t_ms, is_tick
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv FROM ev)
+SELECT user_id, t_ms AS tick, CAST(pv AS BIGINT) AS pv, CAST(user_id AS VARCHAR) || ',pv:' || CAST(pv AS VARCHAR) AS msg
+FROM r WHERE is_tick = 1""")
 def periodic_user_pv(spark, sf_dir):
     """E8 + E10: cumulative PV per user reported every period."""
     return periodic_counts(clicks(spark, sf_dir), REPORT_PERIOD_MS, "user_id").withColumn(
