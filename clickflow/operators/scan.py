@@ -12,7 +12,7 @@ block expression of the order key (e.g. ``floor(seq / 65536)``):
 1. local prefix per (key, block)            -- window over <= block-size rows
 2. one summary row per (key, block)         -- partial/final hash aggregate
 3. exclusive prefix over the block summaries -- window over #blocks rows/key
-4. join the offsets back and combine        -- no new shuffle of the big side
+4. sort-merge join of the offsets back       -- no new shuffle or sort of the big side
 
 Every combine is associative (sum, max, min, first), so the result equals the
 single-window form.  Work per task is bounded by the block size and by the
@@ -117,7 +117,10 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
         offs.append(o.over(w_prev).alias(f"_o_{name}"))
     offsets = blocks.select(*part, *offs)
 
-    out = local.join(offsets, on=part, how="inner")
+    # sort-merge join: the window output is already hash-partitioned and
+    # sorted on the join keys, so only the small offsets side is shuffled and
+    # sorted; no broadcast whose size grows with keys x blocks
+    out = local.join(offsets.hint("merge"), on=part, how="inner")
     for name, (kind, _) in specs.items():
         lc, oc = F.col(f"_l_{name}"), F.col(f"_o_{name}")
         has_prev = F.col("_prev_n") > 0
