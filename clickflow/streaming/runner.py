@@ -76,7 +76,11 @@ def state_partitions(spark: SparkSession) -> int:
 
 def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
                       batch_fn: Callable[[DataFrame], DataFrame] | None = None,
-                      conf: dict[str, str] | None = None, timeout_s: int = 1800) -> StreamResult:
+                      conf: dict[str, str] | None = None, timeout_s: int = 1800,
+                      batch_fn_id: Callable[[DataFrame, int], DataFrame] | None = None) -> StreamResult:
+    """``batch_fn`` / ``batch_fn_id`` turn each micro-batch into the rows to
+    write (the latter also gets the batch id); the micro-batch is persisted
+    while they run, since such functions read it more than once."""
     spark = stream_df.sparkSession
     conf = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), **(conf or {})}
     out = scratch_path(spark, "out", name)
@@ -84,9 +88,17 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
     holder: dict = {}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch_fn(batch) if batch_fn else batch
-        holder.setdefault("schema", b.schema)
-        b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if batch_fn is None and batch_fn_id is None:
+            b, cached = batch, None
+        else:
+            cached = batch.persist()
+            b = batch_fn_id(cached, batch_id) if batch_fn_id else batch_fn(cached)
+        try:
+            holder.setdefault("schema", b.schema)
+            b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            if cached is not None:
+                cached.unpersist()
 
     with session_conf(spark, conf):
         q = (stream_df.writeStream.queryName(f"{name}_{ckpt[-12:]}").outputMode(mode)
@@ -104,6 +116,8 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
     schema = holder.get("schema")
     if schema is None:
         empty = spark.createDataFrame([], stream_df.schema)
-        schema = (batch_fn(empty) if batch_fn else empty).schema
+        schema = (batch_fn(empty) if batch_fn else empty).schema if batch_fn_id is None else None
+        if schema is None:
+            raise RuntimeError(f"streaming query {name} produced no micro-batch")
     progress = [_as_dict(p) for p in q.recentProgress]
     return StreamResult(spark, out, schema, progress)

@@ -108,3 +108,14 @@ def test_stream_pv_uv_and_topn_equal_batch(spark, chunks, files):
     got = run_available_now(counts, f"topn_{chunks}", batch_fn=lambda d: top_n(d, 2)).rows()
     exp = top_n(W.url_counts(b, 7_200_000, 3_600_000).filter(F.col("window_end") <= end), 2)
     assert rows(got, "window_end", "url", "cnt", "rk") == rows(exp, "window_end", "url", "cnt", "rk")
+
+
+@pytest.mark.parametrize("chunks,files", [(4, 1), (3, 2)])
+def test_stream_changelog_totals_equal_batch(spark, chunks, files):
+    from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
+    r = events_replay(spark, SF_SMALL, chunks, files)
+    s = click_view(r.stream(spark)).select("seq", "url")
+    totals = KeyedTotals(spark, "url", f"test_{chunks}")
+    got = run_available_now(s, f"cl_{chunks}", batch_fn_id=lambda b, i: changelog_batch(b, i, totals)).rows()
+    exp = changelog_count(clicks(spark, SF_SMALL), "url", block_of("seq", 100))
+    assert rows(got, "seq", "pos", "op", "url", "n") == rows(exp, "seq", "pos", "op", "url", "n")
