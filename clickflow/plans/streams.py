@@ -14,13 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.functions.timefmt import sql_timestamp_text
 from clickflow.operators import aggregates as A
 from clickflow.operators import transforms as P
 from clickflow.operators import windows as W
 from clickflow.operators.combine import co_map_union as _co_map, join_text
 from clickflow.operators.ranking import report, top_n
-from clickflow.operators.timers import DATA_LABEL, TIMER_LABEL, pv_report_text
+from clickflow.operators.timers import pv_report_text, timer_per_event_stream
 from clickflow.plans import batch as B
 from clickflow.plans.registry import CK, REGISTRY, register
 from clickflow.sinks import hour_bucket, stream_text_files
@@ -28,7 +27,7 @@ from clickflow.session import scratch_path, use_utc
 from clickflow.sources.tables import click_view, table
 from clickflow.sources.views import register_view
 from clickflow.streaming.processors import (
-    ELEMENT_WM_SCHEMA, PERIODIC_SCHEMA, TIMER_SCHEMA, ElementWatermark, PeriodicCount, TimerPerEvent,
+    ELEMENT_WM_SCHEMA, PERIODIC_SCHEMA, ElementWatermark, PeriodicCount,
 )
 from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
@@ -280,15 +279,13 @@ def stream_changelog_count(spark, sf_dir):
 
 @register("stream_timer_per_event", _sql("timer_per_event"), streaming=True)
 def stream_timer_per_event(spark, sf_dir):
-    """E5 on a stream: event-time timer per element, fired by the watermark."""
-    s = click_stream(spark, sf_dir).select("user_id", "ms", "ts")
-    t = s.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=TimerPerEvent(B.TIMER_DELAY_MS), outputStructType=TIMER_SCHEMA,
-        outputMode="Append", timeMode="EventTime")
-    res = run_available_now(t, "stream_timer_per_event", conf=_TWS_CONF)
-    label = F.when(F.col("kind") == "data", F.lit(DATA_LABEL)).otherwise(F.lit(TIMER_LABEL))
-    return res.rows().select("user_id", "kind", "at_ms", F.concat(
-        F.col("user_id").cast("string"), label, sql_timestamp_text(F.col("at_ms"))).alias("msg"))
+    """E5 on a stream: arrivals plus one timer row per (user, ts + 10 s) once
+    the watermark passes it, as an append-mode aggregation (no keyed state;
+    ``processors.TimerPerEvent`` is the keyed-processor form)."""
+    use_utc(spark)
+    r = events_replay(spark, sf_dir, CHUNKS, FILES_PER_CHUNK)
+    s = timer_per_event_stream(click_view(r.stream(spark)), B.TIMER_DELAY_MS, "user_id")
+    return run_available_now(s, "stream_timer_per_event").rows()
 
 
 @register("stream_periodic_user_pv", _sql("periodic_user_pv"), streaming=True)

@@ -119,3 +119,16 @@ def test_stream_changelog_totals_equal_batch(spark, chunks, files):
     got = run_available_now(s, f"cl_{chunks}", batch_fn_id=lambda b, i: changelog_batch(b, i, totals)).rows()
     exp = changelog_count(clicks(spark, SF_SMALL), "url", block_of("seq", 100))
     assert rows(got, "seq", "pos", "op", "url", "n") == rows(exp, "seq", "pos", "op", "url", "n")
+
+
+def test_timer_processor_equals_batch(spark):
+    from clickflow.operators.timers import timer_per_event
+    from clickflow.streaming.processors import TIMER_SCHEMA, TimerPerEvent
+    r = events_replay(spark, SF_SMALL, 4, 1)
+    s = click_view(r.stream(spark)).withWatermark("ts", "0 seconds").select("user_id", "ms", "ts")
+    t = s.groupBy("user_id").transformWithStateInPandas(statefulProcessor=TimerPerEvent(10_000),
+                                                        outputStructType=TIMER_SCHEMA, outputMode="Append",
+                                                        timeMode="EventTime")
+    got = run_available_now(t, "twin_timer", conf=TWS).rows()
+    exp = timer_per_event(clicks(spark, SF_SMALL), 10_000)
+    assert rows(got, "user_id", "kind", "at_ms") == rows(exp, "user_id", "kind", "at_ms")
