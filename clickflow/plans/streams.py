@@ -230,7 +230,13 @@ def stream_element_watermark(spark, sf_dir):
     return run_available_now(t, "stream_element_watermark", conf=_TWS_CONF).rows()
 
 
-@register("stream_progress", None, streaming=True)
+@register("stream_progress", f"""WITH {CK},
+k AS (SELECT ms, CAST(floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {CHUNKS}
+      / ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events) + 1)) AS INTEGER) AS chunk FROM ck),
+m AS (SELECT chunk, count(*) AS n, max(ms) AS mx FROM k GROUP BY chunk)
+SELECT CAST(chunk AS BIGINT) AS batch_id, n AS num_input_rows,
+       coalesce((SELECT max(mx) FROM m m2 WHERE m2.chunk < m.chunk), 0) AS watermark_ms FROM m
+UNION ALL SELECT {CHUNKS}, 0, (SELECT max(mx) FROM m)""", streaming=True)
 def stream_progress(spark, sf_dir):
     """Per micro-batch input rows and event-time watermark (epoch ms) of
     a windowed count over the click replay (from the query progress)."""
