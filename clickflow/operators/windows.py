@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.functions.timefmt import sql_timestamp_text
+
 
 def event_window(size_ms: int, slide_ms: int | None = None, ts: str = "ts") -> Column:
     size = f"{int(size_ms)} milliseconds"
@@ -26,6 +28,19 @@ def _bounds(prefix: str = "window") -> list[Column]:
             F.unix_millis(F.col(f"{prefix}.end")).alias("window_end")]
 
 
+# The window-count record's display format,
+# UrlPojo{url='u', count=n, windowStart=<timestamp>, windowEnd=<timestamp>}
+COUNT_PREFIX, COUNT_N, COUNT_START, COUNT_END, COUNT_SUFFIX = (
+    "UrlPojo{url='", "', count=", ", windowStart=", ", windowEnd=", "}")
+
+
+def window_count_text(url: str = "url", count: str = "cnt") -> Column:
+    """Display form of a window count; bounds rendered like java.sql.Timestamp."""
+    return F.concat(F.lit(COUNT_PREFIX), F.col(url), F.lit(COUNT_N), F.col(count).cast("string"),
+                    F.lit(COUNT_START), sql_timestamp_text(F.col("window_start")),
+                    F.lit(COUNT_END), sql_timestamp_text(F.col("window_end")), F.lit(COUNT_SUFFIX))
+
+
 def url_counts(clicks: DataFrame, size_ms: int, slide_ms: int | None = None,
                key: str = "url") -> DataFrame:
     """A8 + A11: count per (window, key) with the window bounds attached."""

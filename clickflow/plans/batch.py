@@ -375,9 +375,12 @@ SELECT (ms // {size}) * {size} AS window_start, count(*) AS pv, count(DISTINCT u
 
 
 def _url_tumbling_sql(size: int) -> str:
-    return f"""WITH {CK}
+    text = ("'UrlPojo{url=''' || url || ''', count=' || CAST(cnt AS VARCHAR) || ', windowStart=' || "
+            f"{sql_ts_text('window_start')} || ', windowEnd=' || {sql_ts_text('window_end')} || '}}'")
+    return f"""WITH {CK}, w AS (
 SELECT url, count(*) AS cnt, (ms // {size}) * {size} AS window_start,
-       (ms // {size}) * {size} + {size} AS window_end FROM ck GROUP BY url, 3, 4"""
+       (ms // {size}) * {size} + {size} AS window_end FROM ck GROUP BY url, 3, 4)
+SELECT *, {text} AS text FROM w"""
 
 
 def _topn_sql(size: int, step: int, n: int) -> str:
@@ -397,8 +400,8 @@ def pv_uv_tumbling_5s(spark, sf_dir):
 
 @register("url_count_tumbling_10s", _url_tumbling_sql(REF_URL_WINDOW_MS))
 def url_count_tumbling_10s(spark, sf_dir):
-    """W2 + A11 at the reference's 10 s window."""
-    return W.url_counts(clicks(spark, sf_dir), REF_URL_WINDOW_MS)
+    """W2 + A11 + C9 at the reference's 10 s window, with the record's text."""
+    return W.url_counts(clicks(spark, sf_dir), REF_URL_WINDOW_MS).withColumn("text", W.window_count_text())
 
 
 @register("topn_sliding_10s", _topn_sql(*REF_SLIDE, TOP_N))
