@@ -1,9 +1,10 @@
 """Keyed stateful processors (transformWithState, pandas flavour).
 
-Used where the result depends on per-key state plus event-time timers
-(E5, E10) or on emitting retractions (K8).  State per key is O(1) values or a
-map of pending ticks; rows are handled as pandas batches, never one JVM call
-per row except for timer registration (one per distinct timer time).
+Used where the result depends on per-key state plus event-time timers (E10),
+on the watermark seen by each element (P11), or as the keyed-processor forms of
+E5 and K8 (the registered streams use state-free plans for those).  State per
+key is one value (pending ticks / timer times as short arrays), so each key
+costs a few state calls per micro-batch; rows arrive as pandas batches.
 """
 
 from __future__ import annotations
