@@ -124,19 +124,23 @@ class PeriodicCount(StatefulProcessor):
             "state", "first long, next long, total long, ticks array<long>, counts array<long>")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        ms = _concat(rows)["ms"].to_numpy(dtype="int64")
         if self.state.exists():
             first, nxt, total, ticks, counts = self.state.get()
+            chunks = rows                      # known key: fold rows in chunk by chunk
         else:
-            first = int(ms.min())
+            chunks = list(rows)                # new key: its earliest click anchors the ticks
+            first = int(min(int(c["ms"].min()) for c in chunks))
             nxt, total, ticks, counts = first + self.period, 0, [], []
             self.handle.registerTimer(nxt)
-        k = np.maximum(np.ceil((ms - first) / self.period), 1).astype("int64")
-        new_t, new_c = np.unique(first + k * self.period, return_counts=True)
-        merged = pd.Series(np.asarray(counts or [], dtype="int64"), index=np.asarray(ticks or [], dtype="int64"))
-        merged = merged.add(pd.Series(new_c.astype("int64"), index=new_t), fill_value=0).sort_index()
-        self.state.update((first, nxt, total, merged.index.astype("int64").tolist(),
-                           merged.to_numpy(dtype="int64").tolist()))
+        pending = pd.Series(np.asarray(counts or [], dtype="int64"), index=np.asarray(ticks or [], dtype="int64"))
+        for pdf in chunks:
+            ms = pdf["ms"].to_numpy(dtype="int64")
+            k = np.maximum(np.ceil((ms - first) / self.period), 1).astype("int64")
+            new_t, new_c = np.unique(first + k * self.period, return_counts=True)
+            pending = pending.add(pd.Series(new_c.astype("int64"), index=new_t), fill_value=0)
+        pending = pending.sort_index()
+        self.state.update((first, nxt, total, pending.index.astype("int64").tolist(),
+                           pending.to_numpy(dtype="int64").tolist()))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
