@@ -45,15 +45,21 @@ def main() -> None:
         return time.perf_counter() - t0
 
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in only:
-        run(name)  # warm-up (JIT, replay files, file listing caches)
-        samples = [run(name) for _ in range(repeat)]
+        try:
+            run(name)  # warm-up (JIT, replay files, file listing caches)
+            samples = [run(name) for _ in range(repeat)]
+        except Exception as e:  # noqa: BLE001 - record and keep measuring the rest
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"{name}: FAILED {failed[name]}", file=sys.stderr)
+            continue
         times[name] = round(statistics.median(samples), 3)
         print(f"{name}: {times[name]}s {samples}", file=sys.stderr)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_median_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": int(cpus), "repeat": repeat}))
+                      "cpus": int(cpus), "repeat": repeat, "failed": failed}))
     spark.stop()
 
 
