@@ -38,7 +38,7 @@ class ChangelogCounter(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows).sort_values("seq", kind="stable")
-        base = self.count.get()[0] if self.count.exists() else 0
+        base = (self.count.get() or (0,))[0]
         n = base + np.arange(1, len(pdf) + 1, dtype="int64")
         seq = pdf["seq"].to_numpy()
         after = pd.DataFrame({"seq": seq, "pos": np.where(n > 1, 1, 0).astype("int32"),
@@ -73,7 +73,7 @@ class TimerPerEvent(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
         ms = pdf["ms"].to_numpy(dtype="int64")
-        old, armed = (self.pending.get() if self.pending.exists() else ([], None))
+        old, armed = self.pending.get() or ([], None)
         times = np.union1d(np.asarray(old or [], dtype="int64"), ms + self.delay_ms)
         first = int(times[0])
         if armed is None or first < armed:
@@ -124,8 +124,9 @@ class PeriodicCount(StatefulProcessor):
             "state", "first long, next long, total long, ticks array<long>, counts array<long>")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            first, nxt, total, ticks, counts = self.state.get()
+        st = self.state.get()                  # None for a key seen for the first time
+        if st is not None:
+            first, nxt, total, ticks, counts = st
             chunks = rows                      # known key: fold rows in chunk by chunk
         else:
             chunks = list(rows)                # new key: its earliest click anchors the ticks
