@@ -132,3 +132,17 @@ def test_timer_processor_equals_batch(spark):
     got = run_available_now(t, "twin_timer", conf=TWS).rows()
     exp = timer_per_event(clicks(spark, SF_SMALL), 10_000)
     assert rows(got, "user_id", "kind", "at_ms") == rows(exp, "user_id", "kind", "at_ms")
+
+
+def test_stream_tumbling_golden_f4(spark):
+    """The reference's listing: window [22:01:50, 22:02:00) closes when the
+    22:02:00 click arrives; the /b window stays open."""
+    from clickflow.sources.rows import click_rows
+    from clickflow.streaming.replay import write_replay
+    from fixtures import CLICKS_WINDOW, ms as at
+    recs = click_rows(spark, CLICKS_WINDOW)
+    r = write_replay(spark, recs, "timestamp", "f4", 2, 1)
+    s = from_click_records(r.stream(spark)).withWatermark("ts", "0 seconds")
+    got = rows(run_available_now(W.url_counts(s, 10_000), "f4").rows(), "url", "cnt", "window_start")
+    start = at(2023, 9, 6, 22, 1, 50)
+    assert got == [("/a", 1, start), ("/abc@a=1?", 2, start), ("/al/a?", 2, start), ("/b/url/afs", 2, start)]
