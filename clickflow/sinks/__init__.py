@@ -16,14 +16,26 @@ def hour_bucket(ms_col: str = "ms"):
     return F.date_format(F.timestamp_millis(F.col(ms_col)), "yyyy-MM-dd--HH")
 
 
+def records_for_bytes(df: DataFrame, value: str, roll_bytes: int) -> int:
+    """Records per file that approximate a byte-size roll (Spark rolls by
+    record count only): ``roll_bytes`` over the average line size, measured
+    with one scalar aggregate."""
+    avg = df.agg(F.avg(F.length(F.col(value)) + F.lit(1))).first()[0] or 1.0
+    return max(1, int(roll_bytes // avg))
+
+
 def write_text_files(df: DataFrame, path: str, value: str = "value", bucket: str = "bucket",
-                     max_records_per_file: int = 1_000_000, order_col: str | None = None) -> None:
+                     max_records_per_file: int = 1_000_000, order_col: str | None = None,
+                     roll_bytes: int | None = None) -> None:
     """K3 (batch): row-format text files, one folder per bucket, rolled by
-    record count (Spark has no byte-size roll).
+    record count, or by approximate size when ``roll_bytes`` is given
+    (the reference rolls at 1 GiB).
 
     With ``order_col`` the rows are range-partitioned on (bucket, order_col)
     first: each task writes a contiguous slice, so a bucket gets a few files
     instead of one per task, and a hot bucket is still split over tasks."""
+    if roll_bytes:
+        max_records_per_file = records_for_bytes(df, value, roll_bytes)
     if order_col:
         df = df.repartitionByRange(bucket, order_col)
     (df.select(F.col(value).alias("value"), bucket).write.mode("overwrite")

@@ -96,3 +96,14 @@ def test_rich_mapper_lifecycle(spark):
     out = map_rich(df, Tagged, "seq long, pid int")
     assert sorted(r.pid for r in out.select("pid").distinct().collect()) == [0, 1, 2, 3]
     assert out.count() == 1000
+
+
+def test_roll_by_bytes(spark):
+    from clickflow.sinks import records_for_bytes
+    c = from_click_records(click_rows(spark, [("a", "/x", i) for i in range(100)]))
+    lines = c.select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket"))
+    n = records_for_bytes(lines, "value", 400)
+    out = scratch_path(spark, "test", "roll")
+    write_text_files(lines, out, roll_bytes=400)
+    files = [f for f in os.listdir(os.path.join(local_path(out), "bucket=1970-01-01--00")) if f.startswith("part-")]
+    assert n >= 1 and len(files) >= 100 // n
