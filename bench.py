@@ -26,6 +26,15 @@ HEADLINE = [
 ]
 
 
+def _default_heap() -> str:
+    """12 GB, or 60% of the machine's memory when that is less."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(2, min(12, int(total * 0.6 / 2**30)))}g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -35,7 +44,7 @@ def main() -> None:
     from clickflow.session import build_session
     from clickflow.plans import REGISTRY
 
-    mem = os.environ.get("BENCH_DRIVER_MEMORY", "12g")
+    mem = os.environ.get("BENCH_DRIVER_MEMORY") or _default_heap()
     spark = build_session(f"local[{cpus}]", app="clickflow-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": mem})
 
