@@ -99,19 +99,35 @@ PV_UV = PandasAggregate(
 )
 
 
-def flatmap_udtf(spark, user_value):
-    """A general flatMap as a Python table function (Arrow-batched),
-    applied with a lateral join.  Same rows as
+def flatmap_udtf(user_value):
+    """A general flatMap as a vectorized Python table function
+    (``arrow_udtf``: ``eval`` receives Arrow record batches of its TABLE
+    argument and returns whole batches).  Same rows as
     ``transforms.flatmap_conditional``; the column form is the fast path, this
     is the surface for logic no expression can state."""
-    from pyspark.sql.functions import udtf
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.functions import arrow_udtf
 
-    @udtf(returnType="pos int, v string", useArrow=True)
+    @arrow_udtf(returnType="seq long, pos int, v string")
     class ConditionalFlatMap:
-        def eval(self, user, url, ms):
-            u, t = str(user), str(ms)
-            out = [url, t, u, t] if user == user_value else [u, t]
-            for i, v in enumerate(out):
-                yield i, v
+        def eval(self, batch: pa.RecordBatch):
+            seq = batch.column("seq")
+            u = pc.cast(batch.column("user_id"), pa.string())
+            t = pc.cast(batch.column("ms"), pa.string())
+            hit = pc.fill_null(pc.equal(batch.column("user_id"), user_value), False)
+            m = hit.to_numpy(zero_copy_only=False)
+            layers = [  # (rows, pos, value): user, timestamp for every row; url, ts first for hits
+                (seq, np.where(m, 2, 0), u),
+                (seq, np.where(m, 3, 1), t),
+                (pc.filter(seq, hit), np.zeros(m.sum(), "int32"), pc.filter(batch.column("url"), hit)),
+                (pc.filter(seq, hit), np.ones(m.sum(), "int32"), pc.filter(t, hit)),
+            ]
+            yield pa.table({
+                "seq": pa.concat_arrays([x[0] for x in layers]),
+                "pos": pa.array(np.concatenate([np.asarray(x[1], "int32") for x in layers])),
+                "v": pa.concat_arrays([x[2] for x in layers]),
+            })
 
     return ConditionalFlatMap

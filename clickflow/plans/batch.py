@@ -144,11 +144,9 @@ SELECT seq, CASE WHEN user_id = {FILTER_USER}
   ELSE [CAST(user_id AS VARCHAR), CAST(ms AS VARCHAR)] END AS arr FROM ck)
 SELECT seq, CAST(unnest(range(len(arr))) AS INTEGER) AS pos, unnest(arr) AS v FROM a""")
 def udtf_flatmap_conditional(spark, sf_dir):
-    """The conditional flatMap as a Python UDTF in a lateral join."""
-    fn = flatmap_udtf(spark, FILTER_USER)
-    c = clicks(spark, sf_dir).select("seq", "user_id", "url", "ms")
-    return c.lateralJoin(fn(F.col("user_id").outer(), F.col("url").outer(), F.col("ms").outer())).select(
-        "seq", "pos", "v")
+    """The conditional flatMap as a vectorized Python table function."""
+    fn = flatmap_udtf(FILTER_USER)
+    return fn(clicks(spark, sf_dir).select("seq", "user_id", "url", "ms").asTable())
 
 
 @register("process_conditional", f"""WITH {CK}, a AS (

@@ -51,9 +51,8 @@ def test_console_sink_runs(spark):
 
 
 def test_udtf_flatmap_matches_expression_form(spark):
-    c = from_click_records(click_rows(spark, CLICKS3))
-    fn = flatmap_udtf(spark, "b")
-    got = c.lateralJoin(fn(F.col("user_id").outer(), F.col("url").outer(), F.col("ms").outer()))
+    c = from_click_records(click_rows(spark, CLICKS3)).withColumn("seq", F.col("seq").cast("long"))
+    got = flatmap_udtf("b")(c.select("seq", "user_id", "url", "ms").asTable())
     assert rows(got, "seq", "pos", "v") == rows(P.flatmap_conditional(c, "b"), "seq", "pos", "v")
 
 
