@@ -223,8 +223,10 @@ SELECT k.seq, k.user_id, k.ms, w.watermark_ms FROM k JOIN w ON k.chunk = w.chunk
 def stream_element_watermark(spark, sf_dir):
     """Every click with the watermark current when it was processed
     (the largest event time of earlier micro-batches, delay 0)."""
-    s = click_stream(spark, sf_dir).select("user_id", "seq", "ms", "ts")
-    t = s.groupBy("user_id").transformWithStateInPandas(
+    buckets = max(16, 4 * spark.sparkContext.defaultParallelism)
+    s = click_stream(spark, sf_dir).select(
+        "user_id", "seq", "ms", "ts", F.pmod(F.xxhash64("seq"), F.lit(buckets)).alias("_bucket"))
+    t = s.groupBy("_bucket").transformWithStateInPandas(
         statefulProcessor=ElementWatermark(), outputStructType=ELEMENT_WM_SCHEMA,
         outputMode="Append", timeMode="EventTime")
     return run_available_now(t, "stream_element_watermark", conf=_TWS_CONF).rows()

@@ -170,7 +170,9 @@ ELEMENT_WM_SCHEMA = "seq long, user_id long, ms long, watermark_ms long"
 
 class ElementWatermark(StatefulProcessor):
     """Each element with its event time and the event-time watermark in
-    force when it was processed (Spark advances it once per micro-batch)."""
+    force when it was processed (Spark advances it once per micro-batch).
+    Keeps no state, so it can be grouped by any spreading key (a hash bucket),
+    not by a possibly hot user."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         pass
@@ -178,7 +180,7 @@ class ElementWatermark(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         for pdf in rows:
-            yield pd.DataFrame({"seq": pdf["seq"], "user_id": key[0], "ms": pdf["ms"], "watermark_ms": wm})
+            yield pd.DataFrame({"seq": pdf["seq"], "user_id": pdf["user_id"], "ms": pdf["ms"], "watermark_ms": wm})
 
     def close(self) -> None:
         pass
