@@ -45,7 +45,7 @@ class Replay:
 def _as_int(v) -> tuple[int, bool]:
     if isinstance(v, datetime):
         return (v - _EPOCH) // timedelta(microseconds=1), True
-    return int(v), False
+    return math.floor(v), False   # floor: every value lies in [min, max + 1)
 
 
 def _literal(v: int, is_ts: bool) -> Column:

@@ -146,3 +146,11 @@ def test_stream_tumbling_golden_f4(spark):
     got = rows(run_available_now(W.url_counts(s, 10_000), "f4").rows(), "url", "cnt", "window_start")
     start = at(2023, 9, 6, 22, 1, 50)
     assert got == [("/a", 1, start), ("/abc@a=1?", 2, start), ("/al/a?", 2, start), ("/b/url/afs", 2, start)]
+
+
+def test_replay_slices_cover_fractional_negative_values(spark):
+    from clickflow.streaming.replay import slice_predicates
+    df = spark.createDataFrame([(-2.5,), (-0.1,), (0.0,), (3.7,), (9.99,)], "x double")
+    preds = slice_predicates(df, "x", 3)
+    counts = [df.filter(p).count() for p in preds]
+    assert sum(counts) == 5
