@@ -27,7 +27,7 @@ from clickflow.session import scratch_path, use_utc
 from clickflow.sources.tables import click_view, table
 from clickflow.sources.views import register_view
 from clickflow.streaming.processors import (
-    ELEMENT_WM_SCHEMA, PERIODIC_SCHEMA, ElementWatermark, PeriodicCount,
+    ELEMENT_WM_SCHEMA, PERIODIC_SCHEMA, ElementWatermark, PeriodicCount, combine_per_ms,
 )
 from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
@@ -298,9 +298,12 @@ def stream_timer_per_event(spark, sf_dir):
 
 @register("stream_periodic_user_pv", _sql("periodic_user_pv"), streaming=True)
 def stream_periodic_user_pv(spark, sf_dir):
-    """E8 + E10 on a stream: cumulative PV per user every period, from value
-    and map state plus one event-time timer per user."""
-    s = click_stream(spark, sf_dir).select("user_id", "ms", "ts")
+    """E8 + E10 on a stream: cumulative PV per user every period, from one
+    value state and one event-time timer per user; clicks are combined per
+    (user, ms) on the map side first."""
+    use_utc(spark)
+    r = events_replay(spark, sf_dir, CHUNKS, FILES_PER_CHUNK)
+    s = combine_per_ms(click_view(r.stream(spark))).withWatermark("ts", WATERMARK_DELAY)
     t = s.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=PeriodicCount(B.REPORT_PERIOD_MS), outputStructType=PERIODIC_SCHEMA,
         outputMode="Append", timeMode="EventTime")

@@ -136,9 +136,11 @@ class PeriodicCount(StatefulProcessor):
         pending = pd.Series(np.asarray(counts or [], dtype="int64"), index=np.asarray(ticks or [], dtype="int64"))
         for pdf in chunks:
             ms = pdf["ms"].to_numpy(dtype="int64")
+            w = pdf["n"].to_numpy(dtype="int64") if "n" in pdf else np.ones(len(ms), dtype="int64")
             k = np.maximum(np.ceil((ms - first) / self.period), 1).astype("int64")
-            new_t, new_c = np.unique(first + k * self.period, return_counts=True)
-            pending = pending.add(pd.Series(new_c.astype("int64"), index=new_t), fill_value=0)
+            new_t, inv = np.unique(first + k * self.period, return_inverse=True)
+            new_c = np.bincount(inv, weights=w).astype("int64")
+            pending = pending.add(pd.Series(new_c, index=new_t), fill_value=0)
         pending = pending.sort_index()
         self.state.update((first, nxt, total, pending.index.astype("int64").tolist(),
                            pending.to_numpy(dtype="int64").tolist()))
@@ -184,3 +186,18 @@ class ElementWatermark(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def combine_per_ms(stream_df, key: str = "user_id"):
+    """Map-side combine before a keyed processor: each input partition's
+    clicks become (key, ms, n) counts (stateless ``mapInPandas``), so a hot
+    key's rows reach its state task as counts, not one row per click."""
+    from pyspark.sql import functions as F
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.groupby([key, "ms"], sort=False).size().reset_index(name="n")
+
+    out = stream_df.select(key, "ms").mapInPandas(combine, f"{key} long, ms long, n long")
+    return out.withColumn("ts", F.timestamp_millis("ms"))
