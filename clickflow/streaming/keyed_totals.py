@@ -40,9 +40,10 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 class KeyedTotals:
-    def __init__(self, spark: SparkSession, key: str, name: str, key_type: str = "string"):
+    def __init__(self, spark: SparkSession, key: str, name: str, key_type: str = "string",
+                 path: str | None = None):
         self.spark, self.key = spark, key
-        self.path = scratch_path(spark, "totals", name)
+        self.path = path or scratch_path(spark, "totals", name)
         self.schema = f"{key} {key_type}, total long"
 
     def before(self, batch_id: int) -> DataFrame:

@@ -77,14 +77,15 @@ def state_partitions(spark: SparkSession) -> int:
 def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
                       batch_fn: Callable[[DataFrame], DataFrame] | None = None,
                       conf: dict[str, str] | None = None, timeout_s: int = 1800,
-                      batch_fn_id: Callable[[DataFrame, int], DataFrame] | None = None) -> StreamResult:
+                      batch_fn_id: Callable[[DataFrame, int], DataFrame] | None = None,
+                      paths: tuple[str, str] | None = None) -> StreamResult:
     """``batch_fn`` / ``batch_fn_id`` turn each micro-batch into the rows to
     write (the latter also gets the batch id); the micro-batch is persisted
-    while they run, since such functions read it more than once."""
+    while they run, since such functions read it more than once.  ``paths``
+    = (output, checkpoint) resumes an earlier run of the same query."""
     spark = stream_df.sparkSession
     conf = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), **(conf or {})}
-    out = scratch_path(spark, "out", name)
-    ckpt = scratch_path(spark, "ckpt", name)
+    out, ckpt = paths or (scratch_path(spark, "out", name), scratch_path(spark, "ckpt", name))
     holder: dict = {}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
