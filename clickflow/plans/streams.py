@@ -175,6 +175,21 @@ def stream_pv_uv_tumbling(spark, sf_dir):
     return run_available_now(s, "stream_pv_uv_tumbling").rows()
 
 
+@register("stream_url_count_tumbling_10s", _closed_sql("url_count_tumbling_10s"), streaming=True)
+def stream_url_count_tumbling_10s(spark, sf_dir):
+    """W2 on a stream at the reference's 10 s window, with the record text."""
+    s = W.url_counts(click_stream(spark, sf_dir), B.REF_URL_WINDOW_MS)
+    return run_available_now(s, "stream_url_count_tumbling_10s").rows().withColumn("text", W.window_count_text())
+
+
+@register("stream_pv_uv_tumbling_5s", _closed_sql("pv_uv_tumbling_5s", f"window_start + {B.REF_PV_UV_MS}"),
+          streaming=True)
+def stream_pv_uv_tumbling_5s(spark, sf_dir):
+    """A9 + A10 on a stream at the reference's 5 s window."""
+    s = W.pv_uv(click_stream(spark, sf_dir), B.REF_PV_UV_MS)
+    return run_available_now(s, "stream_pv_uv_tumbling_5s").rows()
+
+
 @register("stream_topn_sliding", _closed_sql("topn_sliding"), streaming=True)
 def stream_topn_sliding(spark, sf_dir):
     """T2 + E7 on a stream: windows close once (append mode), so every
