@@ -178,3 +178,36 @@ def test_stream_restart_after_failure_is_exactly_once(spark):
     got = run_available_now(s, "restart", batch_fn_id=lambda b, i: changelog_batch(b, i, totals), paths=paths).rows()
     exp = changelog_count(clicks(spark, SF_SMALL), "url", block_of("seq", 100))
     assert rows(got, "seq", "pos", "op", "url", "n") == rows(exp, "seq", "pos", "op", "url", "n")
+
+
+def test_keyed_state_restart_after_failure(spark):
+    class FailOnceCount(PeriodicCount):
+        """Fails the first timer firing of the run once (a marker file records
+        the attempt), as an executor loss in the middle of a batch would."""
+
+        def __init__(self, period_ms, marker):
+            super().__init__(period_ms)
+            self.marker = marker
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            if not os.path.exists(self.marker):
+                open(self.marker, "w").close()
+                raise RuntimeError("simulated failure while firing timers")
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+    r = events_replay(spark, SF_SMALL, 4, 1)
+    paths = (scratch_path(spark, "test", "tws-out"), scratch_path(spark, "test", "tws-ckpt"))
+    marker = os.path.join(local_path(scratch_path(spark, "test", "tws-marker")))
+
+    def query():
+        s = click_view(r.stream(spark)).withWatermark("ts", "0 seconds").select("user_id", "ms", "ts")
+        return s.groupBy("user_id").transformWithStateInPandas(
+            statefulProcessor=FailOnceCount(86_400_000, marker), outputStructType=PERIODIC_SCHEMA,
+            outputMode="Append", timeMode="EventTime")
+
+    with pytest.raises(Exception):
+        run_available_now(query(), "tws_restart", conf=TWS, paths=paths)
+    assert os.path.exists(marker)
+    got = run_available_now(query(), "tws_restart", conf=TWS, paths=paths).rows()
+    exp = periodic_counts(clicks(spark, SF_SMALL), 86_400_000)
+    assert rows(got, "user_id", "tick", "pv") == rows(exp, "user_id", "tick", "pv")
