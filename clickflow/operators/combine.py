@@ -37,8 +37,12 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column,
     """Equi-join on ``key`` with hot keys of ``big`` split over ``buckets``.
 
     ``salt_of`` is a deterministic per-row expression of ``big`` (e.g. a hash
-    of its unique id) so retried tasks salt identically.
+    of its unique id) so retried tasks salt identically.  Inner and left joins
+    only: the small side is replicated per salt, so an unmatched small row
+    would repeat in a right or full outer join.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     hot = F.broadcast(hot_keys(big, key, fraction).withColumn("_hot", F.lit(True)))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt_of, F.lit(buckets))).otherwise(F.lit(0)))

@@ -71,3 +71,15 @@ def test_bounded_keyed_join_stream_equals_batch(spark):
     res = run_available_now(keyed_join_within(ls, rs, "key", "l_ts", "r_ts", 5_000).select("l_seq", "r_seq"),
                             "bounded_join")
     assert rows(res.rows()) == rows(batch) and len(rows(batch)) > 0
+
+
+def test_salted_left_join_keeps_unmatched_once(spark):
+    big = spark.createDataFrame([(i, "hot" if i % 2 else "lonely") for i in range(200)], "id long, key string")
+    small = spark.createDataFrame([("hot", 1)], "key string, attr long")
+    plain = rows(big.join(small, "key", "left"), "id", "key", "attr")
+    salted = rows(salted_join(big, small, "key", F.xxhash64("id"), buckets=4, fraction=0.1, how="left"),
+                  "id", "key", "attr")
+    assert plain == salted
+    import pytest
+    with pytest.raises(ValueError):
+        salted_join(big, small, "key", F.xxhash64("id"), how="full")
