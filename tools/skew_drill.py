@@ -32,6 +32,7 @@ def main() -> None:
 
     from clickflow.operators import aggregates as A
     from clickflow.operators.changelog import changelog_count
+    from clickflow.operators.combine import keyed_join
     from clickflow.operators.scan import adaptive_block
     from clickflow.session import build_session
     from clickflow.sources.tables import click_view, table
@@ -40,12 +41,15 @@ def main() -> None:
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # joins must shuffle: no side is broadcast
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.driver.memory": "8g"})
     ev = table(spark, sf_dir, "events")
     skewed = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long"))
                            .otherwise(F.col("user_id")))
     c = click_view(skewed)
     total = c.count()
+    first = c.groupBy("user_id").agg(F.min("ms").alias("right_ms"))
     w_user = Window.partitionBy("user_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     w_url = Window.partitionBy("url").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
@@ -60,6 +64,10 @@ def main() -> None:
             lambda: A.most_active_running(c, block=adaptive_block(c, "seq")),
         "most active user so far (global), one window":
             lambda: c.select("seq", F.max(F.struct(F.col("seq"), F.col("user_id"))).over(w_all).alias("b")),
+        "click x first-seen join, salted (8 buckets)":
+            lambda: keyed_join(c.select("user_id", "seq"), first, "user_id", F.xxhash64("seq"), 8, 0.05),
+        "click x first-seen join, plain sort-merge":
+            lambda: keyed_join(c.select("user_id", "seq"), first, "user_id"),
     }
     for name, build in runs.items():
         spark.sparkContext.setJobGroup(name, name)
