@@ -31,7 +31,7 @@ from clickflow.streaming.processors import (
 )
 from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
-from clickflow.streaming.runner import ROCKSDB, run_available_now
+from clickflow.streaming.runner import ROCKSDB, run_available_now, state_partitions
 
 CHUNKS = 4                # micro-batches of a replay
 FILES_PER_CHUNK = 2       # files per micro-batch
@@ -238,7 +238,7 @@ SELECT k.seq, k.user_id, k.ms, w.watermark_ms FROM k JOIN w ON k.chunk = w.chunk
 def stream_element_watermark(spark, sf_dir):
     """Every click with the watermark current when it was processed
     (the largest event time of earlier micro-batches, delay 0)."""
-    buckets = max(16, 4 * spark.sparkContext.defaultParallelism)
+    buckets = 4 * state_partitions(spark)   # every state partition gets work
     s = click_stream(spark, sf_dir).select(
         "user_id", "seq", "ms", "ts", F.pmod(F.xxhash64("seq"), F.lit(buckets)).alias("_bucket"))
     t = s.groupBy("_bucket").transformWithStateInPandas(
