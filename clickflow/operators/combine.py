@@ -3,9 +3,10 @@
 The join is a plain equi-join, so Catalyst picks broadcast-hash (small side
 under ``autoBroadcastJoinThreshold``, a size it measures) or sort-merge, and
 AQE splits skewed partitions at run time.  ``salted_join`` adds an explicit
-guard for keys known to be hot: only those keys are spread over ``buckets``
-sub-keys on the big side and replicated on the other, so a key with a third of
-the rows is processed by ``buckets`` tasks instead of one.
+guard for keys found to be hot: only those keys are spread over sub-keys on
+the big side (one per ``rows_per_bucket`` of their rows, at least ``buckets``)
+and replicated on the other, so a key with a third of the rows is processed by
+many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -29,12 +30,15 @@ def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
         raise ValueError("fraction must be in (0, 1)")
     total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > total * F.lit(fraction)).select(key)
+    return counts.filter(F.col("_n") > total * F.lit(fraction)).select(key, "_n")
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column,
-                buckets: int = 16, fraction: float = 0.01, how: str = "inner") -> DataFrame:
-    """Equi-join on ``key`` with hot keys of ``big`` split over ``buckets``.
+                buckets: int = 16, fraction: float = 0.01, how: str = "inner",
+                rows_per_bucket: int = 2_000_000) -> DataFrame:
+    """Equi-join on ``key`` with each hot key of ``big`` split over
+    ``max(buckets, rows / rows_per_bucket)`` sub-keys, so the work per task
+    stays bounded however large the hot key grows.
 
     ``salt_of`` is a deterministic per-row expression of ``big`` (e.g. a hash
     of its unique id) so retried tasks salt identically.  Inner and left joins
@@ -43,14 +47,16 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column,
     """
     if how not in ("inner", "left", "left_outer", "leftouter"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
-    hot = F.broadcast(hot_keys(big, key, fraction).withColumn("_hot", F.lit(True)))
+    nb = F.greatest(F.lit(buckets), F.ceil(F.col("_n") / F.lit(rows_per_bucket))).cast("long")
+    hot = F.broadcast(hot_keys(big, key, fraction).select(key, nb.alias("_nb")))
     b = (big.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt_of, F.lit(buckets))).otherwise(F.lit(0)))
-         .drop("_hot"))
+         .withColumn("_salt", F.when(F.col("_nb").isNotNull(), F.pmod(salt_of, F.col("_nb"))).otherwise(F.lit(0)))
+         .drop("_nb"))
     s = (small.join(hot, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
+         .withColumn("_salt", F.explode(F.when(F.col("_nb").isNotNull(),
+                                               F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1))
+                                        .otherwise(F.array(F.lit(0).cast("long")))))
+         .drop("_nb"))
     return b.join(s, [key, "_salt"], how).drop("_salt")
 
 
