@@ -33,7 +33,9 @@ from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
 from clickflow.streaming.runner import ROCKSDB, run_available_now, state_partitions
 
-CHUNKS = 4                # micro-batches of a replay
+CHUNKS = 4                # micro-batches of a replay (more once a slice would pass 50M rows;
+                          # the per-batch oracles of late data, element watermark and progress
+                          # state the 4-slice replay, i.e. inputs under 200M rows)
 FILES_PER_CHUNK = 2       # files per micro-batch
 WATERMARK_DELAY = "0 seconds"   # bounded out-of-orderness 0 (reference)
 LATE_CHUNK_ORDER = [0, 2, 1, 3]  # stream_late_data: slice 1 arrives after slice 2

@@ -27,6 +27,7 @@ from clickflow.session import is_local_fs, scratch_path
 _CACHE: dict[tuple, "Replay"] = {}
 _EPOCH = datetime(1970, 1, 1)
 ROWS_PER_FILE = 4_000_000
+ROWS_PER_BATCH = 50_000_000   # upper bound on rows per replayed micro-batch
 
 
 class Replay:
@@ -77,14 +78,18 @@ def _count_files(spark: SparkSession, path: str) -> int:
 def write_replay(spark: SparkSession, df: DataFrame, order_col: str, name: str, chunks: int = 4,
                  min_files_per_chunk: int = 2, chunk_order: list[int] | None = None,
                  fmt: str = "parquet", value_col: str | None = None, cache_key: tuple | None = None,
-                 rows_per_file: int = ROWS_PER_FILE) -> Replay:
-    """Write ``df`` as ``chunks`` slices of ``order_col``, one slice after the
-    other in ``chunk_order`` (default: oldest first)."""
+                 rows_per_file: int = ROWS_PER_FILE, rows_per_batch: int = ROWS_PER_BATCH) -> Replay:
+    """Write ``df`` as slices of ``order_col``, one slice after the other in
+    ``chunk_order`` (default: oldest first).  ``chunks`` is the least number
+    of slices; without an explicit order it grows so that no micro-batch holds
+    more than ``rows_per_batch`` rows."""
     if cache_key is not None and cache_key in _CACHE:
         return _CACHE[cache_key]
     path = scratch_path(spark, "replay", name)
-    preds = slice_predicates(df, order_col, chunks)
     rows = df.count()
+    if chunk_order is None:
+        chunks = max(chunks, math.ceil(rows / rows_per_batch))
+    preds = slice_predicates(df, order_col, chunks)
     files = max(min_files_per_chunk, math.ceil(rows / chunks / rows_per_file))
     written = 0
     for i, c in enumerate(chunk_order or list(range(chunks))):
