@@ -38,6 +38,7 @@ SLIDE_SIZE_MS = 2 * HOUR_MS   # sliding window size (reference: 10 s)
 SLIDE_STEP_MS = HOUR_MS       # sliding step (reference: 5 s)
 REPORT_PERIOD_MS = DAY_MS     # periodic PV report (reference: 10 s)
 TIMER_DELAY_MS = 10_000       # per-event timer delay (reference value)
+ROLL_BYTES = 1 << 30          # text sink part-file roll size (reference value: 1 GiB)
 SEQ_BLOCK = 4096              # smallest prefix-scan block on seq (grows as sqrt of the seq range)
 DOC_BLOCK = 64                # smallest prefix-scan block on doc_id for token scans
 
@@ -207,7 +208,7 @@ def file_sink_roundtrip(spark, sf_dir):
     c = clicks(spark, sf_dir)
     out = scratch_path(spark, "files", "roundtrip")
     write_text_files(c.select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket"), "ms"), out,
-                     max_records_per_file=100_000, order_col="ms")
+                     roll_bytes=ROLL_BYTES, order_col="ms")
     return spark.read.option("basePath", out).text(out).select("value", F.col("bucket").cast("string"))
 
 

@@ -22,7 +22,7 @@ from clickflow.operators.ranking import report, top_n
 from clickflow.operators.timers import pv_report_text, timer_per_event_stream
 from clickflow.plans import batch as B
 from clickflow.plans.registry import CK, REGISTRY, register
-from clickflow.sinks import hour_bucket, stream_text_files
+from clickflow.sinks import hour_bucket, records_for_bytes, stream_text_files
 from clickflow.session import scratch_path, use_utc
 from clickflow.sources.tables import click_view, table
 from clickflow.sources.views import register_view
@@ -87,7 +87,10 @@ def stream_file_sink(spark, sf_dir):
     record count; exactly-once through the sink's commit log."""
     s = click_stream(spark, sf_dir).select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket"))
     out, ckpt = scratch_path(spark, "files", "stream"), scratch_path(spark, "ckpt", "stream_file_sink")
-    q = stream_text_files(s, out, ckpt, max_records_per_file=100_000)
+    # records per part file for a ~1 GiB roll, from the average line of the source table
+    per_file = records_for_bytes(B.clicks(spark, sf_dir).select(P.event_text().alias("value")), "value",
+                                 B.ROLL_BYTES)
+    q = stream_text_files(s, out, ckpt, max_records_per_file=per_file)
     q.awaitTermination(1800)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
