@@ -91,7 +91,7 @@ def stream_file_sink(spark, sf_dir):
     per_file = records_for_bytes(B.clicks(spark, sf_dir).select(P.event_text().alias("value")), "value",
                                  B.ROLL_BYTES)
     q = stream_text_files(s, out, ckpt, max_records_per_file=per_file)
-    q.awaitTermination(1800)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.format("text").load(out).select("value", F.col("bucket").cast("string"))

@@ -80,13 +80,15 @@ def state_partitions(spark: SparkSession) -> int:
 
 def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
                       batch_fn: Callable[[DataFrame], DataFrame] | None = None,
-                      conf: dict[str, str] | None = None, timeout_s: int = 1800,
+                      conf: dict[str, str] | None = None, timeout_s: int | None = None,
                       batch_fn_id: Callable[[DataFrame, int], DataFrame] | None = None,
                       paths: tuple[str, str] | None = None) -> StreamResult:
     """``batch_fn`` / ``batch_fn_id`` turn each micro-batch into the rows to
     write (the latter also gets the batch id); the micro-batch is persisted
     while they run, since such functions read it more than once.  ``paths``
-    = (output, checkpoint) resumes an earlier run of the same query."""
+    = (output, checkpoint) resumes an earlier run of the same query.
+    ``timeout_s`` None waits until everything available is processed (an
+    availableNow run always ends)."""
     spark = stream_df.sparkSession
     conf = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), **(conf or {})}
     out, ckpt = paths or (scratch_path(spark, "out", name), scratch_path(spark, "ckpt", name))
@@ -110,8 +112,8 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
              .foreachBatch(sink).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         try:
-            finished = q.awaitTermination(timeout_s)
-            if not finished:
+            finished = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+            if finished is False:
                 raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
             if q.exception() is not None:
                 raise RuntimeError(f"streaming query {name} failed: {q.exception()}")
