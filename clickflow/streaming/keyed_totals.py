@@ -64,12 +64,15 @@ def changelog_batch(batch: DataFrame, batch_id: int, totals: KeyedTotals) -> Dat
     counted = prefix_scan(batch.select("seq", key), [key], ["seq"], adaptive_block(batch, "seq"),
                           {"n_local": ("sum", F.lit(1).cast("long"))})
     # one row per key on the right: broadcast by AQE when small, else a
-    # sort-merge join whose skewed partitions AQE splits
-    with_base = counted.join(prev.withColumnRenamed("total", "_base"), key, "left")
+    # sort-merge join whose skewed partitions AQE splits; null-safe, so a
+    # null key keeps its own running total
+    base = prev.select(F.col(key).alias("_pk"), F.col("total").alias("_base"))
+    with_base = counted.join(base, F.col(key).eqNullSafe(F.col("_pk")), "left")
     n = F.coalesce(F.col("_base"), F.lit(0)) + F.col("n_local")
     changes = changes_from_counts(with_base.select("seq", key, n.alias("n")), key)
-    batch_totals = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_add"))
-    new = (prev.join(batch_totals, key, "full")
-           .select(key, (F.coalesce("total", F.lit(0)) + F.coalesce("_add", F.lit(0))).alias("total")))
+    add = batch.groupBy(F.col(key).alias("_bk")).agg(F.count(F.lit(1)).alias("_add"))
+    new = (prev.join(add, F.col(key).eqNullSafe(F.col("_bk")), "full")
+           .select(F.coalesce(F.col(key), F.col("_bk")).alias(key),
+                   (F.coalesce("total", F.lit(0)) + F.coalesce("_add", F.lit(0))).alias("total")))
     totals.write(batch_id, new)
     return changes

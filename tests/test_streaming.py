@@ -211,3 +211,15 @@ def test_keyed_state_restart_after_failure(spark):
     got = run_available_now(query(), "tws_restart", conf=TWS, paths=paths).rows()
     exp = periodic_counts(clicks(spark, SF_SMALL), 86_400_000)
     assert rows(got, "user_id", "tick", "pv") == rows(exp, "user_id", "tick", "pv")
+
+
+def test_changelog_totals_null_key_across_batches(spark):
+    from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
+    totals = KeyedTotals(spark, "url", "nullkey")
+    b0 = spark.createDataFrame([(0, None), (1, "a"), (2, None)], "seq long, url string")
+    b1 = spark.createDataFrame([(3, None), (4, "a"), (5, "b")], "seq long, url string")
+    out0 = changelog_batch(b0, 0, totals).collect()
+    out1 = changelog_batch(b1, 1, totals).collect()
+    after = {(r.seq, r.op): r.n for r in out0 + out1 if r.op != "-U"}
+    assert after == {(0, "+I"): 1, (1, "+I"): 1, (2, "+U"): 2, (3, "+U"): 3, (4, "+U"): 2, (5, "+I"): 1}
+    assert sorted((r.url or "", r.total) for r in totals.before(2).collect()) == [("", 3), ("a", 2), ("b", 1)]
