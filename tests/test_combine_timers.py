@@ -83,3 +83,13 @@ def test_salted_left_join_keeps_unmatched_once(spark):
     import pytest
     with pytest.raises(ValueError):
         salted_join(big, small, "key", F.xxhash64("id"), how="full")
+
+
+def test_hot_key_list_is_bounded_by_fraction(spark):
+    from clickflow.operators.combine import hot_keys
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(f"k{int(rnd.paretovariate(1.2)) % 500}",) for _ in range(5000)], "key string")
+    for fraction in (0.5, 0.1, 0.02):
+        hk = hot_keys(df, "key", fraction).collect()
+        assert len(hk) <= int(1 / fraction)
+        assert all(r._n > 5000 * fraction for r in hk)
