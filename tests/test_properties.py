@@ -47,3 +47,19 @@ def test_java_trim_matches_model(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(strings)], "i int, s string")
     got = {r.i: r.t for r in df.select("i", java_trim(F.col("s")).alias("t")).collect()}
     assert all(got[i] == java_trim_model(s) for i, s in enumerate(strings))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot", "hot", "hot", None]), st.integers(-20, 20)),
+                min_size=1, max_size=120),
+       st.integers(1, 40))
+def test_prefix_scan_property(spark, data, width):
+    from pyspark.sql import Window
+    from clickflow.operators.scan import block_of, prefix_scan
+    df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(data)], "seq long, k string, v long")
+    specs = {"s": ("sum", F.col("v")), "mx": ("max", F.col("v")), "f": ("first", F.col("v"))}
+    got = {r.seq: (r.s, r.mx, r.f) for r in prefix_scan(df, ["k"], ["seq"], block_of("seq", width), specs).collect()}
+    w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    exp = {r.seq: (r.s, r.mx, r.f) for r in df.select(
+        "seq", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("mx"), F.first("v").over(w).alias("f")).collect()}
+    assert got == exp
