@@ -3,6 +3,7 @@
     python -m clickflow list
     python -m clickflow run topn_sliding --sf /root/testdata/sf0.01 --show 20
     python -m clickflow explain keyed_join --sf /root/testdata/sf0.01
+    python -m clickflow job topn_report --clicks clicks.csv     (lines: user,url, ms)
 """
 
 from __future__ import annotations
@@ -12,13 +13,24 @@ import argparse
 
 def main() -> None:
     ap = argparse.ArgumentParser(prog="clickflow")
-    ap.add_argument("command", choices=["list", "run", "explain"])
+    ap.add_argument("command", choices=["list", "run", "explain", "job"])
     ap.add_argument("key", nargs="?")
     ap.add_argument("--sf", default="/root/testdata/sf0.01", help="folder with the parquet tables")
     ap.add_argument("--show", type=int, default=20, help="rows to print")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit / local[*])")
+    ap.add_argument("--clicks", default=None, help="click file for `job`: .csv/.txt lines or parquet")
     a = ap.parse_args()
 
+    if a.command == "job":
+        from clickflow.jobs import JOBS, run_job
+        if a.key not in JOBS or not a.clicks:
+            ap.error(f"job needs one of {sorted(JOBS)} and --clicks")
+        from pyspark.sql import SparkSession
+        from clickflow.session import build_session
+        spark = build_session(a.master) if a.master else (SparkSession.getActiveSession() or build_session("local[*]"))
+        run_job(spark, a.key, a.clicks).show(a.show, truncate=False)
+        return
+
     from clickflow.plans import REGISTRY
     if a.command == "list":
         for name, q in REGISTRY.items():
