@@ -35,7 +35,7 @@ def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column,
                 buckets: int = 16, fraction: float = 0.01, how: str = "inner",
-                rows_per_bucket: int = 2_000_000) -> DataFrame:
+                rows_per_bucket: int = 2_000_000, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join on ``key`` with each hot key of ``big`` split over
     ``max(buckets, rows / rows_per_bucket)`` sub-keys, so the work per task
     stays bounded however large the hot key grows.
@@ -43,12 +43,14 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column,
     ``salt_of`` is a deterministic per-row expression of ``big`` (e.g. a hash
     of its unique id) so retried tasks salt identically.  Inner and left joins
     only: the small side is replicated per salt, so an unmatched small row
-    would repeat in a right or full outer join.
+    would repeat in a right or full outer join.  ``hot`` (key, ``_n``) may be
+    passed when the caller already counted rows per key.
     """
     if how not in ("inner", "left", "left_outer", "leftouter"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     nb = F.greatest(F.lit(buckets), F.ceil(F.col("_n") / F.lit(rows_per_bucket))).cast("long")
-    hot = F.broadcast(hot_keys(big, key, fraction).select(key, nb.alias("_nb")))
+    hot_rows = hot if hot is not None else hot_keys(big, key, fraction)
+    hot = F.broadcast(hot_rows.select(key, nb.alias("_nb")))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_nb").isNotNull(), F.pmod(salt_of, F.col("_nb"))).otherwise(F.lit(0)))
          .drop("_nb"))

@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.functions.timefmt import sql_timestamp_text
+from clickflow.operators.combine import salted_join
+
+HOT_FRACTION = 0.01
 
 # The reference's timer messages.
 DATA_LABEL = ",数据时间戳:"
@@ -40,9 +43,14 @@ def periodic_counts(clicks: DataFrame, period_ms: int, key: str = "user_id") ->
     """Rows (key, tick, pv) for ticks first+period, first+2*period, ...
     up to the final watermark; pv counts the key's clicks with ms <= tick."""
     end = clicks.agg(F.max("ms")).scalar()
-    first = clicks.groupBy(key).agg(F.min("ms").alias("first_ms"))
+    total = clicks.agg(F.count(F.lit(1))).scalar()
+    stats = clicks.groupBy(key).agg(F.min("ms").alias("first_ms"), F.count(F.lit(1)).alias("_n"))
+    first = stats.select(key, "first_ms")
     p = F.lit(period_ms)
-    with_first = clicks.select(key, "ms").join(first, key)
+    # a user with more than 1% of the clicks is salted in the click-to-first join
+    hot = stats.filter(F.col("_n") > total * F.lit(HOT_FRACTION)).select(key, "_n")
+    with_first = salted_join(clicks.select(key, "ms", "seq"), first, key, F.xxhash64("seq"),
+                             buckets=8, hot=hot).select(key, "ms", "first_ms")
     k = F.greatest(F.ceil((F.col("ms") - F.col("first_ms")) / p), F.lit(1)).cast("long")
     per_tick = with_first.groupBy(key, k.alias("k")).agg(F.count(F.lit(1)).alias("c"))
     n_ticks = F.floor((end - F.col("first_ms")) / p).cast("long")
