@@ -48,17 +48,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salt_of: Column,
     """
     if how not in ("inner", "left", "left_outer", "leftouter"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
-    nb = F.greatest(F.lit(buckets), F.ceil(F.col("_n") / F.lit(rows_per_bucket))).cast("long")
     hot_rows = hot if hot is not None else hot_keys(big, key, fraction)
-    hot = F.broadcast(hot_rows.select(key, nb.alias("_nb")))
-    b = (big.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_nb").isNotNull(), F.pmod(salt_of, F.col("_nb"))).otherwise(F.lit(0)))
-         .drop("_nb"))
-    s = (small.join(hot, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_nb").isNotNull(),
-                                               F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1))
-                                        .otherwise(F.array(F.lit(0).cast("long")))))
-         .drop("_nb"))
+    b, s = salt_inputs(big, small, key, salt_of, hot_rows, buckets, rows_per_bucket)
     return b.join(s, [key, "_salt"], how).drop("_salt")
 
 
@@ -89,3 +80,23 @@ def keyed_join_within(left: DataFrame, right: DataFrame, key: str, left_ts: str,
             & (F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") - b)
             & (F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + b))
     return l.join(r, cond, "inner")
+
+
+def salt_inputs(big: DataFrame, small: DataFrame, key: str, salt_of: Column, hot: DataFrame,
+                buckets: int = 16, rows_per_bucket: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+    """The two inputs of a salted equi-join, for callers that add their own
+    join condition (e.g. a stream-stream join with a time bound): both get a
+    ``_salt`` column; join on (key, _salt).  ``hot`` (key, ``_n``) is a
+    bounded list of hot keys, known in advance (from history for streams);
+    joining it to a stream is a stream-static broadcast join."""
+    nb = F.greatest(F.lit(buckets), F.ceil(F.col("_n") / F.lit(rows_per_bucket))).cast("long")
+    hot_b = F.broadcast(hot.select(key, nb.alias("_nb")))
+    b = (big.join(hot_b, key, "left")
+         .withColumn("_salt", F.when(F.col("_nb").isNotNull(), F.pmod(salt_of, F.col("_nb"))).otherwise(F.lit(0)))
+         .drop("_nb"))
+    s = (small.join(hot_b, key, "left")
+         .withColumn("_salt", F.explode(F.when(F.col("_nb").isNotNull(),
+                                               F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1))
+                                        .otherwise(F.array(F.lit(0).cast("long")))))
+         .drop("_nb"))
+    return b, s

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clickflow.operators import aggregates as A
 from clickflow.operators import transforms as P
 from clickflow.operators import windows as W
-from clickflow.operators.combine import co_map_union as _co_map, join_text
+from clickflow.operators.combine import co_map_union as _co_map, hot_keys, join_text, salt_inputs
 from clickflow.operators.ranking import report, top_n
 from clickflow.operators.timers import pv_report_text, timer_per_event_stream
 from clickflow.plans import batch as B
@@ -288,10 +288,18 @@ def stream_keyed_join(spark, sf_dir):
     c = B.clicks(spark, sf_dir)
     first = write_replay(spark, B.first_seen(c), "right_ms", "first_seen", 2, 1,
                          cache_key=("first_seen", sf_dir))
-    left = click_stream(spark, sf_dir).select("user_id", "seq", "ts", F.col("ms").alias("left_ms")).alias("l")
+    # users with over 5% of all clicks (known from history: the table) are
+    # salted so their join state spreads over several partitions; the list
+    # has at most 20 rows, materialized once (a static side of a stream join
+    # would otherwise be recomputed every micro-batch)
+    hot = spark.createDataFrame(hot_keys(c.select("user_id"), "user_id", 0.05).collect(), "user_id long, _n long")
+    left = click_stream(spark, sf_dir).select("user_id", "seq", "ts", F.col("ms").alias("left_ms"))
     right = (first.stream(spark).withColumn("right_ts", F.timestamp_millis("right_ms"))
-             .withWatermark("right_ts", WATERMARK_DELAY).alias("r"))
-    cond = (F.col("l.user_id") == F.col("r.user_id")) & (F.col("r.right_ts") <= F.col("l.ts"))
+             .withWatermark("right_ts", WATERMARK_DELAY))
+    left, right = salt_inputs(left, right, "user_id", F.xxhash64("seq"), hot, buckets=8)
+    left, right = left.alias("l"), right.alias("r")
+    cond = ((F.col("l.user_id") == F.col("r.user_id")) & (F.col("l._salt") == F.col("r._salt"))
+            & (F.col("r.right_ts") <= F.col("l.ts")))
     j = left.join(right, cond, "inner")
     j = j.select(F.col("l.user_id").alias("user_id"), "seq", "left_ms", "right_ms",
                  join_text(F.col("l.user_id"), F.col("left_ms"), F.col("right_ms")).alias("text"))

@@ -93,3 +93,26 @@ def test_hot_key_list_is_bounded_by_fraction(spark):
         hk = hot_keys(df, "key", fraction).collect()
         assert len(hk) <= int(1 / fraction)
         assert all(r._n > 5000 * fraction for r in hk)
+
+
+def test_salted_stream_join_with_hot_key_equals_batch(spark):
+    from clickflow.operators.combine import hot_keys, salt_inputs
+    from clickflow.streaming.replay import write_replay
+    from clickflow.streaming.runner import run_available_now
+
+    rnd = random.Random(21)
+    clicks = [(i, "hot" if rnd.random() < 0.4 else f"u{rnd.randint(0, 20)}", 1000 + 7 * i) for i in range(600)]
+    left_b = spark.createDataFrame(clicks, "seq long, user string, ms long").withColumn("ts", F.timestamp_millis("ms"))
+    first_b = left_b.groupBy("user").agg(F.min("ms").alias("right_ms"))
+    exp = rows(left_b.join(first_b, "user").select("seq", "user", "right_ms"))
+    hot = spark.createDataFrame(hot_keys(left_b, "user", 0.1).collect(), "user string, _n long")
+    assert hot.count() == 1
+    lr = write_replay(spark, left_b, "ms", "salt_l", 3, 1)
+    rr = write_replay(spark, first_b, "right_ms", "salt_r", 2, 1)
+    ls = lr.stream(spark).withWatermark("ts", "0 seconds")
+    rs = rr.stream(spark).withColumn("right_ts", F.timestamp_millis("right_ms")).withWatermark("right_ts", "0 seconds")
+    l, r = salt_inputs(ls, rs, "user", F.xxhash64("seq"), hot, buckets=4)
+    l, r = l.alias("l"), r.alias("r")
+    cond = (F.col("l.user") == F.col("r.user")) & (F.col("l._salt") == F.col("r._salt")) & (F.col("r.right_ts") <= F.col("l.ts"))
+    j = l.join(r, cond).select("seq", F.col("l.user").alias("user"), "right_ms")
+    assert rows(run_available_now(j, "salted_stream").rows()) == exp
