@@ -1,4 +1,4 @@
-"""Batch twins of the event-time timer jobs.
+"""Event-time timer jobs (E5, E10): batch twins, and the stream form of E5.
 
 A bounded input's final watermark is its largest event time; a timer fires
 when the watermark reaches it.  Both jobs are rewritten as set operations:
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.timefmt import sql_timestamp_text
 from clickflow.operators.combine import salted_join
 
-HOT_FRACTION = 0.01
+HOT_FRACTION = 0.01   # users above this share of clicks are salted in the click-to-first join
 
 # The reference's timer messages.
 DATA_LABEL = ",数据时间戳:"
