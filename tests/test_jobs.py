@@ -36,3 +36,15 @@ def test_every_job_runs(spark):
     p = _csv(spark, CLICKS7)
     for name in JOBS:
         assert run_job(spark, name, p).count() >= 0
+
+
+def test_jobs_read_parquet_clicks(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    d = local_path(scratch_path(spark, "test", "jobs-parquet"))
+    os.makedirs(d)
+    p = os.path.join(d, "clicks.parquet")
+    pq.write_table(pa.table({"user": [u for u, _, _ in CLICKS7], "url": [x for _, x, _ in CLICKS7],
+                             "timestamp": pa.array([t for _, _, t in CLICKS7], pa.int64())}), p)
+    assert rows(run_job(spark, "user_frequency", p)) == [("a", 1), ("b", 4), ("c", 2)]
+    assert rows(run_job(spark, "latest_url_per_user", p)) == [("a", "./home"), ("b", "./ada?id=3"), ("c", "./sdf")]
