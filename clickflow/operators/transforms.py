@@ -105,7 +105,10 @@ def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~F.col("_bad")).drop("_bad"), parsed.filter(F.col("_bad")).drop("_bad")
 
 
-def words(lines: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+def words(lines: DataFrame, col: str = "value", keep: tuple[str, ...] = (), positions: bool = True) -> DataFrame:
     """P7 tokenizer: split each line on a single space (string-split
-    semantics), one row per token with its 0-based position."""
-    return lines.select(*keep, F.posexplode(java_split(F.col(col), " ")).alias("pos", "word"))
+    semantics), one row per token, with its 0-based position if asked."""
+    toks = java_split(F.col(col), " ")
+    if positions:
+        return lines.select(*keep, F.posexplode(toks).alias("pos", "word"))
+    return lines.select(*keep, F.explode(toks).alias("word"))

@@ -60,7 +60,8 @@ toks AS (SELECT unnest({sql_java_words('line')}) AS word FROM lines)
 SELECT word, count(*) AS n FROM toks GROUP BY word""")
 def word_count(spark, sf_dir):
     """S1 + P7 + G1 + A1: batch word count over whole document texts."""
-    return _tokens(spark, sf_dir).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    lines = table(spark, sf_dir, "documents").select(F.explode(F.split(F.col("text"), "\n")).alias("line"))
+    return P.words(lines, "line", positions=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("word_count_running", f"""
