@@ -106,7 +106,7 @@ def stream_word_count(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     r = write_replay(spark, docs, "doc_id", "documents", CHUNKS, FILES_PER_CHUNK, fmt="text",
                      value_col="text", cache_key=("documents", sf_dir, CHUNKS, FILES_PER_CHUNK))
-    counts = P.words(r.stream(spark), "value").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = P.words(r.stream(spark), "value", positions=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return run_available_now(counts, "stream_word_count", mode="update").last_per_key(["word"])
 
 
