@@ -223,3 +223,11 @@ def test_changelog_totals_null_key_across_batches(spark):
     after = {(r.seq, r.op): r.n for r in out0 + out1 if r.op != "-U"}
     assert after == {(0, "+I"): 1, (1, "+I"): 1, (2, "+U"): 2, (3, "+U"): 3, (4, "+U"): 2, (5, "+I"): 1}
     assert sorted((r.url or "", r.total) for r in totals.before(2).collect()) == [("", 3), ("a", 2), ("b", 1)]
+
+
+def test_map_side_combine_preserves_counts(spark):
+    from clickflow.streaming.processors import combine_per_ms
+    df = spark.createDataFrame([(1, 10), (1, 10), (1, 10), (2, 10), (1, 11)], "user_id long, ms long")
+    out = combine_per_ms(df)
+    assert rows(out, "user_id", "ms", "n") == [(1, 10, 3), (1, 11, 1), (2, 10, 1)]
+    assert out.agg(F.sum("n")).first()[0] == df.count()
