@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, op1_sentencepiece, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality
+from . import common, op10_winnowed_lines, op1_sentencepiece, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +20,10 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_sentencepiece.encode(docs, tokenizer_path("piece_bpe_32k.model")).drop("ids")
 
 
+def op3_golay_simhash_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_golay_simhash.groups(common.table(spark, sf_dir, "documents"))
+
+
 def op4_harmonic_packing_(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return op4_harmonic_packing.pack(docs, tokenizer_path("word_bpe_49k.json")).drop("ids")
@@ -44,13 +48,19 @@ def op8_rda_quality_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_rda_quality.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op10_winnowed_lines_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_winnowed_lines.dedup(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece_codec,
+    "op3_golay_simhash": op3_golay_simhash_,
     "op4_harmonic_packing": op4_harmonic_packing_,
     "op5_mcd_rules": op5_mcd_rules_,
     "op6_repair_ids": op6_repair_ids_,
     "op7_nb_toxicity": op7_nb_toxicity_,
     "op8_rda_quality": op8_rda_quality_,
+    "op10_winnowed_lines": op10_winnowed_lines_,
 }
 #: DuckDB SQL by query, where SQL can state the result.
 ORACLE_SQL: dict[str, str] = {}
