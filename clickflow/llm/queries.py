@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, op10_winnowed_lines, op1_sentencepiece, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality
+from . import common, op10_winnowed_lines, op1_sentencepiece, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,6 +48,10 @@ def op8_rda_quality_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_rda_quality.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op9_graph_neardup_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_graph_neardup.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 def op10_winnowed_lines_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_winnowed_lines.dedup(common.table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_repair_ids": op6_repair_ids_,
     "op7_nb_toxicity": op7_nb_toxicity_,
     "op8_rda_quality": op8_rda_quality_,
+    "op9_graph_neardup": op9_graph_neardup_,
     "op10_winnowed_lines": op10_winnowed_lines_,
 }
 #: DuckDB SQL by query, where SQL can state the result.
