@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, op10_winnowed_lines, op1_sentencepiece, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
+from . import common, op10_winnowed_lines, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +20,10 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_sentencepiece.encode(docs, tokenizer_path("piece_bpe_32k.model")).drop("ids")
 
 
+def op2_wrapper_html_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_wrapper_html.extract(common.table(spark, sf_dir, "pages"))
+
+
 def op3_golay_simhash_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_golay_simhash.groups(common.table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_winnowed_lines_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece_codec,
+    "op2_wrapper_html": op2_wrapper_html_,
     "op3_golay_simhash": op3_golay_simhash_,
     "op4_harmonic_packing": op4_harmonic_packing_,
     "op5_mcd_rules": op5_mcd_rules_,
