@@ -5,13 +5,14 @@ parity bit appended is a word of the extended Golay code's space; its keys are t
 indices of all codewords within four bits: one, or six for the words farthest from the
 code.  Two segments that differ in at most two bits always share a key (with even
 parity they are 0 or 2 apart; a word two bits away from another stays within four bits
-of one of its codewords).  Of three segments with four errors in all, at least two have
-two errors or fewer, so the key pairs of some two segments meet: every pair of
-fingerprints at distance 4 or less shares a bucket.  Above ``MANY`` fingerprints the
-buckets are made finer, again without losing a pair: either some segment is equal and
-another has two errors at most, or all three have two at most.
-
-Copies are one fingerprint.  Inside a bucket all members are first compared with its
+of one of its codewords).  Of four errors over three segments either some segment has
+none and another two at most, or all three have one or two.  So buckets are made
+of a whole segment with a key of another, and of keys of all three: every pair of
+fingerprints at distance 4 or less shares a bucket, and each bucket is told by 35 bits
+or more, so chance meetings stay rare however many fingerprints there are.
+
+Copies are one fingerprint, which is in each bucket once; so no bucket holds more than a
+hundredth of the rows.  Buckets with one member go at once.  In the others all members are first compared with the
 most frequent one, and the links found make components.  Then only buckets that still
 hold several components are searched, each pair of members of different components once
 with one of them outside the bucket's largest component, so a large group of near
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,6 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 #: Fixed value: generator polynomial of the binary Golay code,
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GOLAY = 0b101011100011
-#: Distinct fingerprints from which the finer buckets are worth their greater number.
-MANY = 50_000_000
 PRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
 
 
@@ -111,14 +110,14 @@ def segment_keys(values: np.ndarray) -> np.ndarray:
     return np.where(found < 0, -1, ((values[:, None] ^ found) & 0x7FFFFF) >> 11)
 
 
-def bucket_keys(fps: np.ndarray, fine: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of the buckets of each fingerprint (as unsigned 64-bit integers)."""
     segs = [((fps >> np.uint64(lo)) & np.uint64((1 << n) - 1)).astype(np.int64) for lo, n in SEGMENTS]
     near = [segment_keys(s) for s in segs]
     n = len(fps)
     rows, keys = [], []
 
-    def put(tag: int, parts: list[np.ndarray]) -> None:
+    def put(tag: int, parts: list[tuple[int, np.ndarray]]) -> None:
         key, ok = np.full((n, 1), tag, dtype=np.int64), np.ones((n, 1), dtype=bool)
         for bits, p in parts:
             ok = (ok[:, :, None] & (p >= 0)[:, None, :]).reshape(n, -1)
@@ -127,17 +126,9 @@ def bucket_keys(fps: np.ndarray, fine: bool = False) -> tuple[np.ndarray, np.nda
         rows.append(at[0])
         keys.append(key[at])
 
-    if not fine:
-        for tag, (i, j) in enumerate(combinations(range(3), 2), 1):
-            put(tag, [(12, near[i]), (12, near[j])])
-    else:
-        put(1, [(12, x) for x in near])
-        tag = 2
-        for i in range(3):
-            for j in range(3):
-                if i != j:
-                    put(tag, [(23, segs[i][:, None]), (12, near[j])])
-                    tag += 1
+    put(1, [(12, x) for x in near])
+    for tag, (i, j) in enumerate(permutations(range(3), 2), 2):
+        put(tag, [(23, segs[i][:, None]), (12, near[j])])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -149,40 +140,37 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> Dat
     return common.map_texts(common.text_rows(docs), per_batch, PRINTS)
 
 
-def with_keys(prints: DataFrame, fine: bool) -> DataFrame:
-    """Rows of (fp, n, comp) repeated for each bucket key."""
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "fp", "n", "comp")])
+def with_keys(prints: DataFrame) -> DataFrame:
+    """Rows of (fp, n) repeated for each bucket key."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "fp", "n")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-                row, key = bucket_keys(cols[0].view(np.uint64), fine)
+                cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(2)]
+                row, key = bucket_keys(cols[0].view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[row]) for c in cols)], names=schema.fieldNames())
 
-    return prints.select("fp", "n", "comp").mapInArrow(run, schema)
+    return prints.select("fp", "n").mapInArrow(run, schema)
 
 
-def linked(prints: DataFrame, max_bits: int = MAX_BITS, many: int = MANY) -> DataFrame:
+def linked(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, comp) of each distinct fingerprint of `prints` (fp, n): `comp` is the least
     fingerprint that links of at most `max_bits` differing bits lead to."""
     if max_bits > 4:
         raise ValueError("the buckets are complete up to 4 differing bits")
-    fine = prints.count() > many
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
-    rows = with_keys(prints.withColumn("comp", F.col("fp")), fine)
-    # links to the most frequent member of each bucket with several
-    hubs = (rows.groupBy("key").agg(F.max_by("fp", "n").alias("hub"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
-            .where("lo <> hi").select("key", "hub"))
-    hubs = common.written(hubs, "golay-hubs")
+    # one shuffle of all keys; only buckets with several members go on
+    several = F.count("*").over(Window.partitionBy("key"))
+    rows = common.written(with_keys(prints).withColumn("members", several).where("members > 1").drop("members"), "golay-rows")
+    hubs = common.written(rows.groupBy("key").agg(F.max_by("fp", "n").alias("hub")), "golay-hubs")
     stars = rows.join(hubs, "key").where((F.col("fp") != F.col("hub")) & near("fp", "hub")).select("fp", "hub").distinct()
     first = common.written(components(stars, "fp", "hub", "fp", "comp"), "golay-first")
-    now = prints.join(first, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
-    now = common.written(now.select("fp", "n", "comp"), "golay-now")
+    rows = rows.join(first, "fp", "left").select("key", "fp", F.coalesce("comp", "fp").alias("comp"))
+    rows = common.written(rows, "golay-comps")
     # buckets that still hold several components
-    rows = with_keys(now, fine)
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rows = common.written(rows.join(common.written(mixed, "golay-mixed"), "key"), "golay-rows")
+    rows = common.written(rows.join(common.written(mixed, "golay-mixed"), "key"), "golay-open")
     sizes = rows.groupBy("key", "comp").count()
     largest = common.written(sizes.groupBy("key").agg(F.max_by("comp", "count").alias("largest")), "golay-largest")
     rest = rows.join(largest, "key").where("comp <> largest").select("key", F.col("fp").alias("fp_a"), F.col("comp").alias("comp_a"))
@@ -190,6 +178,7 @@ def linked(prints: DataFrame, max_bits: int = MAX_BITS, many: int = MANY) -> Dat
     pairs = rows.join(rest, "key").where((F.col("comp") != F.col("comp_a")) & near("fp", "fp_a"))
     links = pairs.select(F.least("comp", "comp_a").alias("a"), F.greatest("comp", "comp_a").alias("b")).distinct()
     second = common.written(components(links, "a", "b", "comp", "root"), "golay-second")
+    now = prints.select("fp").join(first, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp"))
     return now.join(second, "comp", "left").select("fp", F.coalesce("root", "comp").alias("comp"))
 
 

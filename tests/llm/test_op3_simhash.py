@@ -2,7 +2,6 @@ import re
 from itertools import combinations
 
 import numpy as np
-import pytest
 import xxhash
 
 from clickflow.llm import common, op3_golay_simhash as op
@@ -32,15 +31,14 @@ def brute_components(prints):
     return [find(i) for i in range(len(prints))]
 
 
-@pytest.mark.parametrize("fine", [False, True])
-def test_every_pair_within_four_bits_shares_a_bucket(fine):
+def test_every_pair_within_four_bits_shares_a_bucket():
     rnd = np.random.default_rng(3)
     a = rnd.integers(0, 1 << 64, 3000, dtype=np.uint64)
     flips = np.zeros(3000, dtype=np.uint64)
     for i in range(3000):
         for b in rnd.choice(64, rnd.integers(0, 5), replace=False):
             flips[i] ^= np.uint64(1) << np.uint64(b)
-    sets = [set(zip(*(x.tolist() for x in op.bucket_keys(v, fine)))) for v in (a, a ^ flips)]
+    sets = [set(zip(*(x.tolist() for x in op.bucket_keys(v)))) for v in (a, a ^ flips)]
     assert {r for r, _ in sets[0] & sets[1]} == set(range(3000))
 
 
@@ -92,10 +90,9 @@ def test_components_of_dense_groups(spark):
     comps = brute_components(prints)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     df = spark.createDataFrame([(p, 1) for p in signed], "fp long, n long")
-    for many in (op.MANY, 0):
-        got = {r.fp: r.comp for r in op.linked(df, many=many).collect()}
-        for i, p in enumerate(signed):
-            assert got[p] == min(s for s, c in zip(signed, comps) if c == comps[i])
+    got = {r.fp: r.comp for r in op.linked(df).collect()}
+    for i, p in enumerate(signed):
+        assert got[p] == min(s for s, c in zip(signed, comps) if c == comps[i])
 
 
 def test_near_copies_are_linked(spark):
