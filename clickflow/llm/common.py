@@ -123,7 +123,7 @@ class PieceCache:
         if len(self._ids) > self._limit:
             self._ids = {}
         ids = self._ids
-        missing = list({p for pieces in lists for p in pieces if p not in ids})
+        missing = list(set().union(*lists).difference(ids))
         for lo in range(0, len(missing), 50_000):
             part = missing[lo:lo + 50_000]
             ids.update(zip(part, self._encode(part)))
@@ -144,6 +144,12 @@ NOT_PLAIN = re.compile("[^\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-
 PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\u017f]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\u017f\x09-\x0d\x20]+")
 
 
+def is_plain(text: str) -> bool:
+    if text.isascii():
+        return not any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return not NOT_PLAIN.search(text)
+
+
 def byte_letters() -> dict[int, int]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
     others for the code points from 256 on, in order."""
@@ -194,11 +200,11 @@ class WordTokenizer:
         out: list[bytes] = []
         for lo, hi in chunks(texts):
             part = [t or "" for t in texts[lo:hi]]
-            plain = [not NOT_PLAIN.search(t) for t in part]
+            plain = [is_plain(t) for t in part]
             lists = [PLAIN_PIECES.findall(t.lower()) if ok else t.replace("\n", " ").split(" ") for t, ok in zip(part, plain)]
             pieces = self._pieces.load([x for x, ok in zip(lists, plain) if ok])
             words = self._words.load([x for x, ok in zip(lists, plain) if not ok])
-            out += [b"".join([ids[p] for p in x]) for x, ids in ((x, pieces if ok else words) for x, ok in zip(lists, plain))]
+            out += [b"".join(map((pieces if ok else words).__getitem__, x)) for x, ok in zip(lists, plain)]
         return out
 
 
