@@ -154,7 +154,8 @@ def estimates(stats: DataFrame, share: float = SHARE, steps: int = STEPS, min_ro
 
     def step(now: DataFrame, part: float) -> DataFrame:
         far = rows.join(now, KEYS).select(*KEYS, "start", "n", F.col("center").alias("shift"), *VECTOR, distance().alias("d2"))
-        cut = far.groupBy(*KEYS, "start").agg(F.percentile_approx("d2", part).alias("cut"))
+        # written, so that its size is known: a few groups are broadcast, many are joined and split
+        cut = common.written(far.groupBy(*KEYS, "start").agg(F.percentile_approx("d2", part).alias("cut")), "mcd-cut")
         return solved(moments(far.join(cut, [*KEYS, "start"]), F.col("d2") <= F.col("cut")))
 
     now = common.written(now.unionByName(step(now, 0.5).withColumn("start", F.lit(1))), "mcd-starts")
