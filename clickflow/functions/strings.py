@@ -20,7 +20,7 @@ def java_split(col: Column, sep: str) -> Column:
     if len(sep) == 1:
         stripped = F.rtrim(col, F.lit(sep))   # no regex for a one-char separator
     else:
-        stripped = F.regexp_replace(col, f"(?:{esc})+$", "")
+        stripped = F.regexp_replace(col, f"(?:{esc})+\\z", "")
     empty = F.array().cast("array<string>")
     return (F.when(col.isNull(), F.lit(None).cast("array<string>"))
             .when((F.length(col) > 0) & (F.length(stripped) == 0), empty)
@@ -29,8 +29,9 @@ def java_split(col: Column, sep: str) -> Column:
 
 def java_trim(col: Column) -> Column:
     """``String.trim``: strips every char <= U+0020 at both ends (Spark's
-    ``trim`` strips spaces only)."""
-    return F.regexp_replace(col, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    ``trim`` strips spaces only).  ``\\z`` is the very end; ``$`` would also match
+    before a final line break."""
+    return F.regexp_replace(col, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
 
 
 # The click record's display format, Event{user='u', url='x', timestamp=t}

@@ -3,14 +3,14 @@
 Registered queries (``plans``) run on the driver's tables; these functions take
 a user's own clicks, either text lines ``user,url, timestamp`` (the wire
 format of the reference's Kafka job) or parquet with ``user, url, timestamp``
-(epoch ms).  Arrival order is the order of the input (``seq``).
+(epoch ms).  Arrival order is the order of the input (``seq``): file name, then position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickflow.operators import aggregates as A
@@ -30,18 +30,31 @@ REPORT_PERIOD_MS = 10_000
 TIMER_DELAY_MS = 10_000
 
 
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """Rows of a file source with ``seq``: by file name, then position in the
+    file.  Spark packs files into partitions by size, so a row id alone would
+    not follow the names."""
+    at = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_piece"),
+                     F.monotonically_increasing_id().alias("_row"))
+    pieces = at.groupBy("_file", "_piece").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # one row per file piece
+    before = F.sum("_n").over(Window.orderBy("_file", "_piece")) - F.col("_n")
+    offsets = pieces.select("_file", "_piece", "_first", before.alias("_before"))
+    return (at.join(offsets, ["_file", "_piece"]).withColumn("seq", F.col("_before") + F.col("_row") - F.col("_first"))
+            .drop("_file", "_piece", "_row", "_first", "_before"))
+
+
 def load_clicks(spark: SparkSession, path: str) -> DataFrame:
     """Clicks from ``.csv``/``.txt`` lines or parquet, as the click view."""
     if path.endswith((".csv", ".txt")):
-        lines = read_lines(spark, path).withColumn("seq", F.monotonically_increasing_id())
-        recs = P.parse_click_csv(lines, strict=True)
+        recs = P.parse_click_csv(in_file_order(read_lines(spark, path)), strict=True)
     else:
-        recs = spark.read.parquet(path).withColumn("seq", F.monotonically_increasing_id())
+        recs = in_file_order(spark.read.parquet(path))
     return from_click_records(recs.select("seq", "user", "url", F.col("timestamp").cast("long")))
 
 
 def _with_value(c: DataFrame) -> DataFrame:
-    return c.withColumn("value", F.col("ms").cast("double"))
+    return c.withColumn("value", F.col("ms"))
 
 
 JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -125,7 +125,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
         lc, oc = F.col(f"_l_{name}"), F.col(f"_o_{name}")
         has_prev = F.col("_prev_n") > 0
         if kind == "sum":
-            v = F.when(has_prev, oc + lc).otherwise(lc)
+            v = F.when(has_prev, F.coalesce(oc + lc, oc, lc)).otherwise(lc)   # null only if both are
         elif kind == "max":
             v = F.when(has_prev, F.greatest(oc, lc)).otherwise(lc)
         elif kind == "min":

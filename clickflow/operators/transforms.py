@@ -88,15 +88,19 @@ def parse_click_csv(lines: DataFrame, value: str = "value", strict: bool = True,
     malformed line (as the reference's map does); otherwise malformed lines
     get ``timestamp`` null and ``_bad`` true, see ``split_rejects``.
     """
-    parts = java_split(F.col(value), ",")
+    # split once; the fields below share it
+    lines = lines.select(*keep, value, java_split(F.col(value), ",").alias("_parts"))
+    parts = F.col("_parts")
     f = [java_trim(F.element_at(parts, i)) for i in (1, 2, 3)]
     n = F.size(parts)
     ts = f[2].try_cast("long")
     bad = (n < 3) | ts.isNull()
     cols = [*keep, F.when(n >= 1, f[0]).alias("user"), F.when(n >= 2, f[1]).alias("url")]
     if strict:
+        # a filter, so that no column pruning (not even count()) skips the check
         err = F.raise_error(F.concat(F.lit("malformed click line: "), F.col(value)))
-        return lines.select(*cols, F.when(bad, err.cast("long")).otherwise(ts).alias("timestamp"))
+        checked = lines.where(F.when(F.coalesce(bad, F.lit(True)), err.cast("boolean")).otherwise(F.lit(True)))
+        return checked.select(*cols, ts.alias("timestamp"))
     return lines.select(*cols, ts.alias("timestamp"), bad.alias("_bad"))
 
 

@@ -53,7 +53,7 @@ class LengthMapper(RichMapper):
         self.field, self.out = field, out
 
     def map(self, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"seq": pdf["seq"], self.out: pdf[self.field].astype("string").str.len().astype("int32")})
+        return pd.DataFrame({"seq": pdf["seq"], self.out: pdf[self.field].astype("string").str.len().astype("Int32")})
 
 
 @dataclass

@@ -28,6 +28,7 @@ from clickflow.schema import DAY_MS, HOUR_MS
 from clickflow.session import scratch_path
 from clickflow.sinks import hour_bucket, json_documents as _json_docs, write_text_files
 from clickflow.sources import clicks, document_lines, register_view, sql_over, table
+from clickflow.sources.text import read_lines
 from clickflow.sources.kafka import click_payload, decode_value, encode_records
 
 # Parameters of the registered queries.
@@ -64,6 +65,17 @@ def word_count(spark, sf_dir):
     return P.words(lines, "line", positions=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("word_count_text", f"""
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+toks AS (SELECT unnest({sql_java_words('line')}) AS word FROM lines)
+SELECT word, count(*) AS n FROM toks GROUP BY word""")
+def word_count_text(spark, sf_dir):
+    """The documents written as text lines, and counted from those files."""
+    path = scratch_path(spark, "files", "words")
+    table(spark, sf_dir, "documents").where("text is not null").select("text").write.option("lineSep", "\n").text(path)
+    return P.words(read_lines(spark, path), positions=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("word_count_running", f"""
 WITH l0 AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM l0),
@@ -171,6 +183,23 @@ def parse_click_csv(spark, sf_dir):
     return P.parse_click_csv(P.click_csv_lines(clicks(spark, sf_dir)), strict=True)
 
 
+@register("parse_click_rejects", f"""WITH {CK}, l AS (SELECT seq, CASE seq % 3
+  WHEN 0 THEN CAST(user_id AS VARCHAR) || ',' || url
+  WHEN 1 THEN CAST(user_id AS VARCHAR) || ',' || url || ', x' || CAST(ms AS VARCHAR)
+  ELSE CAST(user_id AS VARCHAR) || ',' || url || ', ' || CAST(ms AS VARCHAR) END AS value,
+  CAST(user_id AS VARCHAR) AS "user", url FROM ck)
+SELECT seq, "user", url FROM l WHERE seq % 3 < 2""")
+def parse_click_rejects(spark, sf_dir):
+    """P5 tolerant: of lines without a time, with a bad one and with a good one
+    the rejected rows."""
+    user, url, ms = F.col("user_id").cast("string"), F.col("url"), F.col("ms").cast("string")
+    kind = F.pmod(F.col("seq"), F.lit(3))
+    line = (F.when(kind == 0, F.concat(user, F.lit(","), url)).when(kind == 1, F.concat(user, F.lit(","), url, F.lit(", x"), ms))
+            .otherwise(F.concat(user, F.lit(","), url, F.lit(", "), ms)))
+    lines = clicks(spark, sf_dir).select("seq", line.alias("value"))
+    return P.split_rejects(P.parse_click_csv(lines, strict=False))[1].select("seq", "user", "url")
+
+
 @register("kafka_decode", _PARSED_SQL)
 def kafka_decode(spark, sf_dir):
     """Kafka records (binary value) -> string -> click."""
@@ -265,6 +294,17 @@ def user_frequency_running(spark, sf_dir):
     return A.count_by_key_running(c, "user_id", "cnt", _seq_block(c))
 
 
+@register("running_sum_nulls", f"""WITH {CK}
+SELECT seq, url, CAST(sum(CASE WHEN url <> 'click' THEN user_id END) OVER (ORDER BY seq
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total FROM ck""")
+def running_sum_nulls(spark, sf_dir):
+    """A2 with nulls: running sum of the user id over all clicks, null for
+    urls named click; a null adds nothing."""
+    c = clicks(spark, sf_dir)
+    value = F.when(F.col("url") != "click", F.col("user_id"))
+    return A.running_sum(c.withColumn("every", F.lit(0)), "every", ["seq"], value, "total", _seq_block(c)).select("seq", "url", "total")
+
+
 @register("most_active_user", f"""WITH {CK}, c AS (
 SELECT user_id, count(*) AS c, max(seq) AS q FROM ck GROUP BY user_id)
 SELECT user_id, c AS cnt FROM c ORDER BY c DESC, q DESC LIMIT 1""")

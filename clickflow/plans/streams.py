@@ -24,6 +24,8 @@ from clickflow.plans import batch as B
 from clickflow.plans.registry import CK, REGISTRY, register
 from clickflow.sinks import hour_bucket, records_for_bytes, stream_text_files
 from clickflow.session import scratch_path, use_utc
+from clickflow.functions.strings import json_object
+from clickflow.sinks.upsert import read_snapshot, upsert_stream
 from clickflow.sources.tables import click_view, table
 from clickflow.sources.views import register_view
 from clickflow.streaming.processors import (
@@ -33,10 +35,8 @@ from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
 from clickflow.streaming.runner import ROCKSDB, run_available_now, state_partitions
 
-CHUNKS = 4                # micro-batches of a replay (more once a slice would pass 50M rows;
-                          # the per-batch oracles of late data, element watermark and progress
-                          # state the 4-slice replay, i.e. inputs under 200M rows)
-FILES_PER_CHUNK = 2       # files per micro-batch
+CHUNKS = 4                # micro-batches of a replay: equal-width time slices, whatever the size
+FILES_PER_CHUNK = 2       # least files per micro-batch; their number grows with the rows
 WATERMARK_DELAY = "0 seconds"   # bounded out-of-orderness 0 (reference)
 LATE_CHUNK_ORDER = [0, 2, 1, 3]  # stream_late_data: slice 1 arrives after slice 2
 
@@ -97,6 +97,33 @@ def stream_file_sink(spark, sf_dir):
     return spark.read.format("text").load(out).select("value", F.col("bucket").cast("string"))
 
 
+@register("stream_document_sink", _sql("json_documents").replace("SELECT seq, ", "SELECT "), streaming=True)
+def stream_document_sink(spark, sf_dir):
+    """K6: one {user: url} document per click, written by a stream as JSON
+    lines, bucketed by event hour, and read back."""
+    c = click_stream(spark, sf_dir)
+    docs = c.select(json_object(F.col("user_id"), F.col("url")).alias("value"), hour_bucket("ms").alias("bucket"))
+    out = scratch_path(spark, "files", "documents")
+    q = stream_text_files(docs, out, scratch_path(spark, "ckpt", "stream_document_sink"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.format("text").load(out).select(F.col("value").alias("doc"))
+
+
+@register("upsert_snapshot", _sql("latest_url_per_user"), streaming=True)
+def upsert_snapshot(spark, sf_dir):
+    """K5: the stream's clicks merged into a versioned snapshot, user -> url,
+    later clicks win; the newest version is read back."""
+    rows = click_stream(spark, sf_dir).select("user_id", "url", F.struct("ms", "seq").alias("at"))
+    root = scratch_path(spark, "snapshot")
+    q = upsert_stream(rows, root, scratch_path(spark, "ckpt", "upsert_snapshot"), ["user_id"], "at")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_snapshot(spark, root).select("user_id", "url")
+
+
 # ------------------------------------------------------- update-mode keyed
 
 @register("stream_word_count", _sql("word_count"), streaming=True)

@@ -8,7 +8,6 @@ in local mode (tests, laptops) do we create one under the system temp folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,19 +83,17 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{checkpoint_root(spark)}/clickflow/{leaf}"
 
 
-def is_local_fs(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(FileSystem, Path) of `path`; without a scheme it is the default file
+    system's, as it is for Spark's readers and writers."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop FileSystem (works for any scheme)."""
-    if is_local_fs(path):
-        return os.path.exists(local_path(path))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)

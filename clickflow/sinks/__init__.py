@@ -1,4 +1,4 @@
-"""Sinks (K1-K8): console, rolling text files, keyed upsert snapshot,
+"""Sinks (K1-K8): console, rolling text files, keyed upsert snapshot (``sinks.upsert``),
 JSON documents.  Network clients (Redis, search index, Kafka without its
 jar) are out of scope; their record projections live here and in
 ``sources.kafka``."""
@@ -20,7 +20,7 @@ def records_for_bytes(df: DataFrame, value: str, roll_bytes: int) -> int:
     """Records per file that approximate a byte-size roll (Spark rolls by
     record count only): ``roll_bytes`` over the average line size, measured
     with one scalar aggregate."""
-    avg = df.agg(F.avg(F.length(F.col(value)) + F.lit(1))).first()[0] or 1.0
+    avg = df.agg(F.avg(F.octet_length(F.col(value)) + F.lit(1))).first()[0] or 1.0
     return max(1, int(roll_bytes // avg))
 
 

@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``readTextFile``: one row per line, column ``value``."""
-    return spark.read.text(path)
+    """``readTextFile``: one row per line, column ``value``.  A line ends at a line
+    feed; one carriage return before it belongs to the end, other ones to the line."""
+    return _ended(spark.read.option("lineSep", "\n").text(path))
+
+
+def _ended(lines: DataFrame) -> DataFrame:
+    cut = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    return lines.withColumn("value", cut)
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming text scan of a folder (new files become new micro-batches)."""
-    r = spark.readStream.format("text")
+    r = spark.readStream.format("text").option("lineSep", "\n")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return _ended(r.load(path))
 
 
 def document_lines(documents: DataFrame) -> DataFrame:

@@ -4,8 +4,8 @@ back its output as a batch DataFrame.
 The sink is ``foreachBatch`` writing each micro-batch to its own folder
 ``batch_id=<n>`` with overwrite, so a batch replayed after a failure replaces
 its earlier attempt (idempotent, exactly-once output).  Checkpoint and output
-live under ``spark.checkpoint.dir``; a restarted driver resumes from the
-checkpoint.
+live under ``spark.checkpoint.dir``.  A run given the ``paths`` of an earlier one
+resumes from its checkpoint; without them each run starts in fresh folders.
 """
 
 from __future__ import annotations
@@ -46,12 +46,14 @@ def _as_dict(p) -> dict:
 
 
 class StreamResult:
-    def __init__(self, spark: SparkSession, path: str, schema, progress: list[dict]):
-        self.spark, self.path, self.schema, self.progress = spark, path, schema, progress
+    def __init__(self, spark: SparkSession, path: str, schema, progress: list[dict], written: int = 0):
+        self.spark, self.path, self.schema, self.progress, self.written = spark, path, schema, progress, written
 
     def batches(self) -> DataFrame:
         """All emitted rows with their ``batch_id``."""
         if not path_exists(self.spark, self.path):
+            if self.written:
+                raise RuntimeError(f"{self.written} micro-batches were written to {self.path}, which is gone")
             return self.spark.createDataFrame([], self.schema).withColumn("batch_id", F.lit(0).cast("int"))
         return self.spark.read.parquet(self.path)
 
@@ -90,7 +92,9 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
     ``timeout_s`` None waits until everything available is processed (an
     availableNow run always ends)."""
     spark = stream_df.sparkSession
-    conf = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), **(conf or {})}
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions(spark)),
+            # progress of every micro-batch, a few KB each (the default keeps the last 100)
+            "spark.sql.streaming.numRecentProgressUpdates": "100000", **(conf or {})}
     out, ckpt = paths or (scratch_path(spark, "out", name), scratch_path(spark, "ckpt", name))
     holder: dict = {}
 
@@ -103,6 +107,7 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
         try:
             holder.setdefault("schema", b.schema)
             b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            holder["written"] = holder.get("written", 0) + 1
         finally:
             if cached is not None:
                 cached.unpersist()
@@ -127,4 +132,4 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
         if schema is None:
             raise RuntimeError(f"streaming query {name} produced no micro-batch")
     progress = [_as_dict(p) for p in q.recentProgress]
-    return StreamResult(spark, out, schema, progress)
+    return StreamResult(spark, out, schema, progress, holder.get("written", 0))
