@@ -6,13 +6,14 @@ indices of all codewords within four bits: one, or six for the words farthest fr
 code.  Two segments that differ in at most two bits always share a key (with even
 parity they are 0 or 2 apart; a word two bits away from another stays within four bits
 of one of its codewords).  Of four errors over three segments either some segment has
-none and another two at most, or all three have one or two.  So buckets are made
-of a whole segment with a key of another, and of keys of all three: every pair of
-fingerprints at distance 4 or less shares a bucket, and each bucket is told by 35 bits
-or more, so chance meetings stay rare however many fingerprints there are.
-
-Copies are one fingerprint, which is in each bucket once; so no bucket holds more than a
-hundredth of the rows.  Buckets with one member go at once.  In the others all members are first compared with the
+none and another two at most, or all three have one or two, and then two of them just
+one, which leaves one half of each unchanged.  So buckets are made of a whole segment
+with a key of another, and of halves of two segments with a key of the third: every pair
+of fingerprints at distance 4 or less shares a bucket, and each bucket is told by some 30
+bits or more, so chance meetings stay rare.
+
+Copies are one fingerprint, which is in each of some hundred buckets once; so no bucket holds
+more than about a hundredth of the rows.  Buckets with one member go at once.  In the others all members are first compared with the
 most frequent one, and the links found make components.  Then only buckets that still
 hold several components are searched, each pair of members of different components once
 with one of them outside the bucket's largest component, so a large group of near
@@ -126,9 +127,13 @@ def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows.append(at[0])
         keys.append(key[at])
 
-    put(1, [(12, x) for x in near])
-    for tag, (i, j) in enumerate(permutations(range(3), 2), 2):
+    # each half of a segment, marked by which one it is
+    halves = [np.stack([s & ((1 << w // 2) - 1), (s >> w // 2) | 1 << 12], axis=1) for s, (_, w) in zip(segs, SEGMENTS)]
+    for tag, (i, j) in enumerate(permutations(range(3), 2), 1):
         put(tag, [(23, segs[i][:, None]), (12, near[j])])
+    for tag, k in enumerate(range(3), 7):
+        i, j = (x for x in range(3) if x != k)
+        put(tag, [(13, halves[i]), (13, halves[j]), (12, near[k])])
     return np.concatenate(rows), np.concatenate(keys)
 
 
