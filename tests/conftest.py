@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clickflow.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,8 +18,3 @@ def spark():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickflow-test-"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -8,7 +8,7 @@ from clickflow.operators import aggregates as A
 from clickflow.operators.scan import block_of, prefix_scan
 from clickflow.sources.rows import click_rows
 from clickflow.sources.tables import from_click_records
-from conftest import rows
+from checks import rows
 from fixtures import CLICKS7
 
 

@@ -7,7 +7,7 @@ from clickflow.operators.combine import co_map_union, keyed_join, salted_join
 from clickflow.operators.timers import periodic_counts, timer_per_event
 from clickflow.sources.rows import click_rows, keyed_rows, value_rows
 from clickflow.sources.tables import from_click_records
-from conftest import rows
+from checks import rows
 from fixtures import LEFT_PAIRS, RIGHT_PAIRS
 
 

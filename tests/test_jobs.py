@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from clickflow.jobs import JOBS, run_job
 from clickflow.session import local_path, scratch_path
-from conftest import rows
+from checks import rows
 from fixtures import CLICKS7, CLICKS_WINDOW, ms
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 from clickflow.plans import REGISTRY
-from conftest import SF_SMALL
+from checks import SF_SMALL
 
 BATCH = sorted(k for k, q in REGISTRY.items() if not q.streaming and k != "file_sink_roundtrip")
 

@@ -12,7 +12,7 @@ from clickflow.sources.kafka import click_payload, decode_value, encode_records,
 from clickflow.sources.rows import click_rows
 from clickflow.sources.tables import from_click_records
 from clickflow.streaming.runner import run_available_now
-from conftest import rows
+from checks import rows
 from fixtures import CLICKS3, LINES
 
 

@@ -3,7 +3,7 @@ from clickflow.operators.scan import block_of
 from clickflow.sources import register_view, sql_over
 from clickflow.sources.rows import click_rows
 from clickflow.sources.tables import from_click_records
-from conftest import rows
+from checks import rows
 from fixtures import CLICKS6
 
 

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from clickflow.plans import streams as S
-from conftest import SF_SMALL
+from checks import SF_SMALL
 
 # these keys state the batching itself (slice order, per-batch watermark)
 BATCH_DEPENDENT = {"stream_late_data", "stream_element_watermark", "stream_progress"}

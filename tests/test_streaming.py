@@ -16,7 +16,7 @@ from clickflow.sources.tables import clicks, click_view, from_click_records
 from clickflow.streaming.processors import CHANGELOG_SCHEMA, PERIODIC_SCHEMA, ChangelogCounter, PeriodicCount
 from clickflow.streaming.replay import events_replay
 from clickflow.streaming.runner import ROCKSDB, run_available_now
-from conftest import SF_SMALL, rows
+from checks import SF_SMALL, rows
 
 TWS = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
 

@@ -6,7 +6,7 @@ from clickflow.operators import transforms as P
 from clickflow.sources.rows import click_rows, line_rows
 from clickflow.sources.tables import from_click_records
 from clickflow.sinks import json_documents
-from conftest import rows
+from checks import rows
 from fixtures import CLICKS3, CLICKS7
 
 

@@ -4,7 +4,7 @@ from clickflow.operators import windows as W
 from clickflow.operators.ranking import REPORT_RULE, report, top_n
 from clickflow.sources.rows import click_rows
 from clickflow.sources.tables import from_click_records
-from conftest import rows
+from checks import rows
 from fixtures import CLICKS_WINDOW, ms
 
 
