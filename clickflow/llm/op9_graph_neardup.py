@@ -9,11 +9,19 @@ a node's shards are united.  Then each node is searched in its home shard: a gre
 search from the shard's medoid and the node itself, widened over all nodes within the
 range until no new one turns up.  Every link is verified by its cosine in double
 precision; united edges that leave the home shard are links too when their cosine says
-so.  A shard's links become stars, so nothing grows with the square of a group.
+so.  A shard's links become stars, whose components are the groups.
+
+A link joins two nodes of one group, also where the group outgrows a shard.  So links are
+counted inside the groups: their nodes are dealt to blocks of about ``BLOCK`` (small groups
+share one, a large group has blocks in each home shard), and all pairs of a large group's
+blocks that can hold a link, by the angle of their centers and their radii, are compared
+exactly.  A block is one row, and a pair's links are summed per node where they are found.
 
 Recall is audited in each run: a bounded sample of nodes is compared with all nodes by
 brute force, and if under ``TARGET`` of their links were found, the shards are built
-again with more overlap.  The figure is the column ``audit_recall``.
+again with more overlap.  If that doesn't do either, the blocks of all nodes are compared
+as if they were one group, which finds every link.  The figure is the column
+``audit_recall``.
 
 Nulls and edges: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing, nor do rows with a null vec_id; vectors of different lengths never
@@ -43,6 +51,8 @@ NEAREST, SPREAD, DEGREE, ALPHA, BEAM = 48, 16, 24, 1.2, 24
 #: Nodes this far under the least cosine are still widened from.
 SLACK = 0.02
 AUDIT_ROWS, TARGET = 400, 0.97
+#: Nodes of a block in which links are counted.
+BLOCK = 2000
 
 MEMBERS = T.StructType([
     T.StructField("shard", T.StringType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
@@ -50,7 +60,13 @@ MEMBERS = T.StructType([
 LISTS = T.StructType([T.StructField("node", T.LongType()), T.StructField("near", T.ArrayType(T.LongType())),
                       T.StructField("linked", T.ArrayType(T.LongType())), T.StructField("linked_n", T.ArrayType(T.LongType()))])
 FOUND = T.StructType([T.StructField("node", T.LongType()), T.StructField("root", T.LongType()),
-                      T.StructField("n_links", T.LongType()), T.StructField("outside", T.ArrayType(T.LongType()))])
+                      T.StructField("n_links", T.LongType()), T.StructField("outside", T.ArrayType(T.LongType())),
+                      T.StructField("shard", T.StringType())])
+PACKED = T.StructType([
+    T.StructField("block", T.StringType()), T.StructField("whole", T.LongType()), T.StructField("center", T.ArrayType(T.DoubleType())),
+    T.StructField("radius", T.DoubleType()), T.StructField("node", T.BinaryType()), T.StructField("n", T.BinaryType()),
+    T.StructField("root", T.BinaryType()), T.StructField("vec", T.BinaryType())])
+COUNTED = T.StructType([T.StructField("node", T.LongType()), T.StructField("n_links", T.LongType()), T.StructField("root", T.LongType())])
 
 
 def unit_vectors(df: DataFrame) -> DataFrame:
@@ -275,6 +291,18 @@ def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, cosine: f
     return aq[ok], an[ok]
 
 
+def least_reachable(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Least label that each position reaches over the links (a, b)."""
+    while len(a):
+        old = label.copy()
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        label = label[label]
+        if (label == old).all():
+            break
+    return label
+
+
 def search(f: pd.DataFrame, cosine: float, block: int = 500) -> pd.DataFrame:
     rows = []
     for g in by_width(f):
@@ -294,13 +322,7 @@ def search(f: pd.DataFrame, cosine: float, block: int = 500) -> pd.DataFrame:
             a.append(q[qi])
             b.append(pos)
         a, b = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (a, b))
-        while len(a):  # least position reachable inside the shard
-            old = label.copy()
-            np.minimum.at(label, a, label[b])
-            np.minimum.at(label, b, label[a])
-            label = label[label]
-            if (label == old).all():
-                break
+        label = least_reachable(a, b, label)  # inside the shard
         is_home = g.home.to_numpy()
         for i, (ids, sizes) in enumerate(zip(g.linked, g.linked_n)):
             out, extra = [], 0
@@ -310,14 +332,14 @@ def search(f: pd.DataFrame, cosine: float, block: int = 500) -> pd.DataFrame:
                 away = (p == len(node)) | (node[np.minimum(p, len(node) - 1)] != ids)
                 out, extra = ids[away].tolist(), int(sizes[away].sum())
             if is_home[i] or label[i] != i:
-                rows.append((node[i], node[label[i]], int(count[i]) + extra if is_home[i] else None, out))
+                rows.append((node[i], node[label[i]], int(count[i]) + extra if is_home[i] else None, out, g.shard[0]))
     out = pd.DataFrame(rows, columns=FOUND.fieldNames())
     return out.astype({"n_links": "Int64"})
 
 
 def links(nodes: DataFrame, overlap: int, cosine: float, shard: int, max_shard: int) -> DataFrame:
     """FOUND of each node (and of its overlapping places in other shards)."""
-    members = nodes.select(F.lit("").alias("shard"), "node", "n", F.lit(True).alias("home"), "vec")
+    members = nodes.select(F.size("vec").cast("string").alias("shard"), "node", "n", F.lit(True).alias("home"), "vec")
     for level in range(6):
         wider = split(members, overlap if level == 0 else DEEPER_OVERLAP, shard, max_shard)
         if wider is members:
@@ -332,12 +354,99 @@ def links(nodes: DataFrame, overlap: int, cosine: float, shard: int, max_shard:
     return common.written(rows.groupBy("shard").applyInPandas(lambda f: search(f, cosine), FOUND), "graph-found")
 
 
+def pack(f: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of a block as one row, with their center and greatest angle to it."""
+    g = f.sort_values("node")
+    x = matrix(g)
+    center = x.mean(axis=0)
+    size = np.linalg.norm(center)
+    # without a direction nothing is bounded
+    center, radius = (center / size, np.arccos(np.clip(x @ center / size, -1, 1)).max()) if size > 1e-9 else (x[0], np.pi)
+    held = [g[c].to_numpy(dtype=np.int64).tobytes() for c in ("node", "n", "root")]
+    return pd.DataFrame([(g.block.iloc[0], g.whole.iloc[0], center.tolist(), float(radius), *held, x.tobytes())], columns=PACKED.fieldNames())
+
+
+def compare(f: pd.DataFrame, cosine: float, rows: int = 500) -> pd.DataFrame:
+    """COUNTED of the nodes of a pair of blocks: links between them, in one group."""
+    r = f.iloc[0]
+    (node, n, root), (node_b, n_b, root_b) = ([np.frombuffer(r[c + e], dtype=np.int64) for c in ("node", "n", "root")] for e in ("", "_b"))
+    x, y = np.frombuffer(r["vec"]).reshape(len(node), -1), np.frombuffer(r["vec_b"]).reshape(len(node_b), -1)
+    same = r["block"] == r["block_b"]
+    count, count_b = np.zeros(len(node), dtype=np.int64), np.zeros(len(node_b), dtype=np.int64)
+    label = np.arange(len(node) + len(node_b))
+    for lo in range(0, len(node), rows):
+        at = slice(lo, lo + rows)
+        hit = (x[at] @ y.T >= cosine) & (root[at, None] == root_b)
+        if same:
+            hit &= node[at, None] != node_b
+        count[at] = hit @ n_b
+        if not same:
+            count_b += hit.T @ n[at]
+        a, b = np.nonzero(hit)
+        label = least_reachable(a + lo, b + (0 if same else len(node)), label)
+    every = np.concatenate([node, node_b])
+    out = pd.DataFrame({"node": every, "n_links": np.concatenate([count, count_b]), "root": every[label]})
+    return out[:len(node)] if same else out
+
+
+def counted(members: DataFrame, cosine: float, block: int) -> DataFrame:
+    """COUNTED of `members` (node, n, vec, root, shard): links inside each root's group,
+    and a node that it reaches in each pair of blocks."""
+    width = F.size("vec")
+    sizes = members.groupBy("root").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = common.written(sizes, "graph-groups")
+    small = sizes.where(F.col("size") <= block).agg(F.sum("size")).first()[0] or 0
+    parts = members.join(sizes, "root").groupBy("root", "shard").agg(F.count("*").alias("in_shard"))
+    rows = members.join(sizes, "root").join(common.written(parts, "graph-parts"), ["root", "shard"])
+    bucket = F.concat_ws("/", F.lit("small"), width, F.pmod(F.xxhash64("root"), F.lit(-(-small // block) or 1)))
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("in_shard") / block))
+    large = F.col("size") > block
+    rows = rows.select("node", "n", "vec", "root", F.when(large, F.concat_ws("/", F.lit("large"), "root", "shard", salt)).otherwise(bucket).alias("block"),
+                       F.when(large, F.col("root")).alias("whole"))
+    blocks = common.written(rows.groupBy("block").applyInPandas(pack, PACKED), "graph-blocks")
+    one = blocks.select("block", "whole", "center", "radius")
+    two = one.select(F.col("block").alias("block_b"), "whole", F.col("center").alias("center_b"), F.col("radius").alias("radius_b"))
+    dot = F.aggregate(F.zip_with("center", "center_b", lambda p, q: p * q), F.lit(0.0), lambda a, v: a + v)
+    apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+    reach = F.col("radius") + F.col("radius_b") + float(np.arccos(cosine)) + 1e-6
+    pairs = one.join(two, "whole").where((F.col("block") < F.col("block_b")) & (apart <= reach)).select("block", "block_b")
+    pairs = common.written(pairs.unionByName(one.select("block", F.col("block").alias("block_b"))), "graph-pairs")
+    held = ["node", "n", "root", "vec"]
+    other = blocks.select(F.col("block").alias("block_b"), *(F.col(c).alias(c + "_b") for c in held))
+    both = pairs.join(blocks.select("block", *held), "block").join(other, "block_b")
+    # one group of rows a pair, so that a batch holds two blocks
+    return common.written(both.groupBy("block", "block_b").applyInPandas(lambda f: compare(f, cosine), COUNTED), "graph-counted")
+
+
+def grouped(nodes: DataFrame, overlap: int, cosine: float, shard: int, max_shard: int, block: int) -> DataFrame:
+    """(node, root, n_links) of each node."""
+    found = links(nodes, overlap, cosine, shard, max_shard)
+    edges = found.select("node", F.col("root").alias("other")).unionByName(found.select("node", F.explode("outside").alias("other")))
+    comp = common.written(components(edges, "node", "other", "node", "root"), "graph-components")
+    home = found.where("n_links is not null").select("node", "shard")
+    members = common.written(nodes.select("node", "n", "vec").join(home, "node").join(comp, "node", "left")
+                             .withColumn("root", F.coalesce("root", "node")), "graph-grouped")
+    counts = counted(members, cosine, block).groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    each = members.select("node", "root").join(counts, "node", "left").select("node", "root", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return common.written(each, "graph-links")
+
+
+def compared(nodes: DataFrame, cosine: float, block: int) -> DataFrame:
+    """(node, root, n_links) of each node, from all pairs of blocks that can hold links."""
+    members = nodes.select("node", "n", "vec", F.size("vec").cast("long").alias("root"), F.lit("").alias("shard"))
+    found = counted(members, cosine, block)
+    comp = common.written(components(found.select("node", F.col("root").alias("other")), "node", "other", "node", "root"), "graph-components")
+    counts = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    each = nodes.select("node").join(comp, "node", "left").join(counts, "node", "left")
+    return common.written(each.select("node", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "graph-links")
+
+
 def audit(nodes: DataFrame, found: DataFrame, cosine: float, rows: int = AUDIT_ROWS) -> float:
     """Share of the links of a bounded sample of nodes that were found; the sample is
     compared with all nodes.  1 if it has no links."""
     total = nodes.count()
     part = min(1.0, rows / max(total, 1))
-    sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(part * 1_000_000)).select("node", "vec").toPandas()  # about `rows` rows
+    sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 53)) < part * (1 << 53)).select("node", "vec").toPandas()  # about `rows` rows
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("true_links", T.LongType())])
     queries = {w: (g.node.to_numpy(), matrix(g)) for w, g in sample.groupby(sample.vec.map(len))} if len(sample) else {}
 
@@ -351,30 +460,24 @@ def audit(nodes: DataFrame, found: DataFrame, cosine: float, rows: int = AUDIT_R
                     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hit @ g.n.to_numpy())], names=schema.fieldNames())
 
     true = nodes.select("node", "n", "vec").mapInArrow(count, schema).groupBy("node").agg(F.sum("true_links").alias("true_links"))
-    got = found.where("n_links is not null").groupBy("node").agg(F.max("n_links").alias("n_links"))
-    both = true.where("true_links > 0").join(got, "node").agg(F.sum(F.least("n_links", "true_links")), F.sum("true_links")).first()
+    both = true.where("true_links > 0").join(found.select("node", "n_links"), "node").agg(F.sum(F.least("n_links", "true_links")), F.sum("true_links")).first()
     return float(both[0] / both[1]) if both[1] else 1.0
 
 
-def near_duplicates(df: DataFrame, cosine: float = MIN_COSINE, shard: int = SHARD, max_shard: int = MAX_SHARD) -> DataFrame:
+def near_duplicates(df: DataFrame, cosine: float = MIN_COSINE, shard: int = SHARD, max_shard: int = MAX_SHARD, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, audit_recall."""
     units = common.written(unit_vectors(df), "graph-units")
     nodes = units.groupBy("vec").agg(F.count("*").alias("n"), F.min("vec_id").alias("least_id"))
     nodes = common.written(nodes.withColumn("node", F.monotonically_increasing_id()), "graph-nodes")
-    best = None
     for overlap in (OVERLAP, MORE_OVERLAP):
-        found = links(nodes, overlap, cosine, shard, max_shard)
+        found = grouped(nodes, overlap, cosine, shard, max_shard, block)
         recall = audit(nodes, found, cosine)
-        if best is None or recall > best[1]:
-            best = (found, recall)
         if recall >= TARGET:
             break
-    found, recall = best
-    edges = found.select("node", F.col("root").alias("other")).unionByName(found.select("node", F.explode("outside").alias("other")))
-    comp = common.written(components(edges, "node", "other", "node", "root"), "graph-components")
-    counts = found.groupBy("node").agg(F.max("n_links").alias("n_links"))
-    each = common.written(nodes.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")).join(counts, "node")
-                          .select("vec", "n", "least_id", "root", "n_links"), "graph-each")
+    else:
+        found = compared(nodes, cosine, block)
+        recall = audit(nodes, found, cosine)
+    each = common.written(nodes.join(found, "node").select("vec", "n", "least_id", "root", "n_links"), "graph-each")
     least = each.groupBy("root").agg(F.min("least_id").alias("component_id"))
     each = each.join(least, "root").select("vec", (F.col("n_links") + F.col("n") - 1).alias("n_links"), "component_id")
     valid = units.join(each, "vec").select("vec_id", "n_links", "component_id")

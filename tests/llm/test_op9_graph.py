@@ -63,6 +63,29 @@ def test_shards_and_groups_against_brute_force(spark):
     assert sum(comp[k] == c for k, _, c, _ in want) >= 0.97 * len(want)
 
 
+def large_group(seed=8):
+    """400 near vectors, nearly all pairs within the range, beside 60 others."""
+    rnd = np.random.default_rng(seed)
+    x = np.concatenate([rnd.normal(size=24) + rnd.normal(size=(400, 24)) * 0.15, rnd.normal(size=(60, 24))])
+    return [(i, v) for i, v in enumerate(np.float32(x).tolist())]
+
+
+def test_group_larger_than_a_shard(spark):
+    rows = large_group()
+    want = brute(rows)
+    assert np.median([n for _, n, *_ in want]) > 300
+    got, raw = run(spark, rows, shard=50, max_shard=100, block=60)
+    assert got == want and raw[0].audit_recall == 1.0
+
+
+def test_blocks_of_all_nodes_where_the_graph_finds_nothing(spark, monkeypatch):
+    links = op.links
+    monkeypatch.setattr(op, "links", lambda *a: links(*a[:2], 2.0, *a[3:]))
+    rows = [*large_group(9), (900, [1.0, 0.0]), (901, [1.0, 0.01])]
+    got, raw = run(spark, rows, shard=50, max_shard=100, block=60)
+    assert got == brute(rows) and raw[0].audit_recall == 1.0
+
+
 def test_pruned_lists_are_short_and_reachable():
     rnd = np.random.default_rng(6)
     x = rnd.normal(size=(400, 16))
