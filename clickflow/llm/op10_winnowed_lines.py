@@ -6,17 +6,17 @@ hash in a window is a fingerprint, and neighbouring windows mostly share it.  An
 lines that two places share and that has MIN_WORDS words contains a whole window, so
 both places have the same fingerprint there: nothing is missed.
 
-Fingerprints of a hash that the corpus has once are dropped.  Of the others the windows
-are matched: joining on the line hash alone would pair all places of a common line, so
-each window is joined, by the hash of all its lines, to its first place only (least
-doc_id, then position).  Matches are then extended both ways as far as the
-lines agree with the first place; each place carries the neighbouring lines up to
-MIN_WORDS words, because a longer agreement contains another window.  The later place's
-lines are deleted; a match with an overlapping earlier run of the same text keeps the
-lines that belong to the first place.
-
-Result: a line goes exactly if it lies in a window that occurs earlier, or in the
-agreement with that window's first place around it.
+Fingerprints of a hash that the corpus has once are dropped.  Of the others the whole
+windows are matched by the hash of all their lines (joining on the line hash alone would
+pair all places of a common line), each with its first place only (least doc_id, then
+position).  A window is extended both ways as far as any earlier place of it agrees: for
+each number of neighbouring lines on a side, places are grouped by the window and these
+lines, and all but the first place of a group lose them.  Each place carries the lines up
+to MIN_WORDS words, because a longer agreement contains another window.  Where the first
+place is in the same text, its window is kept.
+
+Result: a line goes exactly if it lies in a window that occurs earlier, or in the agreement
+with any earlier place of that window around it, and not in the earlier window itself.
 
 Nulls and edges: a null text stays null, an empty one empty; lines without words are never
 matched and stay; null doc_ids come last in the order; rows with equal doc_id and text
@@ -105,12 +105,10 @@ def all_places(docs: DataFrame, min_words: int) -> DataFrame:
     return rows.mapInArrow(run, PLACES)
 
 
-def agreeing(a: str, b: str) -> F.Column:
-    """Length of the common beginning of two arrays."""
-    n = F.least(F.size(a), F.size(b))
-    differ = F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: x != y)
-    first = F.array_position(differ, True)
-    return F.when(n == 0, 0).when(first == 0, n).otherwise(first - 1).cast("int")
+def ways(lines: str) -> F.Column:
+    """(side, lines, key) of a window with none, one, two ... of its neighbours on a side."""
+    return F.transform(F.sequence(F.lit(0), F.size(lines)), lambda k: F.struct(
+        F.lit(lines).alias("side"), k.alias("lines"), F.xxhash64(F.lit(lines), "window_hash", F.slice(lines, F.lit(1), k)).alias("key")))
 
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -119,19 +117,21 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = common.written(all_places(docs, min_words), "winnow")
     again = found.groupBy("line_hash").agg(F.min("window_hash").alias("a"), F.count("*").alias("n")).where("n > 1").select("line_hash")
     found = found.join(common.written(again, "winnow-hashes"), "line_hash")
-    place = F.struct("doc", "text_hash", "start")
-    first = (found.groupBy("window_hash").agg(F.min(F.struct(place.alias("p"), "length", "before", "after")).alias("f"), F.count("*").alias("n"))
-             .where("n > 1").select("window_hash", F.col("f.p.doc").alias("f_doc"), F.col("f.p.text_hash").alias("f_text"), F.col("f.p.start").alias("f_start"),
-                                    F.col("f.before").alias("f_before"), F.col("f.after").alias("f_after")))
+    twice = found.groupBy("window_hash").agg(F.count("*").alias("n")).where("n > 1").select("window_hash")
+    found = found.join(common.written(twice, "winnow-windows"), "window_hash")
+    # the window alone is among the ways of one side
+    each = F.explode(F.concat(ways("after"), F.slice(ways("before"), F.lit(2), F.size("before")))).alias("way")
+    rows = found.select("doc", "text_hash", "start", "length", each).select("doc", "text_hash", "start", "length", "way.*")
+    first = (rows.groupBy("key").agg(F.min(F.struct("doc", "text_hash", "start")).alias("f"), F.count("*").alias("n")).where("n > 1")
+             .select("key", F.col("f.doc").alias("f_doc"), F.col("f.text_hash").alias("f_text"), F.col("f.start").alias("f_start")))
     first = common.written(first, "winnow-first")
     same_text = (F.col("doc") == F.col("f_doc")) & (F.col("text_hash") == F.col("f_text"))
-    later = found.join(first, "window_hash").where(~(same_text & (F.col("start") == F.col("f_start"))))
-    left, right = agreeing("before", "f_before"), agreeing("after", "f_after")
-    # an earlier run of the same text keeps its own lines
-    lo = F.col("start") - left
-    own = F.col("f_start") + F.col("length") + right
-    spans = later.select("doc", "text_hash", F.when(same_text, F.greatest(lo, own)).otherwise(lo).alias("lo"),
-                         (F.col("start") + F.col("length") + right).alias("hi")).where("lo < hi").distinct()
+    later = rows.join(first, "key").where(~(same_text & (F.col("start") == F.col("f_start"))))
+    lo = F.col("start") - F.when(F.col("side") == "before", F.col("lines")).otherwise(0)
+    hi = F.col("start") + F.col("length") + F.when(F.col("side") == "after", F.col("lines")).otherwise(0)
+    # an earlier window of the same text keeps its own lines; all spans of a place hold its last line
+    lo = F.when(same_text, F.greatest(lo, F.col("f_start") + F.col("length"))).otherwise(lo)
+    spans = later.groupBy("doc", "text_hash", "start").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi")).select("doc", "text_hash", "lo", "hi").distinct()
     return spans.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # spans of one document
 
 
