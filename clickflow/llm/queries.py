@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, op10_winnowed_lines, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
+from . import common, op10_winnowed_lines, op11_fim_skiplist, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,6 +60,10 @@ def op10_winnowed_lines_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_winnowed_lines.dedup(common.table(spark, sf_dir, "documents"))
 
 
+def op11_fim_skiplist_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_fim_skiplist.digests(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece_codec,
     "op2_wrapper_html": op2_wrapper_html_,
@@ -71,6 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rda_quality": op8_rda_quality_,
     "op9_graph_neardup": op9_graph_neardup_,
     "op10_winnowed_lines": op10_winnowed_lines_,
+    "op11_fim_skiplist": op11_fim_skiplist_,
 }
 #: DuckDB SQL by query, where SQL can state the result.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_fim_skiplist": op11_fim_skiplist.SQL,
+}
