@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, op10_winnowed_lines, op11_fim_skiplist, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
+from . import common, op10_winnowed_lines, op11_fim_skiplist, op12_conversation_repair, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
 
 
 def tokenizer_path(name: str) -> str:
@@ -64,6 +64,10 @@ def op11_fim_skiplist_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_fim_skiplist.digests(common.table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_conversation_repair.audits(op12_conversation_repair.damage(common.table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece_codec,
     "op2_wrapper_html": op2_wrapper_html_,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_graph_neardup": op9_graph_neardup_,
     "op10_winnowed_lines": op10_winnowed_lines_,
     "op11_fim_skiplist": op11_fim_skiplist_,
+    "op12_conversation_repair": op12_conversation_repair_,
 }
 #: DuckDB SQL by query, where SQL can state the result.
 ORACLE_SQL: dict[str, str] = {
