@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, op10_winnowed_lines, op11_fim_skiplist, op12_conversation_repair, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
+from . import common, op10_winnowed_lines, op11_fim_skiplist, op12_conversation_repair, op13_topk_search, op1_sentencepiece, op2_wrapper_html, op3_golay_simhash, op4_harmonic_packing, op5_mcd_rules, op6_repair_ids, op7_nb_toxicity, op8_rda_quality, op9_graph_neardup
 
 
 def tokenizer_path(name: str) -> str:
@@ -68,6 +68,10 @@ def op12_conversation_repair_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_conversation_repair.audits(op12_conversation_repair.damage(common.table(spark, sf_dir, "conversations")))
 
 
+def op13_topk_search_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_topk_search.top5(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece_codec,
     "op2_wrapper_html": op2_wrapper_html_,
@@ -81,8 +85,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_winnowed_lines": op10_winnowed_lines_,
     "op11_fim_skiplist": op11_fim_skiplist_,
     "op12_conversation_repair": op12_conversation_repair_,
+    "op13_topk_search": op13_topk_search_,
 }
 #: DuckDB SQL by query, where SQL can state the result.
 ORACLE_SQL: dict[str, str] = {
     "op11_fim_skiplist": op11_fim_skiplist.SQL,
+    "op13_topk_search": op13_topk_search.SQL,
 }
