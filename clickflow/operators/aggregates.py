@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.operators.scan import DEFAULT_BLOCK, block_of, prefix_scan
+from clickflow.operators.scan import DEFAULT_BLOCK, block_of, prefix_scan, running_best
 
 
 def _blk(block: Column | None, order: str = "seq") -> Column:
@@ -94,11 +94,7 @@ def most_active(clicks: DataFrame, key: str = "user_id", out: str = "cnt") -> Da
 
 def most_active_running(clicks: DataFrame, key: str = "user_id", out: str = "cnt",
                         block: Column | None = None) -> DataFrame:
-    counted = count_by_key_running(clicks, key, "c", block)
-    s = F.struct(F.col("c"), F.col("seq").alias("q"), F.col(key).alias("k"))
-    r = prefix_scan(counted.select("seq", s.alias("_s")), [], ["seq"], _blk(block),
-                    {"_best": ("max", F.col("_s"))})
-    return r.select("seq", F.col("_best.k").alias(key), F.col("_best.c").alias(out))
+    return running_best(clicks.select("seq", key), key, _blk(block), "seq", out)
 
 
 # -- A7 / K5 ------------------------------------------------------------------

@@ -7,27 +7,37 @@ one task; with one key holding a third of the data (or no key at all) that is
 one task for a third of the data.
 
 ``prefix_scan`` splits each key's sequence into *blocks* given by a monotone
-block expression of the order key (e.g. ``floor(seq / 65536)``):
+block expression of the order key (e.g. ``floor(seq / 65536)``) and deals rows
+out by (key, block) once.  Both uses of the rows read that one exchange:
 
-1. local prefix per (key, block)            -- window over <= block-size rows
-2. one summary row per (key, block)         -- partial/final hash aggregate
-3. exclusive prefix over the block summaries -- window over #blocks rows/key
-4. sort-merge join of the offsets back       -- no new shuffle or sort of the big side
+1. one summary row per (key, block)          -- aggregate within those partitions
+2. exclusive prefix over the block summaries -- window over #blocks rows/key
+3. the prefix goes back to its (key, block) as one more row, before all others
+4. running aggregate per (key, block)        -- window over <= block-size rows
+
+so the input is read (and its text parsed or tokenised) once, its rows are
+shuffled and sorted once, and the two other shuffles are of summaries.  Spark
+reuses an exchange only where both uses need the same columns; the summary
+names them all (``_held``).  Rows and prefixes are united, not joined: both
+are dealt out by the same key, which a union keeps.
 
 Every combine is associative (sum, max, min, first), so the result equals the
 single-window form.  Work per task is bounded by the block size and by the
 number of blocks of one key, never by the size of a key.
+
+``running_best`` is the global arg-max of running counts in one pass: see there.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KINDS = ("sum", "max", "min", "first")
+AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "first": F.first}
 
 DEFAULT_BLOCK = 1 << 16
 NULL_BLOCK = -(1 << 62)
@@ -39,19 +49,19 @@ def block_of(order_col: str | Column, size: int | Column = DEFAULT_BLOCK) -> Col
     return F.floor(c / s).cast("long")
 
 
-def adaptive_block(df: DataFrame, order_col: str, floor: int = 4096) -> Column:
-    """Block expression whose width follows the data: ``sqrt(range)`` of the
-    order column, at least ``floor``.  With a unique order column a block then
-    holds at most ~sqrt(N) rows and a key spans at most ~sqrt(N) blocks, so
-    both windows of the scan stay near sqrt(N) rows per task, whatever the
-    skew.  The range is one scalar subquery (a min/max over one column)."""
-    rng = df.agg((F.max(order_col) - F.min(order_col) + F.lit(1)).alias("r")).scalar()
-    width = F.greatest(F.lit(floor).cast("double"), F.ceil(F.sqrt(rng.cast("double"))).cast("double"))
-    return block_of(order_col, width)
-
-
-def _local(kind: str, expr: Column) -> Column:
-    return {"sum": F.sum, "max": F.max, "min": F.min}[kind](expr) if kind != "first" else F.first(expr)
+def adaptive_block(df: DataFrame, order_col: str, floor: int = 4096, row_bytes: int = 16) -> Column:
+    """Block expression whose width follows the size of ``df``: the square root
+    of its estimated rows (the planner's size over ``row_bytes``), as a power
+    of two, at least ``floor``.  With a dense order column a block then holds
+    about sqrt(N) rows and a key spans about sqrt(N) blocks, so both windows
+    of the scan stay near sqrt(N) rows per task, whatever the skew.  Nothing
+    is read for it; where the planner has no size, ``DEFAULT_BLOCK`` is used.
+    Any width gives the same result."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return block_of(order_col, max(floor, DEFAULT_BLOCK))
+    width = 1 << math.ceil(math.log2(max(1.0, math.sqrt(size / row_bytes))))
+    return block_of(order_col, max(floor, width))
 
 
 def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[list[Column], list[str]]:
@@ -76,6 +86,12 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[list[Column], list
     return cols, names
 
 
+def _held(columns: Sequence[str]) -> Column:
+    """Null, at the price of one comparison a row: no block has that number,
+    so nothing is hashed, but the columns stay in the summary's input."""
+    return F.max(F.when(F.col("_blk") == F.lit(NULL_BLOCK - 1), F.xxhash64(*columns))).alias("_held")
+
+
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
                 specs: dict[str, tuple[str, Column]]) -> DataFrame:
     """Add one running-aggregate column per ``specs`` entry.
@@ -85,53 +101,62 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
     non-decreasing in it.  ``keys`` may be empty (one global sequence).
     """
     for kind, _ in specs.values():
-        if kind not in KINDS:
+        if kind not in AGGREGATES:
             raise ValueError(f"unsupported running aggregate {kind!r}")
     kcols, kparts = _key_columns(df, keys)
-    # a null order value sorts first, so its rows go to a block before all others
-    d = df.select("*", *kcols, F.coalesce(block, F.lit(NULL_BLOCK)).alias("_blk"))
     part = [*kparts, "_blk"]
+    # a null order value sorts first, so its rows go to a block before all others
+    d = df.select("*", *kcols, F.coalesce(block, F.lit(NULL_BLOCK)).alias("_blk")).repartition(*part)
     ordc = [F.col(c) for c in order]
 
-    w_local = (Window.partitionBy(*part).orderBy(*ordc)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d
-    for name, (kind, expr) in specs.items():
-        local = local.withColumn(f"_l_{name}", _local(kind, expr).over(w_local))
-
     summaries = []
     for name, (kind, expr) in specs.items():
-        if kind == "first":
-            s = F.min_by(expr, F.struct(*ordc))
-        else:
-            s = {"sum": F.sum, "max": F.max, "min": F.min}[kind](expr)
-        summaries.append(s.alias(f"_b_{name}"))
-    blocks = d.groupBy(*part).agg(*summaries)
-
-    w_prev = (Window.partitionBy(*kparts) if kparts else Window).orderBy("_blk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offs = [F.count(F.lit(1)).over(w_prev).alias("_prev_n")]
-    for name, (kind, _) in specs.items():
-        b = F.col(f"_b_{name}")
-        o = {"sum": F.sum, "max": F.max, "min": F.min, "first": F.first}[kind](b)
-        offs.append(o.over(w_prev).alias(f"_o_{name}"))
-    offsets = blocks.select(*part, *offs)
-
-    # sort-merge join: the window output is already hash-partitioned and
-    # sorted on the join keys, so only the small offsets side is shuffled and
-    # sorted; no broadcast whose size grows with keys x blocks
-    out = local.join(offsets.hint("merge"), on=part, how="inner")
-    for name, (kind, _) in specs.items():
-        lc, oc = F.col(f"_l_{name}"), F.col(f"_o_{name}")
-        has_prev = F.col("_prev_n") > 0
-        if kind == "sum":
-            v = F.when(has_prev, F.coalesce(oc + lc, oc, lc)).otherwise(lc)   # null only if both are
-        elif kind == "max":
-            v = F.when(has_prev, F.greatest(oc, lc)).otherwise(lc)
-        elif kind == "min":
-            v = F.when(has_prev, F.least(oc, lc)).otherwise(lc)
-        else:
-            v = F.when(has_prev, oc).otherwise(lc)
-        out = out.withColumn(name, v)
-    drop = [*kparts, "_blk", "_prev_n"] + [f"_{p}_{n}" for n in specs for p in ("l", "o")]
-    return out.drop(*drop)
+        whole = F.min_by(expr, F.struct(*order)) if kind == "first" else AGGREGATES[kind](expr)
+        summaries.append(whole.alias(f"_b_{name}"))
+    blocks = d.groupBy(*part).agg(*summaries, _held(df.columns))
+    before = (Window.partitionBy(*kparts) if kparts else Window).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    prefixes = blocks.select(*part, "_held", F.count(F.lit(1)).over(before).alias("_n"),
+                             *[AGGREGATES[kind](f"_b_{name}").over(before).alias(f"_v_{name}") for name, (kind, _) in specs.items()])
+    # _held is null in every row; it is used, so that the optimizer keeps it
+    prefixes = prefixes.where((F.col("_n") > 0) & F.col("_held").isNull())
+    prefixes = prefixes.select(*part, *[f"_v_{n}" for n in specs], F.lit(0).alias("_row")).repartition(*part)
+    rows = d.select("*", *[expr.alias(f"_v_{name}") for name, (_, expr) in specs.items()], F.lit(1).alias("_row"))
+    both = rows.unionByName(prefixes, allowMissingColumns=True)
+    so_far = Window.partitionBy(*part).orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = [AGGREGATES[kind](f"_v_{name}").over(so_far).cast(blocks.schema[f"_b_{name}"].dataType).alias(name)
+               for name, (kind, _) in specs.items()]
+    kept = [c for c in df.columns if c not in specs]
+    return both.select("_row", *kept, *running).where("_row = 1").select(*kept, *specs)
+
+
+def running_best(df: DataFrame, key: str, block: Column, order: str = "seq", out: str = "cnt") -> DataFrame:
+    """(order, key, out): after each record the key with the most records so
+    far, and their number; of equal counts the newer record wins.
+
+    One pass: rows are dealt out by block alone, so the counts of a (block,
+    key) and the running best of a block come from the same partitions.
+
+    1. per (block, key) the count; its exclusive prefix over the key's blocks
+       is what the key brings into a block            -- shuffled by key, and back
+    2. a record's count is that plus its place among the key's records in the
+       block; a block's best is composed from these
+    3. exclusive prefix over the blocks' bests        -- one row a block, and back
+
+    Five shuffles, one of them of rows; the input is read once."""
+    kcols, kparts = _key_columns(df, [key])
+    rows = df.select(order, key, *kcols, F.coalesce(block, F.lit(NULL_BLOCK)).alias("_blk")).repartition("_blk")
+    before = Window.partitionBy(*kparts).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_blk", *kparts).agg(F.count(F.lit(1)).alias("_n"), _held([order, key])).where(F.col("_held").isNull())
+    brought = counts.select("_blk", *kparts, F.sum("_n").over(before).alias("_n"), F.lit(0).alias("_row")).where(F.col("_n") > 0)
+    ones = rows.withColumns({"_n": F.lit(1).cast("long"), "_row": F.lit(1)})
+    both = ones.unionByName(brought.repartition("_blk"), allowMissingColumns=True)
+    in_block = Window.partitionBy("_blk", *kparts).orderBy("_row", order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = F.struct(F.col("_c").alias("c"), F.col(order).alias("q"), F.col(key).alias("k"))
+    counted = both.withColumn("_c", F.sum("_n").over(in_block)).where("_row = 1").select("_blk", order, best.alias("_s"))
+    earlier = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    bests = counted.groupBy("_blk").agg(F.max("_s").alias("_s")).select("_blk", F.max("_s").over(earlier).alias("_s"))
+    bests = bests.where(F.col("_s").isNotNull()).withColumn("_row", F.lit(0)).repartition("_blk")
+    r = counted.withColumn("_row", F.lit(1)).unionByName(bests, allowMissingColumns=True)
+    so_far = Window.partitionBy("_blk").orderBy("_row", order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = r.withColumn("_m", F.max("_s").over(so_far)).where("_row = 1")
+    return r.select(order, F.col("_m.k").alias(key), F.col("_m.c").alias(out))

@@ -40,8 +40,9 @@ SLIDE_STEP_MS = HOUR_MS       # sliding step (reference: 5 s)
 REPORT_PERIOD_MS = DAY_MS     # periodic PV report (reference: 10 s)
 TIMER_DELAY_MS = 10_000       # per-event timer delay (reference value)
 ROLL_BYTES = 1 << 30          # text sink part-file roll size (reference value: 1 GiB)
-SEQ_BLOCK = 4096              # smallest prefix-scan block on seq (grows as sqrt of the seq range)
+SEQ_BLOCK = 4096              # smallest prefix-scan block on seq (grows as sqrt of the table's rows)
 DOC_BLOCK = 64                # smallest prefix-scan block on doc_id for token scans
+DOC_BYTES = 4096              # about the bytes of a document, for the block's width
 
 
 def _seq_block(c: DataFrame):
@@ -88,7 +89,7 @@ FROM toks""")
 def word_count_running(spark, sf_dir):
     """A2: running count per word in (doc, line, position) order."""
     t = _tokens(spark, sf_dir)
-    blk = adaptive_block(table(spark, sf_dir, "documents"), "doc_id", DOC_BLOCK)
+    blk = adaptive_block(table(spark, sf_dir, "documents"), "doc_id", DOC_BLOCK, DOC_BYTES)
     return prefix_scan(t, ["word"], ["doc_id", "line_no", "pos"], blk,
                        {"n": ("sum", F.lit(1).cast("long"))}).select("doc_id", "line_no", "pos", "word", "n")
 
@@ -300,9 +301,9 @@ SELECT seq, url, CAST(sum(CASE WHEN url <> 'click' THEN user_id END) OVER (ORDER
 def running_sum_nulls(spark, sf_dir):
     """A2 with nulls: running sum of the user id over all clicks, null for
     urls named click; a null adds nothing."""
-    c = clicks(spark, sf_dir)
+    c = clicks(spark, sf_dir).select("seq", "url", "user_id")
     value = F.when(F.col("url") != "click", F.col("user_id"))
-    return A.running_sum(c.withColumn("every", F.lit(0)), "every", ["seq"], value, "total", _seq_block(c)).select("seq", "url", "total")
+    return prefix_scan(c, [], ["seq"], _seq_block(c), {"total": ("sum", value)}).select("seq", "url", "total")
 
 
 @register("most_active_user", f"""WITH {CK}, c AS (

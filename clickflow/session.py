@@ -32,6 +32,7 @@ def build_session(master: str | None = None, app: str = "clickflow",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.python.unix.domain.socket.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",   # no call-site capture for every column
     }
     if master and master.startswith("local"):
         conf["spark.driver.host"] = "127.0.0.1"

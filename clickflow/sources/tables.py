@@ -8,13 +8,26 @@ PushedFilters show it in ``explain``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from clickflow.session import use_utc
+from clickflow.session import hadoop_path, use_utc
+
+
+_SCHEMAS: dict[tuple, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's files as they are now.  Inferring a schema is a Spark job of
+    its own; it is done once for each state (time and length) of the path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return spark.read.parquet(path)   # Spark's own error
+    st = fs.getFileStatus(p)
+    key = (path, st.getModificationTime(), st.getLen())
+    if key not in _SCHEMAS or not key[1]:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def click_view(events: DataFrame) -> DataFrame:

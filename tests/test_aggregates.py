@@ -91,3 +91,26 @@ def test_prefix_scan_keeps_rows_with_null_order(spark):
     got = {(r.k, r.seq): r.n for r in out.collect() if r.seq is not None}
     assert out.count() == 4
     assert got == {("k", 5): 3, (None, 9): 1}
+
+
+@pytest.mark.parametrize("blk", [1, 7, 64, 10_000])
+def test_running_best_matches_a_walk(spark, blk):
+    """The one-pass arg-max against a plain walk, with a hot key, null keys and ties."""
+    from clickflow.operators.scan import running_best
+
+    rnd = random.Random(11)
+    data = [(3 * i, rnd.choice([1] * 4 + [2, 3, 4, None])) for i in range(300)]
+    counts, best, exp = {}, None, []
+    for seq, k in data:
+        counts[k] = counts.get(k, 0) + 1
+        best = max([b for b in (best, (counts[k], seq, k)) if b], key=lambda b: b[:2])
+        exp.append((seq, best[2], best[0]))
+    df = spark.createDataFrame(data, "seq long, k long")
+    got = [tuple(r) for r in running_best(df, "k", block_of("seq", blk)).orderBy("seq").collect()]
+    assert got == exp
+
+
+def test_prefix_scan_first_keeps_a_null_first_value(spark):
+    df = spark.createDataFrame([(i, "k", None if i < 3 else str(i)) for i in range(9)], "seq long, k string, v string")
+    got = rows(prefix_scan(df, ["k"], ["seq"], block_of("seq", 2), {"f": ("first", F.col("v"))}), "seq", "f")
+    assert got == [(i, None) for i in range(9)]

@@ -1,5 +1,7 @@
 """Plan properties the design relies on, checked on the physical plans."""
 
+import re
+
 import pytest
 
 from clickflow.plans import REGISTRY
@@ -32,11 +34,25 @@ def test_word_count_reads_only_text(spark):
     assert "ReadSchema: struct<text:string>" in p
 
 
-@pytest.mark.parametrize("key", ["user_frequency_running", "changelog_count", "word_count_running"])
-def test_prefix_scan_merges_offsets_without_broadcast(spark, key):
-    p = plan(spark, key)
-    assert "SortMergeJoin" in p
-    assert "BroadcastExchange" not in p.split("SortMergeJoin")[1].split("\n")[0]
+RUNNING = {"word_count_running": 3, "user_frequency_running": 3, "max_by_user_running": 3, "maxby_user_running": 3,
+           "running_sum_nulls": 3, "changelog_count": 3, "most_active_user_running": 5}
+
+
+def executed(df):
+    """The plan that ran, without the initial one."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("key", RUNNING)
+def test_running_forms_read_their_input_once(spark, key):
+    """Rows and block summaries come from one exchange: one scan, one shuffle
+    of rows, no join, and as many shuffles in all as the scan states."""
+    p = executed(REGISTRY[key].build(spark, "/root/testdata/sf0.01"))
+    assert p.count("FileScan") == 1 and "ReusedExchange" in p and "Join" not in p
+    stages = set(re.findall(r"(?<!Reused)Exchange (?:hashpartitioning|SinglePartition).*plan_id=(\d+)", p))
+    assert len(stages) <= RUNNING[key]
 
 
 def test_distinct_visitors_without_count_distinct(spark):
