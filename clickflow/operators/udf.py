@@ -2,20 +2,17 @@
 
 * X4 rich function: set-up once per task, per-batch work, tear-down in
   ``finally`` -- ``mapInPandas`` over Arrow batches, never one row at a time.
-* X6 aggregate function (create / add / merge / result): per-partition
-  accumulation in pandas, then a Spark shuffle merges the partial
-  accumulators.  Accumulators are a few numbers per group, so memory is
-  bounded by the number of groups in a partition, not by group sizes.
+* X6 aggregate function (create / add / merge / result): accumulators of
+  user code, added to per task and merged in a second, keyed step.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 class RichMapper:
@@ -56,47 +53,107 @@ class LengthMapper(RichMapper):
         return pd.DataFrame({"seq": pdf["seq"], self.out: pdf[self.field].astype("string").str.len().astype("Int32")})
 
 
-@dataclass
-class PandasAggregate:
-    """An aggregate function as four vectorised callables.
+class UserAggregate:
+    """An aggregate function of user code: create, add, merge, result.
 
-    create() -> dict of accumulator columns with their initial value
-    add(acc: DataFrame indexed by group, rows: DataFrame) -> acc
-    merge: Spark aggregate per accumulator column (``sum``, ``max`` …)
-    result(acc columns) -> Column expression of the final value
-    """
-    create: Callable[[], dict]
-    add: Callable[[pd.DataFrame], pd.DataFrame]
-    merge: dict
-    result: Callable[..., object]
+    An accumulator may be any picklable object (numbers, a set, a sketch).
+    ``merge`` must not depend on order or grouping, and may change its first argument."""
+
+    def create(self):
+        raise NotImplementedError
+
+    def add(self, acc, rows: pd.DataFrame):
+        """`acc` with the rows of one group added, a batch at a time."""
+        raise NotImplementedError
+
+    def merge(self, a, b):
+        raise NotImplementedError
+
+    def result(self, acc) -> tuple:
+        """The values of the output columns after the keys."""
+        raise NotImplementedError
 
 
-def aggregate_with(df: DataFrame, keys: list[str], agg: PandasAggregate, acc_schema: str,
-                   out: str) -> DataFrame:
-    """Run ``agg``: ``add`` per partition batch in pandas (partial
-    accumulators), shuffle partials by key, merge with Spark aggregates."""
+#: Accumulators that a task holds before it hands them on.
+MAX_GROUPS = 10_000
+
+
+def aggregate_with(df: DataFrame, keys: list[str], agg: UserAggregate, schema: str, max_groups: int = MAX_GROUPS,
+                   salts: int = 16) -> DataFrame:
+    """Run ``agg`` over groups of ``keys`` (``schema``: keys, then results).
+
+    1. Each task adds its rows to accumulators, at most ``max_groups`` at a time, and
+       emits them as bytes: one row per group and task, whatever the group's size.
+    2. Accumulators meet by (group, salt) and then by group, sorted, and are merged one
+       after the other: a task holds one accumulator, never a group's rows, and a group
+       that every task saw is first merged in ``salts`` places."""
+    names = [f.name for f in df.select(*keys).schema]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
+    partial_schema = f"{types}, _salt int, _acc binary"
+
+    def emit(held: dict, salt: int) -> pd.DataFrame:
+        out = pd.DataFrame(list(held), columns=names, dtype=object)
+        out["_salt"] = salt
+        out["_acc"] = [pickle.dumps(a) for a in held.values()]
+        return out
+
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        salt, held = (ctx.partitionId() if ctx else 0) % salts, {}
+        for pdf in batches:
+            for key, rows in pdf.groupby(names, dropna=False, sort=False):
+                key = tuple(None if pd.isna(k) else k for k in key)
+                held[key] = agg.add(held[key] if key in held else agg.create(), rows)
+            if len(held) >= max_groups:
+                yield emit(held, salt)
+                held = {}
+        if held:
+            yield emit(held, salt)
+
+    def merged(batches: Iterator[pd.DataFrame], last: bool) -> Iterator[pd.DataFrame]:
+        now, acc, out = None, None, {}
         for pdf in batches:
-            if len(pdf):
-                yield agg.add(pdf).reset_index()
-    parts = df.mapInPandas(partial, acc_schema)
-    merged = parts.groupBy(*keys).agg(*[getattr(F, fn)(c).alias(c) for c, fn in agg.merge.items()])
-    merged = merged.fillna(agg.create())  # accumulators start from create()
-    return merged.withColumn(out, agg.result(*[F.col(c) for c in agg.merge]))
-
-
-def _pv_uv_add(pdf: pd.DataFrame) -> pd.DataFrame:
-    # rows are (window_start, user_id, clicks): one per distinct visitor
-    g = pdf.groupby("window_start")
-    return pd.DataFrame({"pv": g["clicks"].sum().astype("int64"), "uv": g.size().astype("int64")})
-
-
-PV_UV = PandasAggregate(
-    create=lambda: {"pv": 0, "uv": 0},
-    add=_pv_uv_add,
-    merge={"pv": "sum", "uv": "sum"},
-    result=lambda pv, uv: pv.cast("double") / uv,
-)
+            for *key, data in zip(*(pdf[c].tolist() for c in [*names, "_acc"])):
+                key = tuple(None if pd.isna(k) else k for k in key)
+                one = pickle.loads(data)
+                if now is not None and key == now:
+                    acc = agg.merge(acc, one)
+                    continue
+                if now is not None:
+                    out[now] = acc
+                now, acc = key, one
+            if len(out) >= max_groups:
+                yield finished(out) if last else emit(out, 0)
+                out = {}
+        if now is not None:
+            out[now] = acc
+            yield finished(out) if last else emit(out, 0)
+
+    def finished(held: dict) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *agg.result(acc)) for key, acc in held.items()])
+
+    parts = df.mapInPandas(partial, partial_schema)
+    parts = parts.repartition(*names, "_salt").sortWithinPartitions(*names, "_salt")
+    parts = parts.mapInPandas(lambda b: merged(b, False), partial_schema)
+    parts = parts.repartition(*names).sortWithinPartitions(*names)
+    return parts.mapInPandas(lambda b: merged(b, True), schema)
+
+
+class PvUv(UserAggregate):
+    """Page views, distinct visitors and their ratio; the accumulator is (count, set of users)."""
+
+    def create(self):
+        return 0, set()
+
+    def add(self, acc, rows):
+        return acc[0] + len(rows), acc[1].union(rows["user_id"].dropna().unique().tolist())
+
+    def merge(self, a, b):
+        return a[0] + b[0], a[1] | b[1]
+
+    def result(self, acc):
+        return acc[0], len(acc[1]), acc[0] / len(acc[1]) if acc[1] else None
 
 
 def flatmap_udtf(user_value):
