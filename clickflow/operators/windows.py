@@ -66,3 +66,11 @@ def pv_uv(clicks: DataFrame, size_ms: int, slide_ms: int | None = None,
           user: str = "user_id") -> DataFrame:
     """A9 + A10 + W1."""
     return pv_uv_from_visits(visits_per_user(clicks, size_ms, slide_ms, user))
+
+
+def split_late(rows: DataFrame, watermark_ms: int, size_ms: int) -> tuple[DataFrame, DataFrame]:
+    """(on time, late): a row is late when its tumbling window had closed under the
+    watermark before the row was processed.  Each row is in exactly one of them."""
+    end = (F.floor(F.col("ms") / size_ms) + 1) * size_ms
+    late = F.coalesce(end <= F.lit(watermark_ms), F.lit(False))
+    return rows.where(~late), rows.where(late)

@@ -22,11 +22,12 @@ from clickflow.operators.combine import co_map_union as _co_map, join_text, keye
 from clickflow.operators.ranking import top_n, report
 from clickflow.operators.scan import adaptive_block, prefix_scan
 from clickflow.operators.timers import periodic_counts, pv_report_text, timer_per_event as _timers
-from clickflow.operators.udf import PV_UV, LengthMapper, aggregate_with, flatmap_udtf, map_rich
+from clickflow.operators.udf import PvUv, LengthMapper, aggregate_with, flatmap_udtf, map_rich
 from clickflow.plans.registry import CK, register, sql_event_text, sql_java_words, sql_ts_text
 from clickflow.schema import DAY_MS, HOUR_MS
 from clickflow.session import scratch_path
-from clickflow.sinks import hour_bucket, json_documents as _json_docs, write_text_files
+from clickflow.sinks import hour_bucket, json_documents as _json_docs
+from clickflow.sinks.rolling import read_rolled, write_rolled
 from clickflow.sources import clicks, document_lines, register_view, sql_over, table
 from clickflow.sources.text import read_lines
 from clickflow.sources.kafka import click_payload, decode_value, encode_records
@@ -40,6 +41,7 @@ SLIDE_STEP_MS = HOUR_MS       # sliding step (reference: 5 s)
 REPORT_PERIOD_MS = DAY_MS     # periodic PV report (reference: 10 s)
 TIMER_DELAY_MS = 10_000       # per-event timer delay (reference value)
 ROLL_BYTES = 1 << 30          # text sink part-file roll size (reference value: 1 GiB)
+IDLE_MS = 300_000             # text sink roll of a bucket without input (reference value: 5 min)
 SEQ_BLOCK = 4096              # smallest prefix-scan block on seq (grows as sqrt of the table's rows)
 DOC_BLOCK = 64                # smallest prefix-scan block on doc_id for token scans
 DOC_BYTES = 4096              # about the bytes of a document, for the block's width
@@ -238,9 +240,8 @@ def file_sink_roundtrip(spark, sf_dir):
     """K3: write record strings as bucketed, rolled text files; read back."""
     c = clicks(spark, sf_dir)
     out = scratch_path(spark, "files", "roundtrip")
-    write_text_files(c.select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket"), "ms"), out,
-                     roll_bytes=ROLL_BYTES, order_col="ms")
-    return spark.read.option("basePath", out).text(out).select("value", F.col("bucket").cast("string"))
+    write_rolled(c.select("seq", P.event_text().alias("value"), hour_bucket("ms").alias("bucket")), out, "seq", ROLL_BYTES)
+    return read_rolled(spark, out).select("value", "bucket")
 
 
 # ------------------------------------------------------------- aggregates
@@ -347,12 +348,11 @@ def pv_uv_tumbling(spark, sf_dir):
 
 @register("udaf_pv_uv", _PV_UV_SQL)
 def udaf_pv_uv(spark, sf_dir):
-    """The PV/UV aggregate as a user-defined (pandas) aggregate function
-    with partial accumulators merged by Spark."""
-    visits = W.visits_per_user(clicks(spark, sf_dir), TUMBLE_MS).select(
-        F.unix_millis(F.col("window.start")).alias("window_start"), "user_id", "clicks")
-    acc = aggregate_with(visits, ["window_start"], PV_UV, "window_start long, pv long, uv long", "ratio")
-    return acc.select("window_start", "pv", "uv", "ratio")
+    """PV/UV of raw clicks as a user-defined aggregate whose accumulator
+    holds a set of users; partial accumulators are merged in a keyed step."""
+    ms = F.col("ms") - F.pmod(F.col("ms"), F.lit(TUMBLE_MS))
+    c = clicks(spark, sf_dir).select(ms.alias("window_start"), "user_id")
+    return aggregate_with(c, ["window_start"], PvUv(), "window_start long, pv long, uv long, ratio double")
 
 
 @register("url_count_tumbling", f"""WITH {CK}

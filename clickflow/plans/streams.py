@@ -22,18 +22,17 @@ from clickflow.operators.ranking import report, top_n
 from clickflow.operators.timers import pv_report_text, timer_per_event_stream
 from clickflow.plans import batch as B
 from clickflow.plans.registry import CK, REGISTRY, register
-from clickflow.sinks import hour_bucket, records_for_bytes, stream_text_files
+from clickflow.sinks import hour_bucket, stream_text_files
+from clickflow.sinks.rolling import read_rolled, rolled_files_stream
 from clickflow.session import scratch_path, use_utc
 from clickflow.functions.strings import json_object
 from clickflow.sinks.upsert import read_snapshot, upsert_stream
 from clickflow.sources.tables import click_view, table
 from clickflow.sources.views import register_view
-from clickflow.streaming.processors import (
-    ELEMENT_WM_SCHEMA, PERIODIC_SCHEMA, ElementWatermark, PeriodicCount, combine_per_ms,
-)
+from clickflow.streaming.due_ticks import DueTicks
 from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
-from clickflow.streaming.runner import ROCKSDB, run_available_now, state_partitions
+from clickflow.streaming.runner import run_available_now
 
 CHUNKS = 4                # micro-batches of a replay: equal-width time slices, whatever the size
 FILES_PER_CHUNK = 2       # least files per micro-batch; their number grows with the rows
@@ -41,10 +40,6 @@ WATERMARK_DELAY = "0 seconds"   # bounded out-of-orderness 0 (reference)
 LATE_CHUNK_ORDER = [0, 2, 1, 3]  # stream_late_data: slice 1 arrives after slice 2
 
 _CLOSED = "(SELECT max(epoch_us(ts)//1000) FROM events)"
-_TWS_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-             # commit only the changes of each micro-batch, not a full state snapshot
-             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
-
 
 def click_stream(spark: SparkSession, sf_dir: str, chunk_order=None) -> DataFrame:
     use_utc(spark)
@@ -83,18 +78,15 @@ def stream_co_map_union(spark, sf_dir):
 
 @register("stream_file_sink", _sql("file_sink_roundtrip"), streaming=True)
 def stream_file_sink(spark, sf_dir):
-    """K3: streaming row-format text sink, bucketed by event hour, rolled by
-    record count; exactly-once through the sink's commit log."""
-    s = click_stream(spark, sf_dir).select(P.event_text().alias("value"), hour_bucket("ms").alias("bucket"))
+    """K3: streaming row-format text sink, bucketed by event hour; parts roll by
+    exact bytes, across micro-batches, and when a bucket was idle."""
+    s = click_stream(spark, sf_dir).select("seq", P.event_text().alias("value"), hour_bucket("ms").alias("bucket"))
     out, ckpt = scratch_path(spark, "files", "stream"), scratch_path(spark, "ckpt", "stream_file_sink")
-    # records per part file for a ~1 GiB roll, from the average line of the source table
-    per_file = records_for_bytes(B.clicks(spark, sf_dir).select(P.event_text().alias("value")), "value",
-                                 B.ROLL_BYTES)
-    q = stream_text_files(s, out, ckpt, max_records_per_file=per_file)
+    q = rolled_files_stream(s, out, ckpt, "seq", B.ROLL_BYTES, B.IDLE_MS)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.format("text").load(out).select("value", F.col("bucket").cast("string"))
+    return read_rolled(spark, out).select("value", "bucket")
 
 
 @register("stream_document_sink", _sql("json_documents").replace("SELECT seq, ", "SELECT "), streaming=True)
@@ -270,13 +262,36 @@ SELECT k.seq, k.user_id, k.ms, w.watermark_ms FROM k JOIN w ON k.chunk = w.chunk
 def stream_element_watermark(spark, sf_dir):
     """Every click with the watermark current when it was processed
     (the largest event time of earlier micro-batches, delay 0)."""
-    buckets = 4 * state_partitions(spark)   # every state partition gets work
-    s = click_stream(spark, sf_dir).select(
-        "user_id", "seq", "ms", "ts", F.pmod(F.xxhash64("seq"), F.lit(buckets)).alias("_bucket"))
-    t = s.groupBy("_bucket").transformWithStateInPandas(
-        statefulProcessor=ElementWatermark(), outputStructType=ELEMENT_WM_SCHEMA,
-        outputMode="Append", timeMode="EventTime")
-    return run_available_now(t, "stream_element_watermark", conf=_TWS_CONF).rows()
+    s = click_stream(spark, sf_dir).select("seq", "user_id", "ms", "ts")
+    res = run_available_now(s, "stream_element_watermark", batch_fn_clock=lambda b, _, wm: b.select(
+        "seq", "user_id", "ms", F.lit(wm).cast("long").alias("watermark_ms")))
+    return res.rows()
+
+
+@register("stream_late_rows", f"""WITH {CK},
+k AS (SELECT seq, user_id, ms, CAST(floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {CHUNKS}
+      / ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events) + 1)) AS INTEGER) AS chunk FROM ck),
+o AS (SELECT unnest({LATE_CHUNK_ORDER}) AS chunk, unnest(range({CHUNKS})) AS place),
+m AS (SELECT o.place, max(k.ms) AS mx FROM o LEFT JOIN k USING (chunk) GROUP BY o.place),
+w AS (SELECT o.chunk, coalesce((SELECT max(mx) FROM m WHERE m.place < o.place), 0) AS wm FROM o)
+SELECT seq, user_id, ms, w.wm AS watermark_ms, (ms // {B.TUMBLE_MS}) * {B.TUMBLE_MS} + {B.TUMBLE_MS} <= w.wm AS late
+FROM k JOIN w USING (chunk)""", streaming=True)
+def stream_late_rows(spark, sf_dir):
+    """The replay whose second time slice arrives late, each micro-batch split
+    against the watermark it runs under.  Late rows go to a side table, batch by batch,
+    on-time rows to the main one; together they are the input."""
+    side = scratch_path(spark, "side", "stream_late_rows")
+
+    def split(batch, batch_id, wm):
+        on_time, late = W.split_late(batch.select("seq", "user_id", "ms").withColumn("watermark_ms", F.lit(wm).cast("long")), wm, B.TUMBLE_MS)
+        late.write.mode("overwrite").parquet(f"{side}/batch_id={batch_id}")
+        return on_time
+
+    res = run_available_now(click_stream(spark, sf_dir, LATE_CHUNK_ORDER).select("seq", "user_id", "ms", "ts"),
+                            "stream_late_rows", batch_fn_clock=split)
+    on_time = res.rows()
+    late = spark.read.schema(on_time.schema).parquet(side).select(*on_time.columns)
+    return on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
 
 
 @register("stream_progress", f"""WITH {CK},
@@ -361,14 +376,11 @@ def stream_timer_per_event(spark, sf_dir):
 
 @register("stream_periodic_user_pv", _sql("periodic_user_pv"), streaming=True)
 def stream_periodic_user_pv(spark, sf_dir):
-    """E8 + E10 on a stream: cumulative PV per user every period, from one
-    value state and one event-time timer per user; clicks are combined per
-    (user, ms) on the map side first."""
-    use_utc(spark)
-    r = events_replay(spark, sf_dir, CHUNKS, FILES_PER_CHUNK)
-    s = combine_per_ms(click_view(r.stream(spark))).withWatermark("ts", WATERMARK_DELAY)
-    t = s.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=PeriodicCount(B.REPORT_PERIOD_MS), outputStructType=PERIODIC_SCHEMA,
-        outputMode="Append", timeMode="EventTime")
-    return run_available_now(t, "stream_periodic_user_pv", conf=_TWS_CONF).rows().withColumn(
-        "msg", pv_report_text("user_id"))
+    """E8 + E10 on a stream: cumulative PV per user every period, as a table of
+    due ticks (``streaming.due_ticks``): no keyed state, no Python; the
+    ``processors.PeriodicCount`` processor is the keyed form."""
+    ticks = DueTicks(spark, "stream_periodic_user_pv", B.REPORT_PERIOD_MS)
+    s = click_stream(spark, sf_dir).select("user_id", "ms", "seq", "ts")
+    res = run_available_now(s, "stream_periodic_user_pv", batch_fn_clock=ticks.batch)
+    ticks.close()
+    return res.rows().withColumn("msg", pv_report_text("user_id"))

@@ -1,18 +1,12 @@
-"""Per-key running totals carried across micro-batches as a versioned table.
+"""Changelog of a COUNT per key over micro-batches, without keyed state.
 
 Used where a keyed streaming result needs "count so far" per record and the
-key set is small or skewed (a changelog of COUNT per url: five keys, one of
-them possibly holding a third of the rows).  Keyed state would send each
-key's rows of a micro-batch to one task; instead each micro-batch is a batch
-job:
-
-* in-batch running counts come from the blocked prefix scan (skew-safe),
-* each key's total before the batch is read from version ``batch_id - 1`` of a
-  small table (one row per key) and added as an offset,
-* the new totals are written as version ``batch_id`` (overwrite), so a
-  re-executed micro-batch reads and writes the same versions: idempotent.
-
-The table lives under ``spark.checkpoint.dir`` next to the query checkpoint.
+key set is small or skewed (five urls, one of them possibly holding a third
+of the rows).  Keyed state would send each key's rows of a micro-batch to one
+task; instead each micro-batch is a batch job: in-batch running counts come
+from the blocked prefix scan (skew-safe), each key's count before the batch
+from a log of counts per key (``keyed_log``), which lies under
+``spark.checkpoint.dir`` next to the query's checkpoint.
 """
 
 from __future__ import annotations
@@ -22,39 +16,16 @@ from pyspark.sql import functions as F
 
 from clickflow.operators.changelog import changes_from_counts
 from clickflow.operators.scan import adaptive_block, prefix_scan
-from clickflow.session import scratch_path
-
+from clickflow.streaming.keyed_log import KeyedLog
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
 
+class KeyedTotals(KeyedLog):
+    """Records per key so far."""
 
-class KeyedTotals:
     def __init__(self, spark: SparkSession, key: str, name: str, key_type: str = "string",
-                 path: str | None = None):
-        self.spark, self.key = spark, key
-        self.path = path or scratch_path(spark, "totals", name)
-        self.schema = f"{key} {key_type}, total long"
-
-    def before(self, batch_id: int) -> DataFrame:
-        """Totals after the latest committed batch older than ``batch_id``."""
-        older = [v for v in _versions(self.spark, self.path) if v < batch_id]
-        if not older:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(f"{self.path}/v={older[-1]}")
-
-    def write(self, batch_id: int, totals: DataFrame) -> None:
-        totals.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+                 path: str | None = None, every: int = 10):
+        super().__init__(spark, name, f"{key} {key_type}, total long", [key], {"total": "sum"}, path, every)
+        self.key = key
 
 
 def changelog_batch(batch: DataFrame, batch_id: int, totals: KeyedTotals) -> DataFrame:
@@ -70,9 +41,5 @@ def changelog_batch(batch: DataFrame, batch_id: int, totals: KeyedTotals) -> Dat
     with_base = counted.join(base, F.col(key).eqNullSafe(F.col("_pk")), "left")
     n = F.coalesce(F.col("_base"), F.lit(0)) + F.col("n_local")
     changes = changes_from_counts(with_base.select("seq", key, n.alias("n")), key)
-    add = batch.groupBy(F.col(key).alias("_bk")).agg(F.count(F.lit(1)).alias("_add"))
-    new = (prev.join(add, F.col(key).eqNullSafe(F.col("_bk")), "full")
-           .select(F.coalesce(F.col(key), F.col("_bk")).alias(key),
-                   (F.coalesce("total", F.lit(0)) + F.coalesce("_add", F.lit(0))).alias("total")))
-    totals.write(batch_id, new)
+    totals.write(batch_id, batch.groupBy(key).agg(F.count(F.lit(1)).alias("total")))
     return changes

@@ -17,7 +17,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.session import path_exists, scratch_path
+from clickflow.session import hadoop_path, path_exists, scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,6 +45,20 @@ def _as_dict(p) -> dict:
     return json.loads(p.json)
 
 
+def batch_clock(spark: SparkSession, checkpoint: str, batch_id: int) -> tuple[int, int]:
+    """(event-time watermark, wall-clock start) in epoch milliseconds under which a
+    micro-batch runs.  Spark writes both to the checkpoint's offset log before it starts the
+    batch, so a batch that runs again after a failure gets the same ones."""
+    fs, p = hadoop_path(spark, f"{checkpoint}/offsets/{batch_id}")
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    meta = json.loads(text.split("\n")[1])   # a version line, the batch's metadata, its offsets
+    return int(meta["batchWatermarkMs"]), int(meta["batchTimestampMs"])
+
+
 class StreamResult:
     def __init__(self, spark: SparkSession, path: str, schema, progress: list[dict], written: int = 0):
         self.spark, self.path, self.schema, self.progress, self.written = spark, path, schema, progress, written
@@ -84,9 +98,11 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
                       batch_fn: Callable[[DataFrame], DataFrame] | None = None,
                       conf: dict[str, str] | None = None, timeout_s: int | None = None,
                       batch_fn_id: Callable[[DataFrame, int], DataFrame] | None = None,
-                      paths: tuple[str, str] | None = None) -> StreamResult:
-    """``batch_fn`` / ``batch_fn_id`` turn each micro-batch into the rows to
-    write (the latter also gets the batch id); the micro-batch is persisted
+                      paths: tuple[str, str] | None = None,
+                      batch_fn_clock: Callable[[DataFrame, int, int], DataFrame] | None = None) -> StreamResult:
+    """``batch_fn`` / ``batch_fn_id`` / ``batch_fn_clock`` turn each micro-batch
+    into the rows to write (the second also gets the batch id, the third that and
+    the watermark in ms under which the batch runs); the micro-batch is persisted
     while they run, since such functions read it more than once.  ``paths``
     = (output, checkpoint) resumes an earlier run of the same query.
     ``timeout_s`` None waits until everything available is processed (an
@@ -99,11 +115,14 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
     holder: dict = {}
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch_fn is None and batch_fn_id is None:
+        if batch_fn is None and batch_fn_id is None and batch_fn_clock is None:
             b, cached = batch, None
         else:
             cached = batch.persist()
-            b = batch_fn_id(cached, batch_id) if batch_fn_id else batch_fn(cached)
+            if batch_fn_clock:
+                b = batch_fn_clock(cached, batch_id, batch_clock(spark, ckpt, batch_id)[0])
+            else:
+                b = batch_fn_id(cached, batch_id) if batch_fn_id else batch_fn(cached)
         try:
             holder.setdefault("schema", b.schema)
             b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
@@ -128,7 +147,7 @@ def run_available_now(stream_df: DataFrame, name: str, mode: str = "append",
     schema = holder.get("schema")
     if schema is None:
         empty = spark.createDataFrame([], stream_df.schema)
-        schema = (batch_fn(empty) if batch_fn else empty).schema if batch_fn_id is None else None
+        schema = (batch_fn(empty) if batch_fn else empty).schema if batch_fn_id is None and batch_fn_clock is None else None
         if schema is None:
             raise RuntimeError(f"streaming query {name} produced no micro-batch")
     progress = [_as_dict(p) for p in q.recentProgress]
