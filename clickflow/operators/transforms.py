@@ -97,10 +97,11 @@ def parse_click_csv(lines: DataFrame, value: str = "value", strict: bool = True,
     bad = (n < 3) | ts.isNull()
     cols = [*keep, F.when(n >= 1, f[0]).alias("user"), F.when(n >= 2, f[1]).alias("url")]
     if strict:
-        # a filter, so that no column pruning (not even count()) skips the check
+        # a generator of one row: no column pruning (not even count()) skips the check, and unlike
+        # a filter it is not pushed below the split, which would then run twice
         err = F.raise_error(F.concat(F.lit("malformed click line: "), F.col(value)))
-        checked = lines.where(F.when(F.coalesce(bad, F.lit(True)), err.cast("boolean")).otherwise(F.lit(True)))
-        return checked.select(*cols, ts.alias("timestamp"))
+        rec = F.array(F.struct(*cols[len(keep):], ts.alias("timestamp")))
+        return lines.select(*keep, F.inline(F.when(F.coalesce(bad, F.lit(True)), err).otherwise(rec)))
     return lines.select(*cols, ts.alias("timestamp"), bad.alias("_bad"))
 
 
