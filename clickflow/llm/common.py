@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import struct
@@ -10,13 +11,17 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickflow.session import checkpoint_root
 
-#: Rows per Arrow batch handed to Python.  Texts can be long; a thousand of them
-#: keep a worker's batch small.  Only ever lowered, results do not depend on it.
-BATCH_ROWS = 1000
+#: Rows per Arrow batch handed to Python.  Texts can be long; a few hundred of them
+#: keep a worker's batch, and the JVM's copy of it, small.  Only ever lowered, results do
+#: not depend on it.
+BATCH_ROWS = 300
+#: Bytes of text that are Python strings at a time (one text at least).
+PART_BYTES = 2_000_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -71,26 +76,58 @@ def map_texts(df: DataFrame, per_batch: Callable[[list, list], Iterable[tuple]],
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows == 0:
-                continue
+        for b in parts(batches, 1):
             for cols in per_batch(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, type=arrow.field(i).type, from_pandas=False)
                      for i, c in enumerate(cols)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def filter_texts(docs: DataFrame, keep: Callable[[list], np.ndarray]) -> DataFrame:
     """Rows of `docs` whose `text` passes; `keep(texts)` gives a boolean array.
     All columns stay as they are and nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(np.asarray(keep(b.column("text").to_pylist()), dtype=bool)))
+        for b in parts(batches, "text"):
+            yield b.filter(pa.array(np.asarray(keep(b.column("text").to_pylist()), dtype=bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
+
+
+def parts(batches: Iterable[pa.RecordBatch], column: int | str, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` in slices whose texts (or bytes) take about `size` bytes
+    (one row at least); nothing is copied, and batches without rows are left out."""
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        total = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < b.num_rows:
+            before = total[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(total, before + size, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
+def release() -> None:
+    """Memory that a worker holds but doesn't use goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: it keeps its own ways
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run`, and `release` at the end of the task: workers live on between stages."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
 
 
 def chunks(texts: list, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
@@ -111,22 +148,27 @@ class PieceCache:
 
     Ids are kept as little-endian unsigned 32-bit bytes, so a document's ids are
     one `bytes.join`.  `encode_many(pieces)` returns the ids of each piece as such
-    bytes.  Beyond `limit` pieces the cache starts anew: memory stays bounded and
+    bytes.  Beyond `limit` bytes the cache starts anew: memory stays bounded and
     the ids are the same.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 300_000):
-        self._encode, self._limit, self._ids = encode_many, limit, {}
+    #: Bytes of an entry beside its text and its ids.
+    ENTRY = 190
+
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 64_000_000):
+        self._encode, self._limit, self._ids, self._size = encode_many, limit, {}, 0
 
     def load(self, lists: list[list[str]]) -> dict[str, bytes]:
         """Ids by piece for all pieces of `lists`."""
-        if len(self._ids) > self._limit:
-            self._ids = {}
+        if self._size > self._limit:
+            self._ids, self._size = {}, 0
         ids = self._ids
         missing = list(set().union(*lists).difference(ids))
-        for lo in range(0, len(missing), 50_000):
-            part = missing[lo:lo + 50_000]
-            ids.update(zip(part, self._encode(part)))
+        for lo in range(0, len(missing), 20_000):
+            part = missing[lo:lo + 20_000]
+            got = self._encode(part)
+            ids.update(zip(part, got))
+            self._size += sum(map(len, part)) + sum(map(len, got)) + self.ENTRY * len(part)
         return ids
 
 
@@ -182,7 +224,7 @@ class WordTokenizer:
                         and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space")
                         and not spec.get("post_processor"))
         self._model, self._letters = self.tok.model, byte_letters()
-        self._words, self._pieces = PieceCache(self.whole, 50_000), PieceCache(self._of_pieces, 500_000)
+        self._words, self._pieces = PieceCache(self.whole, 12_000_000), PieceCache(self._of_pieces)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids by the library alone."""

@@ -215,11 +215,11 @@ def keep_rows(docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_BITS) -
     schema = T.StructType([*docs.schema, T.StructField(mark, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = np.array([simhash(t.as_py(), words) for t in b.column("text")], dtype=np.uint64).view(np.int64)
+        for b in common.parts(batches, "text"):
+            fp = np.array([simhash(t, words) for t in b.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp)], names=schema.fieldNames())
 
-    rows = docs.mapInArrow(run, schema).withColumn(ident, F.col("doc_id").cast("long"))
+    rows = docs.mapInArrow(common.tidied(run), schema).withColumn(ident, F.col("doc_id").cast("long"))
     best = best.select(F.col("doc_id").alias(ident + "_"), F.col("fp").alias(mark + "_"))
     kept = rows.join(best, rows[ident].eqNullSafe(best[ident + "_"]) & (rows[mark] == best[mark + "_"]), "left_semi")
     first = Window.partitionBy(ident, mark).orderBy(F.lit(1))

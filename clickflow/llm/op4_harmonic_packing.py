@@ -135,7 +135,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, slack: float
             return out
 
         left: dict[tuple, int] = {}
-        for b in batches:
+        for b in common.parts(batches, 1):
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in common.chunks(texts):
                 placed = []
@@ -152,4 +152,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, slack: float
         if placed := packer.finish():
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows(placed), schema)], schema=schema)
 
-    return common.text_rows(docs).mapInArrow(run, SCHEMA)
+    return common.text_rows(docs).mapInArrow(common.tidied(run), SCHEMA)

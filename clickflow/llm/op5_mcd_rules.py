@@ -80,12 +80,12 @@ def statistics(docs: DataFrame) -> DataFrame:
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = np.array([base_counts(t.as_py()) for t in b.column(3)], dtype=np.int64).reshape(-1, len(BASE))
+        for b in common.parts(batches, 3):
+            counts = np.array([base_counts(t) for t in b.column(3).to_pylist()], dtype=np.int64).reshape(-1, len(BASE))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(counts[:, i]) for i in range(len(BASE)))],
                                              names=schema.fieldNames())
 
-    return rows.mapInArrow(run, schema).withColumn("base_failed", base_failed()).withColumns(vector())
+    return rows.mapInArrow(common.tidied(run), schema).withColumn("base_failed", base_failed()).withColumns(vector())
 
 
 def distance() -> Column:
@@ -202,11 +202,11 @@ def keep_rows(docs: DataFrame) -> DataFrame:
     schema = T.StructType(list(docs.schema) + [T.StructField(c, T.LongType()) for c in held])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = np.array([base_counts(t.as_py()) for t in b.column("text")], dtype=np.int64).reshape(-1, len(BASE))
+        for b in common.parts(batches, "text"):
+            counts = np.array([base_counts(t) for t in b.column("text").to_pylist()], dtype=np.int64).reshape(-1, len(BASE))
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(counts[:, i]) for i in range(len(BASE)))], names=schema.fieldNames())
 
-    rows = docs.mapInArrow(run, schema)
+    rows = docs.mapInArrow(common.tidied(run), schema)
     whole = rows.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), *(F.col(h).alias(c) for h, c in zip(held, BASE)))
     lang, source = (F.coalesce(F.col("row")[c].cast("string"), F.lit(NONE)) if c in names else F.lit(NONE) for c in ("lang", "source"))
     whole = whole.withColumns({"lang_key": lang, "source_key": source, "base_failed": base_failed(), **vector()})

@@ -77,7 +77,7 @@ class Model:
         self.weights, self.intercept = weights.astype(np.float64), float(intercept)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        grams = Grams()
+        grams = self._grams = getattr(self, "_grams", None) or Grams()
         z = np.array([self.intercept + float(self.weights[grams(t)].sum()) for t in texts])
         return sigmoid(z)
 
@@ -128,17 +128,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for b in batches:
-            if b.num_rows:
-                got = [grams(t).astype("<u4").tobytes() for t in b.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int32()), pa.array(got, pa.binary())], names=schema.fieldNames())
+        for b in common.parts(batches, 2):
+            got = [grams(t).astype("<u4").tobytes() for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int32()), pa.array(got, pa.binary())], names=schema.fieldNames())
 
-    seen = common.written(rows.mapInArrow(extract, schema), "nb-grams")
+    seen = common.written(rows.mapInArrow(common.tidied(extract), schema), "nb-grams")
     counted = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n0", T.LongType()), T.StructField("n1", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((2, BUCKETS), dtype=np.int64)
-        for b in batches:
+        for b in common.parts(batches, 1):
             for y, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 n[y][np.frombuffer(g, dtype="<u4")] += 1
         at = np.flatnonzero(n.any(axis=0))
@@ -148,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     if len(classes) < 2:
         ones, all_ = classes.get(1, 0) + 1, sum(classes.values()) + 2
         return Model(np.zeros(BUCKETS), np.log(ones / (all_ - ones)))
-    per_bucket = seen.mapInArrow(count, counted).groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # at most BUCKETS rows
+    per_bucket = seen.mapInArrow(common.tidied(count), counted).groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # at most BUCKETS rows
     n0, n1 = np.zeros(BUCKETS), np.zeros(BUCKETS)
     n0[per_bucket.bucket], n1[per_bucket.bucket] = per_bucket.n0, per_bucket.n1
     p, q = n1 + ALPHA, n0 + ALPHA
@@ -160,11 +159,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     place[chosen] = np.arange(len(chosen))
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.parts(batches, 1):
             got = [place[np.frombuffer(g, dtype="<u4")] for g in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.sort(x[x >= 0]).astype("<u2").tobytes() for x in got], pa.binary())], names=schema.fieldNames())
 
-    small = seen.mapInArrow(select, schema).orderBy("y", "grams").toPandas()  # at most max_rows rows of max_features small ints
+    small = seen.mapInArrow(common.tidied(select), schema).toPandas()  # at most max_rows rows of max_features small ints
+    small = small.sort_values(["y", "grams"], kind="stable")
     lists = [np.frombuffer(g, dtype="<u2").astype(np.int32) for g in small.grams]
     rows_, cols = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists)
     r = ratio[chosen]
