@@ -1,37 +1,14 @@
-import collections
-
 from clickflow.llm import common, op10_winnowed_lines as op
 from helpers import awkward_docs, empty_docs, sentence
+from test_op10_places import all_pairs
 
 SF = "/root/testdata/sf0.01"
 
 
-def brute(rows, min_words=op.MIN_WORDS):
-    """Text by (doc_id, text) after cutting, straight from the definition."""
-    docs = sorted({(r[0] if r[0] is not None else op.LONGEST, r[1]) for r in rows if r[1] is not None}, key=lambda d: d[0])
-    lines, first, found, gone = {}, {}, [], collections.defaultdict(set)
-    for d in docs:
-        lines[d] = [(n, tuple(x.split())) for n, x in enumerate(d[1].encode().split(b"\n")) if x.split()]
-        for a in range(len(lines[d])):
-            n = 0
-            for e in range(a, len(lines[d])):
-                n += len(lines[d][e][1])
-                if n >= min_words:
-                    key = tuple(w for _, w in lines[d][a:e + 1])
-                    found.append((d, a, e + 1, key))
-                    first.setdefault(key, (d, a))
-                    break
-    for d, a, e, key in found:
-        f, fa = first[key]
-        if (f, fa) == (d, a):
-            continue
-        mine, other, lo, hi, z = lines[d], lines[f], a, e, fa + e - a
-        while lo > 0 and fa > 0 and mine[lo - 1][1] == other[fa - 1][1]:
-            lo, fa = lo - 1, fa - 1
-        while hi < len(mine) and z < len(other) and mine[hi][1] == other[z][1]:
-            hi, z = hi + 1, z + 1
-        gone[d] |= {mine[k][0] for k in range(max(lo, z) if f == d else lo, hi)}
-    return {d: "\n".join(x for n, x in enumerate(d[1].split("\n")) if n not in gone[d]) for d in docs}
+def brute(rows):
+    """Text by (doc_id, text) after cutting, each window held against every earlier place."""
+    docs = sorted({(r[0] if r[0] is not None else op.LONGEST, r[1]) for r in rows if r[1] is not None})
+    return all_pairs(docs)
 
 
 def check(df):

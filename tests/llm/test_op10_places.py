@@ -16,16 +16,17 @@ def all_pairs(rows, min_words=op.MIN_WORDS):
             if n >= min_words:
                 places.append((d, a, e, [w for _, w in lines[a:e]]))
     gone = [set() for _ in docs]
-    for k, (d, a, e, words) in enumerate(places):
-        for f, fa, fe, others in places[:k]:
-            if words != others:
-                continue
+    before = {}
+    for d, a, e, words in places:
+        equal = before.setdefault(tuple(map(tuple, words)), [])
+        for f, fa, fe in equal:
             mine, other, left, right = docs[d][2], docs[f][2], 0, 0
             while left < min(a, fa) and mine[a - left - 1][1] == other[fa - left - 1][1]:
                 left += 1
             while e + right < len(mine) and fe + right < len(other) and mine[e + right][1] == other[fe + right][1]:
                 right += 1
             gone[d] |= {mine[i][0] for i in range(max(a - left, fe) if f == d else a - left, e + right)}
+        equal.append((d, a, e))
     return {(d, t): "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i]) for i, (d, t, _) in enumerate(docs)}
 
 
@@ -53,3 +54,29 @@ def test_random_texts_against_all_pairs(spark):
     docs = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 14)))) for i in range(60)]
     want = all_pairs(docs)
     assert results(spark, docs) == {d: want[d, t] for d, t in docs}
+
+
+def test_every_text_selects_what_equal_windows_need():
+    """Equal windows select the same line, and a text stores a selected line once."""
+    rnd = random.Random(6)
+    pool = [sentence(700 + i, rnd.choice((3, 12, 20, 30))) for i in range(8)]
+    by_window = {}
+    for _ in range(80):
+        text = "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 20)))
+        _, digests, sizes = op.hashed_lines(text)
+        rows = list(op.selected(text))
+        held = [(a, e) for _, found in rows for a, e, _ in found]
+        assert sorted(held) == op.windows(sizes) and len(rows) <= len(digests)
+        for key, found in rows:
+            for a, e, h in found:
+                assert by_window.setdefault(tuple(digests[a:e]), (key, h)) == (key, h)
+                assert sizes[a:e].sum() >= op.MIN_WORDS
+                assert sizes[a:e - 1].sum() < op.MIN_WORDS or sizes[a + 1:e].sum() < op.MIN_WORDS
+
+
+def test_repeated_rows_and_a_hot_window(spark):
+    hot = sentence(900, 55)
+    docs = [(i, f"{sentence(1000 + i, 5)}\n{hot}\n{sentence(2000 + i, 5)}") for i in range(300)]
+    got = results(spark, docs + docs[:5])
+    assert got[0] == docs[0][1]
+    assert all(got[i] == f"{sentence(1000 + i, 5)}\n{sentence(2000 + i, 5)}" for i in range(1, 300))
