@@ -362,3 +362,56 @@ def repair(turns: DataFrame, costs: Costs = Costs(), spill_bytes: int = SPILL_BY
             yield frame(out, TURNS)
 
     return streamed(turns).mapInPandas(run, TURNS)
+
+
+#: The audits of the damaged conversations, stated in DuckDB SQL: CRC-32 bit by bit, and the program as a
+#: fold over a conversation's turns that keeps the letters and the text of each state's best path.
+SQL = """WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crc AS (
+  SELECT *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)), lambda a, b:
+           list_reduce(range(8), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)), xor(a, b)), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind FROM raw),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc WHERE kind <> 0),
+placed AS (
+  SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+counted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+faulty AS (
+  SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM counted),
+whole AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         list({'paths': NULL::STRUCT(c BIGINT, s VARCHAR, q INTEGER, r VARCHAR)[], 'u': left(role, 1), 'go': fault IN ('blank', 'duplicate'),
+               'x': CAST(fault = 'truncated' AS BIGINT), 'role': role, 'text': text} ORDER BY i) AS turns
+  FROM faulty GROUP BY conv_id),
+walked AS (
+  SELECT * EXCLUDE turns, list_reduce(turns, lambda a, b: {'paths': list_filter(list_transform(range(4), lambda w: list_min(list_filter(
+    flatten(list_transform(
+      flatten(list_transform(a.paths, lambda p: [p,
+        {'c': p.c + 2, 's': p.s || 'I', 'q': CASE p.q WHEN 2 THEN 3 ELSE 2 END,
+         'r': coalesce(p.r || chr(10), '') || CASE p.q WHEN 2 THEN 'assistant:' ELSE 'user:' END},
+        {'c': p.c + 4, 's': p.s || 'II', 'q': CASE p.q WHEN 2 THEN 2 ELSE 3 END,
+         'r': coalesce(p.r || chr(10), '') || CASE p.q WHEN 2 THEN 'assistant:' || chr(10) || 'user:' ELSE 'user:' || chr(10) || 'assistant:' END}])),
+      lambda p: [{'c': p.c + 3, 's': p.s || 'D', 'q': p.q, 'r': p.r},
+        {'c': p.c + b.x, 's': p.s || 'K', 'q': CASE WHEN b.go THEN -1 WHEN b.u = 's' AND p.q = 0 THEN 1 WHEN b.u = 'u' AND p.q <> 2 THEN 2
+          WHEN b.u = 'a' AND p.q = 2 THEN 3 ELSE -1 END, 'r': coalesce(p.r || chr(10), '') || b.role || ':' || b.text},
+        {'c': p.c + 2 + b.x, 's': p.s || 'R', 'q': CASE WHEN b.go THEN -1 WHEN p.q = 2 THEN 3 ELSE 2 END,
+         'r': coalesce(p.r || chr(10), '') || CASE p.q WHEN 2 THEN 'assistant:' ELSE 'user:' END || b.text}])),
+    lambda z: z.q = w))), lambda z: z IS NOT NULL), 'u': b.u, 'go': b.go, 'x': b.x, 'role': b.role, 'text': b.text},
+    {'paths': [{'c': 0, 's': '', 'q': 0, 'r': NULL}]::STRUCT(c BIGINT, s VARCHAR, q INTEGER, r VARCHAR)[], 'u': '', 'go': false, 'x': 0::BIGINT, 'role': '', 'text': ''}).paths AS paths
+  FROM whole),
+ended AS (
+  SELECT * EXCLUDE paths, list_min(list_transform(paths, lambda p: CASE p.q
+    WHEN 1 THEN {'c': p.c + 4, 's': p.s || 'II', 'q': 3, 'r': p.r || chr(10) || 'user:' || chr(10) || 'assistant:'}
+    WHEN 2 THEN {'c': p.c + 2, 's': p.s || 'I', 'q': 3, 'r': p.r || chr(10) || 'assistant:'} ELSE p END)) AS best FROM walked)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.s, '') AS audit, sha256(coalesce(best.r, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""

@@ -90,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL by query, where SQL can state the result.
 ORACLE_SQL: dict[str, str] = {
     "op11_fim_skiplist": op11_fim_skiplist.SQL,
+    "op12_conversation_repair": op12_conversation_repair.SQL,
     "op13_topk_search": op13_topk_search.SQL,
 }

@@ -7,6 +7,8 @@ import random
 import re
 import zlib
 
+import duckdb
+
 from clickflow.llm import common, op12_conversation_repair as op
 
 SF = "/root/testdata/sf0.01"
@@ -217,3 +219,12 @@ def test_long_texts(spark):
     long = "word " * 400_000
     rows = [(1, 0, "user", long), (1, 1, "assistant", long + "."), (1, 2, "user", long), (1, 3, "user", " " * 1_000_000)]
     assert got(spark.createDataFrame(rows, SCHEMA)) == expected(rows)
+
+
+def test_sql_statement_of_odd_rows():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    assert con.execute(op.SQL).fetchall() == []
+    rows = random_rows(5, 200) + [(None, 1, "user", "no id."), (None, None, "assistant", "none"), (None, None, None, None), (-3, -7, "s", "é!")]
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert {r[0]: tuple(r[1:]) for r in con.execute(op.SQL).fetchall()} == expected(rows)
