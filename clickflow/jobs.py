@@ -22,7 +22,7 @@ from clickflow.operators.changelog import changelog_count
 from clickflow.operators.combine import co_map_union, join_text, keyed_join
 from clickflow.operators.ranking import report, top_n
 from clickflow.operators.timers import periodic_counts, pv_report_text, timer_per_event, timer_per_event_stream
-from clickflow.session import use_utc
+from clickflow.session import scratch_path, use_utc
 from clickflow.sinks import hour_bucket
 from clickflow.sinks.rolling import rolled_files_stream
 from clickflow.sinks.upsert import read_snapshot, upsert_stream
@@ -45,8 +45,13 @@ def in_file_order(rows: DataFrame) -> DataFrame:
     """Rows of a file source with ``seq``: by file name, then position in the
     file.  Spark packs files into partitions by size, so a row id alone would
     not follow the names."""
+    spark = rows.sparkSession
     at = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_piece"),
                      F.monotonically_increasing_id().alias("_row"))
+    # written once: the ids below must be the same in both uses, whatever runs again
+    path = scratch_path(spark, "ordered")
+    at.write.parquet(path)
+    at = spark.read.schema(at.schema).parquet(path)
     pieces = at.groupBy("_file", "_piece").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # one row per file piece
     before = F.sum("_n").over(Window.orderBy("_file", "_piece")) - F.col("_n")

@@ -27,7 +27,7 @@ from clickflow.sinks.rolling import read_rolled, rolled_files_stream
 from clickflow.session import scratch_path, use_utc
 from clickflow.functions.strings import json_object
 from clickflow.sinks.upsert import read_snapshot, upsert_stream
-from clickflow.sources.tables import click_view, table
+from clickflow.sources.tables import click_view, table, table_state
 from clickflow.sources.views import register_view
 from clickflow.streaming.due_ticks import DueTicks
 from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
@@ -69,9 +69,9 @@ def stream_process_conditional(spark, sf_dir):
 def stream_co_map_union(spark, sf_dir):
     """U1 on two streams (int and long sources) unioned by name."""
     n = write_replay(spark, table(spark, sf_dir, "nation"), "n_nationkey", "nation", 2, 1,
-                     cache_key=("nation", sf_dir))
+                     cache_key=table_state(spark, sf_dir, "nation"))
     c = write_replay(spark, table(spark, sf_dir, "customer"), "c_custkey", "customer", 2, 1,
-                     cache_key=("customer", sf_dir))
+                     cache_key=table_state(spark, sf_dir, "customer"))
     s = _co_map(n.stream(spark), c.stream(spark), "n_nationkey", "c_custkey")
     return run_available_now(s, "stream_co_map_union").rows()
 
@@ -124,7 +124,7 @@ def stream_word_count(spark, sf_dir):
     mode; the final row per word is the total."""
     docs = table(spark, sf_dir, "documents")
     r = write_replay(spark, docs, "doc_id", "documents", CHUNKS, FILES_PER_CHUNK, fmt="text",
-                     value_col="text", cache_key=("documents", sf_dir, CHUNKS, FILES_PER_CHUNK))
+                     value_col="text", cache_key=(*table_state(spark, sf_dir, "documents"), CHUNKS, FILES_PER_CHUNK))
     counts = P.words(r.stream(spark), "value", positions=False).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return run_available_now(counts, "stream_word_count", mode="update").last_per_key(["word"])
 
@@ -329,7 +329,7 @@ def stream_keyed_join(spark, sf_dir):
     use_utc(spark)
     c = B.clicks(spark, sf_dir)
     first = write_replay(spark, B.first_seen(c), "right_ms", "first_seen", 2, 1,
-                         cache_key=("first_seen", sf_dir))
+                         cache_key=("first_seen", *table_state(spark, sf_dir, "events")))
     # users with over 5% of all clicks (known from history: the table) are
     # salted so their join state spreads over several partitions; the list
     # has at most 20 rows, materialized once (a static side of a stream join

@@ -20,14 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table's files as they are now.  Inferring a schema is a Spark job of
     its own; it is done once for each state (time and length) of the path."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = table_state(spark, sf_dir, name)
+    if not key[1]:
+        return spark.read.parquet(path)   # no such path (Spark's own error), or a store without times
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+def table_state(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, int, int]:
+    """(path, time, length) of a table; another one after it was rewritten."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
-        return spark.read.parquet(path)   # Spark's own error
+        return path, 0, 0
     st = fs.getFileStatus(p)
-    key = (path, st.getModificationTime(), st.getLen())
-    if key not in _SCHEMAS or not key[1]:
-        _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    return path, st.getModificationTime(), st.getLen()
 
 
 def click_view(events: DataFrame) -> DataFrame:

@@ -132,7 +132,7 @@ def write_replay(spark: SparkSession, df: DataFrame, order_col: str, name: str,
 def events_replay(spark: SparkSession, sf_dir: str, chunks: int = 4, files_per_chunk: int = 2,
                   chunk_order: list[int] | None = None) -> Replay:
     """``events`` replayed in event-time order (or a given slice order)."""
-    from clickflow.sources.tables import table
+    from clickflow.sources.tables import table, table_state
     ev = table(spark, sf_dir, "events")
-    key = ("events", sf_dir, chunks, files_per_chunk, tuple(chunk_order or ()))
+    key = (*table_state(spark, sf_dir, "events"), chunks, files_per_chunk, tuple(chunk_order or ()))
     return write_replay(spark, ev, "ts", "events", chunks, files_per_chunk, chunk_order, cache_key=key)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clickflow.operators import transforms as P
 from clickflow.operators.udf import flatmap_udtf
 from clickflow.session import local_path, scratch_path
-from clickflow.sinks import console, hour_bucket, write_text_files
+from clickflow.sinks import hour_bucket, write_text_files
 from clickflow.sources import read_lines, stream_lines
 from clickflow.sources.kafka import click_payload, decode_value, encode_records, kafka_stream
 from clickflow.sources.rows import click_rows
@@ -40,16 +40,6 @@ def test_streaming_word_count_from_text_folder(spark):
     assert dict(rows(res.last_per_key(["word"]), "word", "n"))["hello"] == 2
 
 
-def test_console_sink_runs(spark):
-    s = stream_lines(spark, _text_file(spark, LINES[:1]))
-    w = s.writeStream.format("console").trigger(availableNow=True).option(
-        "checkpointLocation", scratch_path(spark, "ckpt", "console"))
-    q = w.start()
-    q.awaitTermination(120)
-    assert q.exception() is None
-    assert callable(console)
-
-
 def test_udtf_flatmap_matches_expression_form(spark):
     c = from_click_records(click_rows(spark, CLICKS3)).withColumn("seq", F.col("seq").cast("long"))
     got = flatmap_udtf("b")(c.select("seq", "user_id", "url", "ms").asTable())
