@@ -12,7 +12,7 @@ from clickflow.plans import streams as S
 from checks import SF_SMALL
 
 # these keys state the batching itself (slice order, per-batch watermark)
-BATCH_DEPENDENT = {"stream_late_data", "stream_element_watermark", "stream_progress"}
+BATCH_DEPENDENT = {"stream_late_data", "stream_element_watermark", "stream_late_rows", "stream_progress"}
 KEYS = sorted(k for k in E.queries() if k.startswith("stream_") and k not in BATCH_DEPENDENT)
 
 
