@@ -8,6 +8,7 @@ import re
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -148,8 +149,8 @@ class PieceCache:
 
     Ids are kept as little-endian unsigned 32-bit bytes, so a document's ids are
     one `bytes.join`.  `encode_many(pieces)` returns the ids of each piece as such
-    bytes.  Beyond `limit` bytes the cache starts anew: memory stays bounded and
-    the ids are the same.
+    bytes.  Beyond `limit` bytes the cache drops its newer half: memory stays bounded
+    and the ids are the same.
     """
 
     #: Bytes of an entry beside its text and its ids.
@@ -161,7 +162,9 @@ class PieceCache:
     def load(self, lists: list[list[str]]) -> dict[str, bytes]:
         """Ids by piece for all pieces of `lists`."""
         if self._size > self._limit:
-            self._ids, self._size = {}, 0
+            # frequent pieces come early: the older half stays
+            self._ids = dict(islice(self._ids.items(), len(self._ids) // 2))
+            self._size //= 2
         ids = self._ids
         missing = list(set().union(*lists).difference(ids))
         for lo in range(0, len(missing), 20_000):
