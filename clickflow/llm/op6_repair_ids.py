@@ -3,9 +3,10 @@
 Documents are dealt by doc_id ranges, so files, and the documents in them, are in
 ascending doc_id order.  Each block of up to ``block_tokens`` ids gets a grammar of its
 own: round after round the frequent pairs of neighbouring ids become nonterminals.
-A round counts all pairs of a block and replaces those of at least a sixteenth of the
+A round replaces the pairs of at least a 64th of the
 highest count that don't share an id as one's end and another's beginning, so that
-occurrences can't overlap.  Pairs never cross a document's end.
+occurrences can't overlap; rounds go on until no pair is frequent.  Pairs never cross a
+document's end.
 
 File format: a Parquet table with one row per block: rules as id pairs, the expansion
 length of each rule, the documents' ids, token counts and symbol counts, and the
@@ -31,10 +32,10 @@ from . import common
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-#: A pair must occur so often to become a rule, and a block has so many rounds at most.
-MIN_COUNT, MAX_ROUNDS = 8, 5
+#: A pair must occur so often to become a rule; rounds go on until none does.
+MIN_COUNT = 8
 #: Share of a round's highest count that a pair needs to be replaced in it.
-BAND = 16
+BAND = 64
 FORMAT = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("vocabulary", T.LongType()),
@@ -49,47 +50,97 @@ DECODED = T.StructType([
     T.StructField("ids", T.BinaryType())])
 
 
-def grammar(ids: np.ndarray, ends: np.ndarray, vocabulary: int, min_count: int = MIN_COUNT,
-            max_rounds: int = MAX_ROUNDS, max_symbols: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counted(codes: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes that occur `min_count` times or more, how often), in order."""
+    codes = np.sort(codes)
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, dtype=np.int64)
+    count = np.diff(np.r_[first, len(codes)])
+    often = count >= min_count
+    return codes[first[often]], count[often]
+
+
+def disjoint(codes: np.ndarray, counts: np.ndarray, least: int, room: int) -> np.ndarray:
+    """The most frequent pairs of at least `least` occurrences (at most `room`), none of
+    which ends with an id that another begins with; in order of their codes."""
+    often = np.flatnonzero(counts >= least)
+    often = often[np.lexsort((codes[often], -counts[often]))]
+    lefts, rights, taken = set(), set(), []
+    for c in codes[often].tolist():
+        a, b = c >> 32, c & 0xFFFFFFFF
+        if a in rights or b in lefts or (a == b and (a in lefts or a in rights)):
+            continue
+        lefts.add(a)
+        rights.add(b)
+        taken.append(c)
+        if len(taken) == room:
+            break
+    return np.sort(np.array(taken, dtype=np.int64))
+
+
+class PairIndex:
+    """Places of codes in an array of distinct ones, by a hash table in an array."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        bits = max(10, int(8 * len(codes)).bit_length())
+        self._shift = np.uint64(64 - bits)
+        h = self._hash(codes)
+        self._slots = np.full(1 << bits, -1, dtype=np.int32)
+        self._slots[h] = np.arange(len(codes))
+        # codes that lost their slot to another one are looked up in order, if their slot is crowded
+        lost = np.flatnonzero(self._slots[h] != np.arange(len(codes)))
+        self._lost = lost[np.argsort(codes[lost], kind="stable")]
+        self._crowded = np.zeros(1 << bits, dtype=bool)
+        self._crowded[h[lost]] = True
+
+    def _hash(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).view(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in `codes` of those found, their places in the index)."""
+        h = self._hash(codes)
+        slot = self._slots[h]
+        hit = (slot >= 0) & (self.codes[slot] == codes)
+        if len(self._lost):
+            again = np.flatnonzero(self._crowded[h] & ~hit)
+            lost = self.codes[self._lost]
+            place = np.minimum(np.searchsorted(lost, codes[again]), len(lost) - 1)
+            found = lost[place] == codes[again]
+            slot[again[found]] = self._lost[place[found]]
+            hit[again[found]] = True
+        at = np.flatnonzero(hit)
+        return at, slot[at]
+
+
+def grammar(ids: np.ndarray, ends: np.ndarray, vocabulary: int, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules, symbols, ends): `ends` marks the last symbol of each document.
 
-    Rule r stands for the pair rules[r] and is written as vocabulary + r.
+    Rule r stands for the pair rules[r] and is written as vocabulary + r.  Pairs are
+    counted once; a round then takes the replaced places out of the counts and adds the
+    pairs that its nonterminals make.  A pair is only ever made by its younger symbol, so
+    what is too rare when it is first counted stays so and is not kept.
     """
-    seq, ends = ids.astype(np.int64), ends.copy()
+    seq, ends = ids.astype(np.int32), ends.copy()
     rules: list[np.ndarray] = []
-    room = (max_symbols or 1 << 31) - vocabulary
-    for _ in range(max_rounds):
-        if len(seq) < 2 or room <= 0:
-            break
-        code = seq[:-1] << 32 | seq[1:]
-        inside = ~ends[:-1]
-        pairs = np.sort(code[inside])
-        if not len(pairs):
-            break
-        first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
-        count = np.diff(np.r_[first, len(pairs)])
-        least = max(min_count, count.max() // BAND)
-        often = np.flatnonzero(count >= least)
-        often = often[np.lexsort((pairs[first[often]], -count[often]))]
-        lefts, rights, taken = set(), set(), []
-        for c in pairs[first[often]].tolist():
-            a, b = c >> 32, c & 0xFFFFFFFF
-            if a in rights or b in lefts or (a == b and (a in lefts or a in rights)):
-                continue
-            lefts.add(a)
-            rights.add(b)
-            taken.append(c)
-            if len(taken) == room:
-                break
-        if not taken:
-            break
-        order = np.sort(np.array(taken, dtype=np.int64))
-        is_left = np.zeros(vocabulary + sum(map(len, rules)) + 1, dtype=bool)
-        is_left[order >> 32] = True
-        at = np.flatnonzero(inside & is_left[seq[:-1]])
-        slot = np.searchsorted(order, code[at])
-        hit = order[np.minimum(slot, len(order) - 1)] == code[at]
-        at, slot = at[hit], slot[hit]
+    n_rules, room = 0, (1 << 31) - 1 - vocabulary
+
+    def code(at: np.ndarray) -> np.ndarray:
+        return seq[at].astype(np.int64) << 32 | seq[at + 1]
+
+    def ends_of(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which symbols begin a pair, and which end one."""
+        out = np.zeros((2, vocabulary + n_rules), dtype=bool)
+        out[0, pairs >> 32] = out[1, pairs & 0xFFFFFFFF] = True
+        return out[0], out[1]
+
+    codes, counts = counted(code(np.flatnonzero(~ends[:-1])), min_count)
+    while len(codes):
+        order = disjoint(codes, counts, max(min_count, int(counts.max()) // BAND), room - n_rules)
+        is_left, is_right = ends_of(order)
+        at = np.flatnonzero(is_left[seq[:-1]] & ~ends[:-1])
+        at = at[is_right[seq[at + 1]]]
+        hit, slot = PairIndex(order).find(code(at))
+        at = at[hit]
         # of a run of one id every second pair stays
         twin = seq[at] == seq[at + 1]
         if twin.any():
@@ -97,15 +148,44 @@ def grammar(ids: np.ndarray, ends: np.ndarray, vocabulary: int, min_count: int =
             head = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
             keep = (np.arange(len(at)) - head) % 2 == 0
             at, slot = at[keep], slot[keep]
-        seq[at] = vocabulary + sum(map(len, rules)) + slot
+        # pairs that go: the places, and their neighbours on either side, each once
+        left = at[np.r_[True, np.diff(at) > 2]] - 1
+        gone = np.concatenate([at, left[left >= 0], at[at + 2 < len(seq)] + 1])
+        _, place = PairIndex(codes).find(code(gone[~ends[gone]]))
+        counts = counts - np.bincount(place, minlength=len(codes))
+        seq[at] = vocabulary + n_rules + slot
         ends[at] = ends[at + 1]
         stay = np.ones(len(seq), dtype=bool)
         stay[at + 1] = False
         seq, ends = seq[stay], ends[stay]
+        # pairs that come: a nonterminal and what follows it, or what is before it
+        new = at - np.arange(len(at))
+        left = new[np.r_[True, np.diff(new) > 1]] - 1
+        come = np.concatenate([new[new + 1 < len(seq)], left[left >= 0]])
+        more, n = counted(code(come[~ends[come]]), min_count)
+        often = counts >= min_count
+        codes, counts = np.concatenate([codes[often], more]), np.concatenate([counts[often], n])
+        by_code = np.argsort(codes, kind="stable")
+        codes, counts = codes[by_code], counts[by_code]
         rules.append(np.stack([order >> 32, order & 0xFFFFFFFF], axis=1))
-        room -= len(order)
+        n_rules += len(order)
+        if n_rules == room:
+            break
     made = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
-    return made, seq, ends
+    return made, seq.astype(np.int64), ends
+
+
+def pack_symbols(symbols: np.ndarray, width: int) -> bytes:
+    """Little-endian symbols of `width` bytes (2 to 4)."""
+    return symbols.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def unpack_symbols(data: bytes, width: int) -> np.ndarray:
+    if width != 3:
+        return np.frombuffer(data, dtype=f"<u{width}")
+    out = np.zeros((len(data) // 3, 4), dtype=np.uint8)
+    out[:, :3] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel()
 
 
 def expansion_lengths(rules: np.ndarray, vocabulary: int) -> np.ndarray:
@@ -117,8 +197,21 @@ def expansion_lengths(rules: np.ndarray, vocabulary: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, vocabulary: int) -> np.ndarray:
-    """Ids of a stretch of symbols: all nonterminals are replaced, level by level."""
-    seq = symbols.astype(np.int64)
+    """Ids of a stretch of symbols: nonterminals are replaced level by level, or, in a long
+    stretch, each symbol by its whole expansion."""
+    if len(symbols) > len(rules) + vocabulary // 4:
+        whole: list[bytes] = []
+        for a, b in rules.tolist():
+            whole.append((whole[a - vocabulary] if a >= vocabulary else a.to_bytes(4, "little"))
+                         + (whole[b - vocabulary] if b >= vocabulary else b.to_bytes(4, "little")))
+        flat = np.concatenate([np.arange(vocabulary, dtype="<u4"), np.frombuffer(b"".join(whole), dtype="<u4")])
+        size = np.ones(vocabulary + len(rules), dtype=np.int64)
+        size[vocabulary:] = [len(x) // 4 for x in whole]
+        n = size[symbols]
+        to = np.cumsum(n)
+        # the place of each id in `flat`: where its symbol's expansion begins there, and on
+        return flat[np.repeat((np.cumsum(size) - size)[symbols] - (to - n), n) + np.arange(to[-1])]
+    seq, rules = symbols.astype(np.int32), rules.astype(np.int32)
     while len(rules) and (big := seq >= vocabulary).any():
         n = np.where(big, 2, 1)
         out = np.repeat(seq, n)
@@ -135,21 +228,21 @@ def encode_block(ids: list[bytes], doc_ids: list[int | None], vocabulary: int) -
     ends = np.zeros(len(seq), dtype=bool)
     ends[np.cumsum(n) - 1] = True
     vocabulary = max(vocabulary, int(seq.max()) + 1)
-    rules, symbols, ends = grammar(seq, ends, vocabulary, max_symbols=1 << 16 if vocabulary < 1 << 16 else None)
-    width = 2 if vocabulary + len(rules) <= 1 << 16 else 4
+    rules, symbols, ends = grammar(seq, ends, vocabulary)
+    width = next(w for w in (2, 3, 4) if vocabulary + len(rules) <= 1 << 8 * w)
     return {"n_tokens": len(seq), "vocabulary": vocabulary, "rules": rules.astype("<u4").tobytes(),
             "expansions": expansion_lengths(rules, vocabulary).astype("<u4").tobytes(),
             "doc_ids": np.array([x or 0 for x in doc_ids], dtype="<i8").tobytes(),
             "null_ids": sum(x is None for x in doc_ids),  # they come first
             "doc_tokens": n.astype("<u4").tobytes(),
             "doc_symbols": np.diff(np.r_[0, np.flatnonzero(ends) + 1]).astype("<u4").tobytes(),
-            "width": width, "symbols": symbols.astype(f"<u{width}").tobytes()}
+            "width": width, "symbols": pack_symbols(symbols, width)}
 
 
 def decode_block(row: dict) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """(doc_id, start in the block, ids) of each document of a block."""
     rules = np.frombuffer(row["rules"], dtype="<u4").astype(np.int64).reshape(-1, 2)
-    ids = expand(np.frombuffer(row["symbols"], dtype=f"<u{row['width']}"), rules, row["vocabulary"])
+    ids = expand(unpack_symbols(row["symbols"], row["width"]), rules, row["vocabulary"])
     docs, n = np.frombuffer(row["doc_ids"], dtype="<i8"), np.frombuffer(row["doc_tokens"], dtype="<u4").astype(np.int64)
     at = np.cumsum(n) - n
     for k, (doc, start, size) in enumerate(zip(docs.tolist(), at.tolist(), n.tolist())):
@@ -161,7 +254,7 @@ def decode_document(row: dict, k: int, start: int = 0, length: int | None = None
     that hold them alone."""
     n = np.frombuffer(row["doc_symbols"], dtype="<u4").astype(np.int64)
     lo = int(n[:k].sum())
-    symbols = np.frombuffer(row["symbols"], dtype=f"<u{row['width']}")[lo:lo + int(n[k])].astype(np.int64)
+    symbols = unpack_symbols(row["symbols"], row["width"])[lo:lo + int(n[k])].astype(np.int64)
     rules = np.frombuffer(row["rules"], dtype="<u4").astype(np.int64).reshape(-1, 2)
     sizes = np.r_[np.ones(row["vocabulary"], dtype=np.int64), np.frombuffer(row["expansions"], dtype="<u4")][symbols]
     to = np.cumsum(sizes)
@@ -193,7 +286,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
             row = encode_block(ids, keys, vocabulary) | {"shard": shard, "block": block}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for b in batches:
+        for b in common.parts(batches, 1):
             texts = b.column(1).to_pylist()
             at = b.column(0).to_pylist()
             for lo, hi in common.chunks(texts):
@@ -207,7 +300,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
         if ids:
             yield flush()
 
-    rows.mapInArrow(run, FORMAT).write.parquet(path)
+    rows.mapInArrow(common.tidied(run), FORMAT).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
@@ -217,11 +310,10 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     schema = to_arrow_schema(DECODED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                got = [(d, row["shard"], row["block"], s, len(x), zlib.crc32(x.tobytes()), x.tobytes() if with_ids else None)
-                       for d, s, x in decode_block(row)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), schema)], schema=schema)
+        for row in (b.slice(i, 1).to_pylist()[0] for b in batches for i in range(b.num_rows)):  # a block at a time
+            got = [(d, row["shard"], row["block"], s, len(x), zlib.crc32(x), x.tobytes() if with_ids else None)
+                   for d, s, x in decode_block(row)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), schema)], schema=schema)
 
     # ids before each block: a sum inside the shard, and the totals of the shards before
     blocks = files.select("shard", "block", "n_tokens")
@@ -229,6 +321,6 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     before = totals.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before_shard"))
     inside = blocks.select("shard", "block", (F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_tokens")).alias("before_block"))
     starts = inside.join(before, "shard").select("shard", "block", (F.col("before_shard") + F.col("before_block")).alias("before"))
-    out = files.mapInArrow(run, DECODED).join(starts, ["shard", "block"])
+    out = files.mapInArrow(common.tidied(run), DECODED).join(starts, ["shard", "block"])
     cols = ["doc_id", (F.col("before") + F.col("start_in_block")).alias("start"), "n_tokens", "ids_crc32"]
     return out.select(*cols, *(["ids"] if with_ids else []))
