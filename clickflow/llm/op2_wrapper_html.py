@@ -27,11 +27,11 @@ from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from math import isqrt
 
 import pandas as pd
 import pyarrow as pa
@@ -42,8 +42,6 @@ from . import common
 SALTS = 16
 #: Elements nested deeper have no node of their own, so walks are never deeper.
 MAX_DEPTH = 150
-#: Lists of children whose lengths multiply to more, without their common ends, are aligned in order of occurrence.
-EXACT_CELLS = 250_000
 #: Pages of different html on which a slot must have the same text to count as constant, and the share of
 #: link characters from which it is a menu.
 CONSTANT_PAGES, LINK_SHARE = 3, 0.5
@@ -187,9 +185,15 @@ def parse(html: str | None) -> Node:
 # [symbol, repeated, optional, [children]]
 
 def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Index pairs of a common subsequence of two symbol lists: their common beginning and
-    end, and between them a longest one, or, for very long lists, each symbol with its next
-    occurrence where that skips no more than a match is worth."""
+    """Index pairs of a longest common subsequence of two symbol lists: their common
+    beginning and end, and a longest one between them.
+
+    ``best[i][j]``, the length from (i, j) on, is one more than ``best[i][j + 1]`` or the
+    same, so a row is a number with one bit a column (the last column's lowest, a bit
+    cleared where it grows) and follows from the row below by one addition.  Of n rows
+    about every square root of n-th is kept, and the rows between are made again on
+    the way back, so long lists are aligned as short ones are.
+    """
     lo, n, m = 0, len(a), len(b)
     while lo < n and lo < m and a[lo] == b[lo]:
         lo += 1
@@ -197,32 +201,46 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         n, m = n - 1, m - 1
     out = [(i, i) for i in range(lo)]
     if n > lo and m > lo:
-        if (n - lo) * (m - lo) <= EXACT_CELLS:
-            best = [[0] * (m - lo + 1) for _ in range(n - lo + 1)]
-            for i in range(n - lo - 1, -1, -1):
-                here, below, x = best[i], best[i + 1], a[lo + i]
-                for j in range(m - lo - 1, -1, -1):
-                    here[j] = below[j + 1] + 1 if x == b[lo + j] else max(below[j], here[j + 1])
-            i = j = 0
-            while i < n - lo and j < m - lo:
-                if a[lo + i] == b[lo + j] and best[i][j] == best[i + 1][j + 1] + 1:
-                    out.append((lo + i, lo + j))
-                    i, j = i + 1, j + 1
-                elif best[i + 1][j] >= best[i][j + 1]:
-                    i += 1
-                else:
+        places: dict[str, list[int]] = {}
+        for j in range(lo, m):
+            places.setdefault(b[j], []).append(m - 1 - j)
+        full = (1 << (m - lo)) - 1
+
+        @lru_cache(500)
+        def mask(symbol: str) -> int:
+            bits = bytearray((m - lo + 7) // 8)
+            for k in places.get(symbol, ()):
+                bits[k >> 3] |= 1 << (k & 7)
+            return int.from_bytes(bits, "little")
+
+        def above(row: int, symbol: str) -> int:
+            use = row & mask(symbol)
+            return ((row + use) | (row - use)) & full
+
+        step = isqrt(n - lo) + 1
+        row, kept = full, {n: full}
+        for i in range(n - 1, lo - 1, -1):
+            row = above(row, a[i])
+            if (i - lo) % step == 0:
+                kept[i] = row
+        j, left = lo, m - lo - kept[lo].bit_count()
+        for first in range(lo, n, step):
+            last = min(first + step, n)
+            rows = [kept[last]]
+            for i in range(last - 1, first, -1):
+                rows.append(above(rows[-1], a[i]))
+            for i in range(first, last):
+                if j == m or not left:
+                    break
+                # of equal lengths the one without a[i]
+                below = rows[last - 1 - i]
+                without = m - j - (below & ((1 << (m - j)) - 1)).bit_count()
+                while j < m and a[i] != b[j] and without < left:
+                    without -= 1 - (below >> (m - 1 - j) & 1)
                     j += 1
-        else:
-            places: dict[str, list[int]] = {}
-            for j in range(lo, m):
-                places.setdefault(b[j], []).append(j)
-            j = lo
-            for i in range(lo, n):
-                at = places.get(a[i], ())
-                k = bisect_left(at, j)
-                if k < len(at) and at[k] - j <= max(8, 2 * abs((at[k] - lo) - (i - lo))):
-                    out.append((i, at[k]))
-                    j = at[k] + 1
+                if j < m and a[i] == b[j]:
+                    out.append((i, j))
+                    j, left = j + 1, left - 1
     return out + [(n + k, m + k) for k in range(len(a) - n)]
 
 

@@ -56,6 +56,37 @@ def test_alignments_agree():
     assert len(pairs) > 5900 and all(a[i] == b[j] for i, j in pairs)
 
 
+def table_alignment(a, b):
+    """A longest common subsequence from the whole table; of equal ones that without a's symbol."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def test_alignments_of_any_length_are_longest():
+    rnd = random.Random(4)
+    for n, m in [(1, 7), (30, 40), (90, 20), (700, 600), (40, 9_000)]:
+        for symbols in ("ab", "abcdefghijkl"):
+            # different ends, so nothing is settled before the table
+            a, b = (["<", *(rnd.choice(symbols) for _ in range(k)), ">"][i:][:k + 1] for i, k in enumerate((n, m)))
+            assert op.aligned(a, b) == table_alignment(a, b)
+    a, b = ([x + str(i % 7) for i in range(25_000) for x in "hp"[k:] + "x"] for k in (0, 1))
+    began = time.time()
+    pairs = op.aligned(a, b[1:])
+    assert len(pairs) == len(b) - 1 and all(a[i] == (b[1:])[j] for i, j in pairs[::1000]) and time.time() - began < 60
+
+
 def plain_host(k, n, rnd):
     """Pages without article elements or telling names; what is the article only shows across pages."""
     names = ["q%s" % "abcdefgh"[i] for i in rnd.sample(range(8), 5)]
