@@ -25,13 +25,16 @@ Every combine is associative (sum, max, min, first), so the result equals the
 single-window form.  Work per task is bounded by the block size and by the
 number of blocks of one key, never by the size of a key.
 
+``expanded_scan`` does the same where each input row makes many rows (the words of a
+text): it deals out the input, by block alone, and makes the rows afterwards.
+
 ``running_best`` is the global arg-max of running counts in one pass: see there.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +44,8 @@ AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "first": F.first}
 
 DEFAULT_BLOCK = 1 << 16
 NULL_BLOCK = -(1 << 62)
+#: Planned bytes of an input that is expanded in one task.
+TASK_BYTES = 8 << 20
 
 
 def block_of(order_col: str | Column, size: int | Column = DEFAULT_BLOCK) -> Column:
@@ -57,15 +62,21 @@ def adaptive_block(df: DataFrame, order_col: str, floor: int = 4096, row_bytes:
     of the scan stay near sqrt(N) rows per task, whatever the skew.  Nothing
     is read for it; where the planner has no size, ``DEFAULT_BLOCK`` is used.
     Any width gives the same result."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 60:
+    size = planned_bytes(df)
+    if size is None:
         return block_of(order_col, max(floor, DEFAULT_BLOCK))
     width = 1 << math.ceil(math.log2(max(1.0, math.sqrt(size / row_bytes))))
     return block_of(order_col, max(floor, width))
 
 
+def planned_bytes(df: DataFrame) -> int | None:
+    """The planner's size of ``df``; nothing is read for it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else None
+
+
 def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[list[Column], list[str]]:
-    """Non-null stand-ins for the key columns, so the scan's join is a plain
+    """Non-null stand-ins for the nullable key columns, so the scan's join is a plain
     equi-join on the window's own partitioning and null keys still form their
     own group: a nullable string/number key becomes (coalesced value, is-null
     flag); other nullable types are wrapped in a struct (struct equality
@@ -74,8 +85,7 @@ def _key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[list[Column], list
     for i, k in enumerate(keys):
         f = df.schema[k]
         if not f.nullable:
-            cols.append(F.col(k).alias(f"_k{i}"))
-            names.append(f"_k{i}")
+            names.append(k)
         elif isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType)):
             default = F.lit("") if isinstance(f.dataType, T.StringType) else F.lit(0).cast(f.dataType)
             cols += [F.coalesce(F.col(k), default).alias(f"_k{i}"), F.col(k).isNull().alias(f"_n{i}")]
@@ -100,32 +110,58 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], block:
     ``order`` must be a total order within a key; ``block`` must be
     non-decreasing in it.  ``keys`` may be empty (one global sequence).
     """
-    for kind, _ in specs.values():
-        if kind not in AGGREGATES:
-            raise ValueError(f"unsupported running aggregate {kind!r}")
     kcols, kparts = _key_columns(df, keys)
     part = [*kparts, "_blk"]
     # a null order value sorts first, so its rows go to a block before all others
     d = df.select("*", *kcols, F.coalesce(block, F.lit(NULL_BLOCK)).alias("_blk")).repartition(*part)
+    return _scan(d, df.columns, kparts, part, order, specs, df.columns)
+
+
+def expanded_scan(df: DataFrame, expand: Callable[[DataFrame], DataFrame], keys: Sequence[str], order: Sequence[str],
+                  block: Column, specs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """``prefix_scan`` over the many rows that ``expand`` makes of each row of ``df``.
+
+    ``expand`` takes the rows of ``df`` and their block ``_blk`` and keeps ``_blk``; ``block``
+    and the first ``order`` column are of ``df``.  The rows are dealt by block before they
+    are expanded, in tasks of about ``TASK_BYTES``, so what is shuffled is the input and one
+    summary per (key, block), not the rows made.  Each block is expanded twice."""
+    size, spark = planned_bytes(df), df.sparkSession
+    tasks = (int(spark.conf.get("spark.sql.shuffle.partitions")) if size is None
+             else max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES)))
+    dealt = df.withColumn("_blk", F.coalesce(block, F.lit(NULL_BLOCK))).repartition(tasks, "_blk")
+    rows = expand(dealt)
+    kcols, kparts = _key_columns(rows, keys)
+    columns = [c for c in rows.columns if c != "_blk"]
+    return _scan(rows.select("*", *kcols), columns, kparts, [tasks, "_blk"], order, specs, order[:1])
+
+
+def _scan(d: DataFrame, columns: Sequence[str], kparts: Sequence[str], dealt: Sequence[str | int], order: Sequence[str],
+          specs: dict[str, tuple[str, Column]], held: Sequence[str]) -> DataFrame:
+    """The scan of rows ``d`` that are dealt out by ``dealt``; ``held`` are columns that
+    the summaries need only so as to share the rows' exchange."""
+    for kind, _ in specs.values():
+        if kind not in AGGREGATES:
+            raise ValueError(f"unsupported running aggregate {kind!r}")
+    part = [*kparts, "_blk"]
     ordc = [F.col(c) for c in order]
 
     summaries = []
     for name, (kind, expr) in specs.items():
         whole = F.min_by(expr, F.struct(*order)) if kind == "first" else AGGREGATES[kind](expr)
         summaries.append(whole.alias(f"_b_{name}"))
-    blocks = d.groupBy(*part).agg(*summaries, _held(df.columns))
+    blocks = d.groupBy(*part).agg(*summaries, _held(held))
     before = (Window.partitionBy(*kparts) if kparts else Window).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     prefixes = blocks.select(*part, "_held", F.count(F.lit(1)).over(before).alias("_n"),
                              *[AGGREGATES[kind](f"_b_{name}").over(before).alias(f"_v_{name}") for name, (kind, _) in specs.items()])
     # _held is null in every row; it is used, so that the optimizer keeps it
     prefixes = prefixes.where((F.col("_n") > 0) & F.col("_held").isNull())
-    prefixes = prefixes.select(*part, *[f"_v_{n}" for n in specs], F.lit(0).alias("_row")).repartition(*part)
+    prefixes = prefixes.select(*part, *[f"_v_{n}" for n in specs], F.lit(0).alias("_row")).repartition(*dealt)
     rows = d.select("*", *[expr.alias(f"_v_{name}") for name, (_, expr) in specs.items()], F.lit(1).alias("_row"))
     both = rows.unionByName(prefixes, allowMissingColumns=True)
     so_far = Window.partitionBy(*part).orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = [AGGREGATES[kind](f"_v_{name}").over(so_far).cast(blocks.schema[f"_b_{name}"].dataType).alias(name)
                for name, (kind, _) in specs.items()]
-    kept = [c for c in df.columns if c not in specs]
+    kept = [c for c in columns if c not in specs]
     return both.select("_row", *kept, *running).where("_row = 1").select(*kept, *specs)
 
 

@@ -20,7 +20,7 @@ from clickflow.operators import windows as W
 from clickflow.operators.changelog import changelog_count as _changelog
 from clickflow.operators.combine import co_map_union as _co_map, join_text, keyed_join as _join
 from clickflow.operators.ranking import top_n, report
-from clickflow.operators.scan import adaptive_block, prefix_scan
+from clickflow.operators.scan import adaptive_block, expanded_scan, prefix_scan
 from clickflow.operators.timers import periodic_counts, pv_report_text, timer_per_event as _timers
 from clickflow.operators.udf import PvUv, LengthMapper, aggregate_with, flatmap_udtf, map_rich
 from clickflow.plans.registry import CK, register, sql_event_text, sql_java_words, sql_ts_text
@@ -43,8 +43,8 @@ TIMER_DELAY_MS = 10_000       # per-event timer delay (reference value)
 ROLL_BYTES = 1 << 30          # text sink part-file roll size (reference value: 1 GiB)
 IDLE_MS = 300_000             # text sink roll of a bucket without input (reference value: 5 min)
 SEQ_BLOCK = 4096              # smallest prefix-scan block on seq (grows as sqrt of the table's rows)
-DOC_BLOCK = 64                # smallest prefix-scan block on doc_id for token scans
-DOC_BYTES = 4096              # about the bytes of a document, for the block's width
+DOC_BLOCK = 64            # smallest prefix-scan block on doc_id for token scans
+DOC_BYTES = 512           # about an eighth of a document: blocks wider than the square root, so fewer summaries
 
 
 def _seq_block(c: DataFrame):
@@ -53,9 +53,11 @@ def _seq_block(c: DataFrame):
 
 # ---------------------------------------------------------------- word count
 
-def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = document_lines(table(spark, sf_dir, "documents"))
-    return P.words(lines, "line", keep=("doc_id", "line_no"))
+def _tokens(documents: DataFrame) -> DataFrame:
+    """(doc_id, at, word, _blk): ``at`` holds the line and the position in it, for one sort column."""
+    t = P.words(document_lines(documents, ("_blk",)), "line", keep=("doc_id", "line_no", "_blk"))
+    at = F.shiftleft(F.col("line_no").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
+    return t.select("doc_id", at.alias("at"), F.coalesce("word", F.lit("")).alias("word"), "_blk")
 
 
 @register("word_count", f"""
@@ -90,10 +92,11 @@ SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(pos AS INTEGER) AS pos,
 FROM toks""")
 def word_count_running(spark, sf_dir):
     """A2: running count per word in (doc, line, position) order."""
-    t = _tokens(spark, sf_dir)
-    blk = adaptive_block(table(spark, sf_dir, "documents"), "doc_id", DOC_BLOCK, DOC_BYTES)
-    return prefix_scan(t, ["word"], ["doc_id", "line_no", "pos"], blk,
-                       {"n": ("sum", F.lit(1).cast("long"))}).select("doc_id", "line_no", "pos", "word", "n")
+    docs = table(spark, sf_dir, "documents")
+    blk = adaptive_block(docs, "doc_id", DOC_BLOCK, DOC_BYTES)
+    t = expanded_scan(docs, _tokens, ["word"], ["doc_id", "at"], blk, {"n": ("sum", F.lit(1).cast("long"))})
+    return t.select("doc_id", F.shiftright("at", 32).cast("int").alias("line_no"),
+                    F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"), "word", "n")
 
 
 # ---------------------------------------------------------- row transforms

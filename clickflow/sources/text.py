@@ -26,8 +26,8 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return _ended(r.load(path))
 
 
-def document_lines(documents: DataFrame) -> DataFrame:
+def document_lines(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """documents -> (doc_id, line_no, line): each text split on newlines,
-    whole texts, positions 0-based."""
+    whole texts, positions 0-based; columns to keep come in between."""
     return documents.select(
-        "doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "line"))
+        "doc_id", *keep, F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "line"))

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickflow.operators import aggregates as A
-from clickflow.operators.scan import block_of, prefix_scan
+from clickflow.operators.scan import block_of, expanded_scan, prefix_scan
 from clickflow.sources.rows import click_rows
 from clickflow.sources.tables import from_click_records
 from checks import rows
@@ -114,3 +114,19 @@ def test_prefix_scan_first_keeps_a_null_first_value(spark):
     df = spark.createDataFrame([(i, "k", None if i < 3 else str(i)) for i in range(9)], "seq long, k string, v string")
     got = rows(prefix_scan(df, ["k"], ["seq"], block_of("seq", 2), {"f": ("first", F.col("v"))}), "seq", "f")
     assert got == [(i, None) for i in range(9)]
+
+
+@pytest.mark.parametrize("blk", [1, 4, 1000])
+def test_expanded_scan_matches_single_window(spark, blk):
+    """Running counts of words over documents with null, equal and negative ids, null and empty texts."""
+    rnd = random.Random(blk)
+    docs = [(rnd.choice([None, *range(-5, 30)]), " ".join(rnd.choice(["a", "b", "", "cc"]) for _ in range(rnd.randint(0, 30)))) for _ in range(60)]
+    df = spark.createDataFrame([*docs, (3, None), (4, "")], "id long, text string")
+
+    def expand(d):
+        return d.select(*[c for c in ("id", "_blk") if c in d.columns], F.posexplode(F.split("text", " ")).alias("pos", "w"))
+
+    got = expanded_scan(df, expand, ["w"], ["id", "pos"], block_of("id", blk), {"n": ("sum", F.lit(1).cast("long"))})
+    so_far = Window.partitionBy("w").orderBy("id", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = expand(df).withColumn("n", F.count(F.lit(1)).over(so_far))
+    assert rows(got.fillna(-99, "id"), "id", "pos", "w", "n") == rows(want.fillna(-99, "id"), "id", "pos", "w", "n")

@@ -58,3 +58,11 @@ def test_running_forms_read_their_input_once(spark, key):
 def test_distinct_visitors_without_count_distinct(spark):
     p = plan(spark, "pv_uv_tumbling")
     assert "count(distinct" not in p.lower()
+
+
+def test_words_are_counted_where_their_documents_lie(spark):
+    """Documents are dealt out by block and their words made afterwards: no word row is shuffled."""
+    p = executed(REGISTRY["word_count_running"].build(spark, "/root/testdata/sf0.01"))
+    dealt = re.findall(r"(?<!Reused)Exchange hashpartitioning\(([^)]*)\)", p)
+    assert any(re.fullmatch(r"_blk#\d+L, \d+", d) for d in dealt) and not any("word#" in d and "_blk#" in d for d in dealt)
+    assert not any("_k0#" in d and "_blk#" in d for d in dealt)
