@@ -30,6 +30,7 @@ from clickflow.sinks.upsert import read_snapshot, upsert_stream
 from clickflow.sources.tables import click_view, table, table_state
 from clickflow.sources.views import register_view
 from clickflow.streaming.due_ticks import DueTicks
+from clickflow.streaming.history_join import HistoryJoin, tagged
 from clickflow.streaming.keyed_totals import KeyedTotals, changelog_batch
 from clickflow.streaming.replay import events_replay, write_replay
 from clickflow.streaming.runner import run_available_now
@@ -320,32 +321,27 @@ def stream_progress(spark, sf_dir):
 @register("stream_keyed_join", _sql("keyed_join"), streaming=True)
 def stream_keyed_join(spark, sf_dir):
     """J1 on two streams: clicks and the users' first-seen records, inner
-    join on user over full history.  A first-seen record is never later than
-    any click of its user; stating that (``right_ts <= ts``) with watermarks
-    on both inputs lets Spark drop a click from state once the join's
-    watermark (the smaller of the two inputs') passes it.  That watermark
-    advances as new users appear; in this replay all users appear within the
-    first days, so most click state stays, but results are the same."""
+    join on user over full history.  Any later record may meet any earlier
+    one, so a stateful join would hold nearly all clicks; their history is kept
+    as written tables instead (``streaming.history_join``)."""
     use_utc(spark)
     c = B.clicks(spark, sf_dir)
     first = write_replay(spark, B.first_seen(c), "right_ms", "first_seen", 2, 1,
                          cache_key=("first_seen", *table_state(spark, sf_dir, "events")))
     # users with over 5% of all clicks (known from history: the table) are
-    # salted so their join state spreads over several partitions; the list
-    # has at most 20 rows, materialized once (a static side of a stream join
-    # would otherwise be recomputed every micro-batch)
+    # salted so that a batch's join spreads them over several partitions; the list
+    # has at most 20 rows, materialized once
     hot = spark.createDataFrame(hot_keys(c.select("user_id"), "user_id", 0.05).collect(), "user_id long, _n long")
-    left = click_stream(spark, sf_dir).select("user_id", "seq", "ts", F.col("ms").alias("left_ms"))
-    right = (first.stream(spark).withColumn("right_ts", F.timestamp_millis("right_ms"))
-             .withWatermark("right_ts", WATERMARK_DELAY))
-    left, right = salt_inputs(left, right, "user_id", F.xxhash64("seq"), hot, buckets=8)
-    left, right = left.alias("l"), right.alias("r")
-    cond = ((F.col("l.user_id") == F.col("r.user_id")) & (F.col("l._salt") == F.col("r._salt"))
-            & (F.col("r.right_ts") <= F.col("l.ts")))
-    j = left.join(right, cond, "inner")
-    j = j.select(F.col("l.user_id").alias("user_id"), "seq", "left_ms", "right_ms",
-                 join_text(F.col("l.user_id"), F.col("left_ms"), F.col("right_ms")).alias("text"))
-    return run_available_now(j, "stream_keyed_join").rows()
+
+    def join(left, right):
+        left, right = salt_inputs(left, right, "user_id", F.xxhash64("seq"), hot, buckets=8)
+        j = left.join(right, ["user_id", "_salt"]).where("right_ms <= left_ms")
+        return j.select("user_id", "seq", "left_ms", "right_ms",
+                        join_text(F.col("user_id"), F.col("left_ms"), F.col("right_ms")).alias("text"))
+
+    left = click_stream(spark, sf_dir).select("user_id", "seq", F.col("ms").alias("left_ms"))
+    history = HistoryJoin(spark, "stream_keyed_join", ["user_id", "seq", "left_ms"], ["user_id", "right_ms"], join)
+    return run_available_now(tagged(left, first.stream(spark)), "stream_keyed_join", batch_fn_id=history.batch).rows()
 
 
 # -------------------------------------------------- stateful processors

@@ -116,3 +116,30 @@ def test_salted_stream_join_with_hot_key_equals_batch(spark):
     cond = (F.col("l.user") == F.col("r.user")) & (F.col("l._salt") == F.col("r._salt")) & (F.col("r.right_ts") <= F.col("l.ts"))
     j = l.join(r, cond).select("seq", F.col("l.user").alias("user"), "right_ms")
     assert rows(run_available_now(j, "salted_stream").rows()) == exp
+
+
+def test_history_join_pairs_each_row_once_whenever_it_comes(spark):
+    """Right rows that come after, with and before their left rows, twice for one key, null keys, a batch that
+    runs again; and no keyed state."""
+    from clickflow.streaming.history_join import HistoryJoin, tagged
+
+    left = [[(1, 10), (2, 11), (None, 12)], [(1, 13), (3, 14)], [(2, 15)]]
+    right = [[(1, 5)], [(2, 6), (None, 7)], [(3, 8), (1, 9)]]
+    h = HistoryJoin(spark, "history-test", ["k", "seq"], ["k", "r"], lambda a, b: a.join(b, "k").select("k", "seq", "r"))
+    got = {}
+    for i in (0, 1, 1, 2):
+        batch = tagged(spark.createDataFrame(left[i], "k long, seq long"), spark.createDataFrame(right[i], "k long, r long"))
+        got[i] = rows(h.batch(batch, i))
+    every = [[x for b in side for x in b] for side in (left, right)]
+    assert sorted(sum(got.values(), [])) == sorted((k, s, r) for k, s in every[0] for j, r in every[1] if k is not None and k == j)
+
+
+def test_stream_keyed_join_keeps_no_state(spark, monkeypatch):
+    from clickflow.plans import REGISTRY, streams
+    from checks import SF_SMALL
+
+    seen = []
+    monkeypatch.setattr(streams, "run_available_now", lambda *a, _run=streams.run_available_now, **k: seen.append(_run(*a, **k)) or seen[-1])
+    got = REGISTRY["stream_keyed_join"].build(spark, SF_SMALL)
+    assert rows(got) == rows(REGISTRY["keyed_join"].build(spark, SF_SMALL).select(*got.columns))
+    assert seen[0].progress and not any(p["stateOperators"] for p in seen[0].progress)
