@@ -8,9 +8,14 @@ that ``RAYON_NUM_THREADS`` allows.  White space only ever begins a piece in such
 models (``split_at_marker`` is checked against the pieces), so each distinct word is
 encoded once; the others get the whole text.
 
-Parity: each distinct word met is also encoded by the sentencepiece library, and
-``n_parity_errors`` counts a document's words that differ.  Decoding is checked per
-document: ``round_trip`` says that the ids decode to the normalised text.
+Parity: the sentencepiece library also normalises each text and encodes each distinct
+word met, whatever its markers and the model's character map.  Pieces never reach over
+words, so equal words in an equal normalised text make an equal text; only runs of unknown
+characters do, so without byte fallback the normalised texts are encoded whole as well (in
+stretches of about ``STRETCH`` characters that end with a word).
+``n_parity_errors`` counts a document's words that differ; it is 1 where only the
+normalised or the whole text does.  Decoding is checked per document: ``round_trip`` says
+that the ids decode to the normalised text.
 
 Nulls and edges: a null or empty text has no ids; null doc_ids, repeated rows and very
 long texts are like others; an empty table gives no rows; other columns are ignored.
@@ -21,6 +26,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +38,11 @@ MARK = "▁"
 #: Fixed values of the model file's format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: A normaliser spec that leaves a text as it is: no map, no marker in front, no white space removed.
+#: Behind a model file's fields it takes the place of the file's own.
+AS_IT_IS = b"\x1a\x08\x12\x00\x18\x00\x20\x00\x28\x01"
+#: Characters of a normalised text that the sentencepiece library encodes at a time.
+STRETCH = 1_000_000
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
     T.StructField("ids_crc32", T.LongType()), T.StructField("n_parity_errors", T.LongType()),
@@ -127,6 +138,13 @@ def build(data: bytes):
     return m, tok
 
 
+def stretches(text: str, words: list[str]) -> list[str]:
+    """`text`, if long in parts of about STRETCH characters; `words` are its words."""
+    if len(text) <= STRETCH:
+        return [text]
+    return ["".join(words[lo:hi]) for lo, hi in common.chunks(words, STRETCH)]
+
+
 class Coder:
     """Encoder and decoder of one model file, with parity counts by word."""
 
@@ -140,6 +158,7 @@ class Coder:
             data = f.read()
         self.model, self.tok = build(data)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.of_normalized = sentencepiece.SentencePieceProcessor(model_proto=data + AS_IT_IS)
         self.normalize = self.tok.normalizer.normalize_str
         self._plain = not self.model.charsmap and not self.model.squeeze and self.model.dummy_prefix
         _, self._inner = build(data)
@@ -155,11 +174,8 @@ class Coder:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         got = [e.ids for e in self._inner.encode_batch_fast(words, add_special_tokens=False)]
-        # a word with one marker in front is what the reference makes of the word alone
-        if self.model.dummy_prefix and not self.model.charsmap:
-            own = [i for i, w in enumerate(words) if len(w) > 1 and w[0] == MARK and MARK not in w[1:]]
-            want = self.reference.encode([words[i][1:] for i in own], num_threads=1) if own else []
-            self.bad = {*(w for w in self.bad if w in self._cache._ids), *(words[i] for i, x in zip(own, want) if x != got[i])}
+        want = self.of_normalized.encode(words, num_threads=1) if words else []
+        self.bad = {*(w for w in self.bad if w in self._cache._ids), *(w for w, x, y in zip(words, got, want) if x != y)}
         return [common.packed(x) for x in got]
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, int, str]]:
@@ -171,8 +187,19 @@ class Coder:
             return [(common.packed(a), int(a != b), n) for a, b, n in zip(got, want, norm)]
         lists = [self.WORD.findall(n) for n in norm]
         ids = self._cache.load(lists)
+        got = [b"".join([ids[w] for w in ws]) for ws in lists]
         bad = self.bad
-        return [(b"".join([ids[w] for w in ws]), sum(w in bad for w in ws) if bad else 0, n) for ws, n in zip(lists, norm)]
+        errors = [sum(w in bad for w in ws) if bad else 0 for ws in lists]
+        differ = [x != n for x, n in zip(self.reference.normalize([t or "" for t in texts]), norm)]
+        if not self.model.byte_fallback:
+            differ = [d or x != i for d, x, i in zip(differ, self.whole(norm, lists), got)]
+        return [(i, e or int(d), n) for i, e, d, n in zip(got, errors, differ, norm)]
+
+    def whole(self, norm: list[str], lists: list[list[str]]) -> list[bytes]:
+        """Ids of normalised texts by the sentencepiece library."""
+        parts = [stretches(n, ws) for n, ws in zip(norm, lists)]
+        got = iter(self.of_normalized.encode([x for p in parts for x in p], num_threads=1))
+        return [b"".join([array("I", next(got)).tobytes() for _ in p]) for p in parts]
 
     def decode_normalized(self, ids: np.ndarray) -> str:
         table = self._bytes

@@ -71,6 +71,65 @@ def test_unigram_model(tmp_path, fallback):
         assert ids == ref.encode(text) and errors == 0, text
 
 
+class Recorder:
+    """The sentencepiece library, and what it was asked."""
+
+    def __init__(self, inner):
+        self.inner, self.asked = inner, set()
+
+    def encode(self, texts, **options):
+        self.asked.update(texts)
+        return self.inner.encode(texts, **options)
+
+
+def test_parity_covers_every_word():
+    c = sp.Coder(PIECES)
+    c.of_normalized = Recorder(c.of_normalized)
+    texts = ["  two  spaces ", "a b", " ", "mark▁▁in ▁"]
+    got = c.encode(texts)
+    assert all(errors == 0 for _, errors, _ in got)
+    assert c.of_normalized.asked >= {w for _, _, n in got for w in c.WORD.findall(n)}
+    # words with several markers, or without one, that come out otherwise are counted
+    c = sp.Coder(PIECES)
+    real = c._inner
+    odd = {"▁▁▁two", "▁▁spaces", "▁"}
+
+    class Other:
+        def encode_batch_fast(self, words, **options):
+            return real.encode_batch_fast([w + "!" if w in odd else w for w in words], **options)
+
+    c._inner = Other()
+    assert [errors for _, errors, _ in c.encode(["  two  spaces ", "two spaces"])] == [3, 0]
+
+
+def test_parity_with_a_character_map(tmp_path):
+    """A model with the library's own map: white space is squeezed, characters are replaced."""
+    docs = [f"the river {i} runs under ½ the ﬁne bridge Ａ{i % 7} and on" for i in range(300)]
+    sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(docs), model_prefix=str(tmp_path / "m"), vocab_size=60, minloglevel=2)
+    c, ref = sp.Coder(str(tmp_path / "m.model")), sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "m.model"))
+    assert c.model.charsmap
+    texts = [*docs[:20], "  the   ﬁne\tbridge ", "", "Ａ Ｂ ½ zzz"]
+    for text, (ids, errors, _) in zip(texts, c.encode(texts)):
+        assert (errors == 0) == (np.frombuffer(ids, dtype="<u4").tolist() == ref.encode(text))
+    # what the library makes of a text is compared, not taken from this module
+    c.normalized = lambda text: "▁the"
+    assert [errors for _, errors, _ in c.encode(["the", "the river"])] == [0, 1]
+
+
+def test_whole_texts_are_compared_without_byte_fallback(tmp_path, monkeypatch):
+    monkeypatch.setattr(sp, "STRETCH", 12)
+    path = tmp_path / "u.model"
+    path.write_bytes(unigram_model(False))
+    c = sp.Coder(str(path))
+    c.of_normalized = Recorder(c.of_normalized)
+    c.model.split_at_marker = True  # as if no piece held two markers
+    texts = ["the and the hand", "the"]
+    assert [errors for _, errors, _ in c.encode(texts)] == [0, 0]
+    assert c.of_normalized.asked >= {"▁the▁and▁the", "▁hand", "▁the"}
+    c.whole = lambda norm, lists: [b""] * len(norm)
+    assert [errors for _, errors, _ in c.encode(texts)] == [1, 1]
+
+
 def test_codec_tables(spark):
     common.prepare(spark)
     docs = awkward_docs(spark)
