@@ -8,7 +8,7 @@ import re
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -175,6 +175,50 @@ class PieceCache:
         return ids
 
 
+class IdTable:
+    """Token ids of distinct pieces, one after another in an array.
+
+    `encode_many(pieces)` returns the ids of all pieces in a row, and how many each has.
+    Beyond `limit` bytes the table drops its newer half: memory stays bounded and the
+    ids are the same.
+    """
+
+    #: Bytes of an entry beside its text and its ids: headers of a string and a number, its share of the dict and of the array.
+    ENTRY = 160
+
+    def __init__(self, encode_many: Callable[[list[str]], tuple[list[int], list[int]]], limit: int = 96_000_000):
+        self._encode, self._limit, self._slots, self._size = encode_many, limit, {}, 0
+        self._ids, self._to = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def ids(self, pieces: list[str], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of pieces[place[0]], pieces[place[1]], ... in a row, how many each has);
+        `pieces` are distinct."""
+        slot = self._places(pieces)[place]
+        n = self._to[slot + 1] - self._to[slot]
+        to = np.cumsum(n)
+        return self._ids[np.repeat(self._to[slot] - (to - n), n) + np.arange(n.sum())], n
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        if self._size > self._limit:
+            # frequent pieces come early: the older half stays
+            half = len(self._slots) // 2
+            self._slots = dict(islice(self._slots.items(), half))
+            self._to = self._to[:half + 1].copy()
+            self._ids = self._ids[:self._to[-1]].copy()
+            self._size //= 2
+        out = np.fromiter(map(self._slots.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            ids, counts = self._encode(new)
+            out[missing] = np.arange(len(self._slots), len(self._slots) + len(new))
+            self._slots.update(zip(new, out[missing].tolist()))
+            self._ids = np.concatenate([self._ids, np.array(ids, dtype="<u4")])
+            self._to = np.concatenate([self._to, self._to[-1] + np.cumsum(counts)])
+            self._size += sum(map(len, new)) + 4 * len(ids) + self.ENTRY * len(new)
+        return out
+
+
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -186,7 +230,10 @@ WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: A character outside those for which lower(), NFC and the classes of WORD_PATTERN are
 #: those of Python's str and re: ASCII but for the separators 1c-1f, and Latin letters.
 NOT_PLAIN = re.compile("[^\x00-\x1b\x20-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]")
-PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\u017f]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\u017f\x09-\x0d\x20]+")
+WHITE = b"\t\n\x0b\x0c\r "
+#: Class of each UTF-8 byte of a plain text in lower case: white space, letter, digit, other.
+#: Beyond ASCII such a text has letters only.
+KIND = bytes(0 if b in WHITE else 1 if b > 127 or chr(b).islower() else 2 if chr(b).isdigit() else 3 for b in range(256))
 
 
 def is_plain(text: str) -> bool:
@@ -195,6 +242,37 @@ def is_plain(text: str) -> bool:
     return not NOT_PLAIN.search(text)
 
 
+def plain_pieces(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(what WORD_PATTERN finds in plain texts of lower case, one text after another;
+    how many pieces there are up to each text's end)."""
+    rows = [t.encode() for t in texts]
+    data = b"\n".join(rows)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    kind = np.frombuffer(data.translate(KIND), dtype=np.uint8)
+    # a piece begins where the class changes, and at each digit
+    begin = kind == 2
+    begin[:1] = True
+    begin[1:] |= kind[1:] != kind[:-1]
+    # an apostrophe that begins a piece takes the ending after it, which ends the piece
+    mark = np.flatnonzero((raw == ord("'")) & begin)
+    after = np.frombuffer(data + b"\n\n", dtype=np.uint8)
+    first, second = after[mark + 1], after[mark + 2]
+    size = np.where(np.isin(first, list(b"stmd")), 1, 0)
+    for ending in (b"re", b"ve", b"ll"):
+        size[(first == ending[0]) & (second == ending[1])] = 2
+    mark, size = mark[size > 0], size[size > 0]
+    begin[mark + 1] = False
+    stop = mark + 1 + size
+    begin[stop[stop < len(raw)]] = True
+    solid = kind != 0
+    begin &= solid
+    text = data.translate(None, WHITE)
+    offsets = np.r_[np.flatnonzero(begin[solid]), len(text)].astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    ends = np.cumsum([len(r) + 1 for r in rows]) - 1
+    return pieces.dictionary_encode(), np.searchsorted(np.flatnonzero(begin), ends)
+
+
 def byte_letters() -> dict[int, int]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
     others for the code points from 256 on, in order."""
@@ -208,7 +286,8 @@ class WordTokenizer:
 
     A tokenizer that drops white space before merging, as the word-level BPE file
     does, gives a text the ids of its pieces one after another; so the library's
-    model merges each distinct piece once.  Texts with characters beyond Latin
+    model merges each distinct piece once, and the pieces of many texts are cut and
+    looked up together.  Texts with characters beyond Latin
     letters go through the whole library tokenizer word by word, and any other kind
     of tokenizer encodes each text as a whole.
     """
@@ -227,16 +306,28 @@ class WordTokenizer:
                         and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space")
                         and not spec.get("post_processor"))
         self._model, self._letters = self.tok.model, byte_letters()
-        self._words, self._pieces = PieceCache(self.whole, 12_000_000), PieceCache(self._of_pieces)
+        self._words, self._pieces = PieceCache(self.whole, 12_000_000), IdTable(self._of_pieces)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids by the library alone."""
         return [packed(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+    def _of_pieces(self, pieces: list[str]) -> tuple[list[int], list[int]]:
         merge, letters = self._model.tokenize, self._letters
-        return [packed([t.id for t in merge(p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters))])
-                for p in pieces]
+        got = [merge(p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters)) for p in pieces]
+        return [t.id for tokens in got for t in tokens], list(map(len, got))
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        pieces, upto = plain_pieces([t.lower() for t in texts])
+        ids, n = self._pieces.ids(pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy())
+        ends = (4 * np.r_[0, np.cumsum(n)][upto]).tolist()
+        data = ids.tobytes()
+        return [data[lo:hi] for lo, hi in zip([0, *ends], ends)]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        lists = [t.replace("\n", " ").split(" ") for t in texts]
+        ids = self._words.load(lists)
+        return [b"".join(map(ids.__getitem__, x)) for x in lists]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (null: none)."""
@@ -246,10 +337,9 @@ class WordTokenizer:
         for lo, hi in chunks(texts):
             part = [t or "" for t in texts[lo:hi]]
             plain = [is_plain(t) for t in part]
-            lists = [PLAIN_PIECES.findall(t.lower()) if ok else t.replace("\n", " ").split(" ") for t, ok in zip(part, plain)]
-            pieces = self._pieces.load([x for x, ok in zip(lists, plain) if ok])
-            words = self._words.load([x for x, ok in zip(lists, plain) if not ok])
-            out += [b"".join(map((pieces if ok else words).__getitem__, x)) for x, ok in zip(lists, plain)]
+            easy = iter(self._plain([t for t, ok in zip(part, plain) if ok]))
+            hard = iter(self._by_words([t for t, ok in zip(part, plain) if not ok]))
+            out += [next(easy if ok else hard) for ok in plain]
         return out
 
 

@@ -50,31 +50,43 @@ DECODED = T.StructType([
     T.StructField("ids", T.BinaryType())])
 
 
-def counted(codes: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes that occur `min_count` times or more, how often), in order."""
-    codes = np.sort(codes)
-    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, dtype=np.int64)
-    count = np.diff(np.r_[first, len(codes)])
+def grouped(left: np.ndarray, right: np.ndarray, top: int, min_count: int, first_slot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs of ids below `top` that occur `min_count` times or more, as codes in order;
+    how often; the slot of each given pair: `first_slot` and on, or 0 where it is rarer)."""
+    bits, room = top.bit_length(), len(left).bit_length()
+    pairs = left.astype(np.int64) << bits | right
+    if 2 * bits + room < 64:  # a pair and its place in one number
+        pairs = np.sort(pairs << room | np.arange(len(pairs)))
+        by_pair, pairs = pairs & ((1 << room) - 1), pairs >> room
+    else:
+        by_pair = np.argsort(pairs)
+        pairs = pairs[by_pair]
+    first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, dtype=np.int64)
+    count = np.diff(np.r_[first, len(pairs)])
     often = count >= min_count
-    return codes[first[often]], count[often]
+    slots = np.zeros(len(pairs), dtype=np.int64)
+    found, n = pairs[first[often]], count[often]
+    slots[by_pair[np.repeat(often, count)]] = np.repeat(np.arange(first_slot, first_slot + len(n)), n)
+    return found >> bits << 32 | found & ((1 << bits) - 1), n, slots
 
 
 def disjoint(codes: np.ndarray, counts: np.ndarray, least: int, room: int) -> np.ndarray:
-    """The most frequent pairs of at least `least` occurrences (at most `room`), none of
-    which ends with an id that another begins with; in order of their codes."""
+    """Places of the most frequent pairs of at least `least` occurrences (at most `room`),
+    none of which ends with an id that another begins with; in order of their codes."""
     often = np.flatnonzero(counts >= least)
     often = often[np.lexsort((codes[often], -counts[often]))]
     lefts, rights, taken = set(), set(), []
-    for c in codes[often].tolist():
-        a, b = c >> 32, c & 0xFFFFFFFF
+    of = codes[often]
+    for k, a, b in zip(often.tolist(), (of >> 32).tolist(), (of & 0xFFFFFFFF).tolist()):
         if a in rights or b in lefts or (a == b and (a in lefts or a in rights)):
             continue
         lefts.add(a)
         rights.add(b)
-        taken.append(c)
+        taken.append(k)
         if len(taken) == room:
             break
-    return np.sort(np.array(taken, dtype=np.int64))
+    places = np.array(taken, dtype=np.int64)
+    return places[np.argsort(codes[places])]
 
 
 class PairIndex:
@@ -116,63 +128,62 @@ def grammar(ids: np.ndarray, ends: np.ndarray, vocabulary: int, min_count: int =
     """(rules, symbols, ends): `ends` marks the last symbol of each document.
 
     Rule r stands for the pair rules[r] and is written as vocabulary + r.  Pairs are
-    counted once; a round then takes the replaced places out of the counts and adds the
-    pairs that its nonterminals make.  A pair is only ever made by its younger symbol, so
-    what is too rare when it is first counted stays so and is not kept.
+    counted once, and each place keeps the slot of the pair that begins there (0: a rare
+    one); a round then takes the replaced places out of the counts and adds the pairs
+    that its nonterminals make.  A pair is only ever made by its younger symbol, so what
+    is too rare when it is first counted stays so and has no slot.  Places are linked
+    inside their document, with `none` beyond either end.
     """
-    seq, ends = ids.astype(np.int32), ends.copy()
+    none = len(ids)
+    seq = np.r_[ids.astype(np.int32), np.int32(-1)]
+    after = np.arange(1, none + 2)
+    after[:-1][ends] = after[-1] = none
+    before = np.arange(-1, none)
+    before[1:][ends] = before[0] = none
+    alive = np.ones(none, dtype=bool)
     rules: list[np.ndarray] = []
     n_rules, room = 0, (1 << 31) - 1 - vocabulary
 
-    def code(at: np.ndarray) -> np.ndarray:
-        return seq[at].astype(np.int64) << 32 | seq[at + 1]
-
-    def ends_of(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which symbols begin a pair, and which end one."""
-        out = np.zeros((2, vocabulary + n_rules), dtype=bool)
-        out[0, pairs >> 32] = out[1, pairs & 0xFFFFFFFF] = True
-        return out[0], out[1]
-
-    codes, counts = counted(code(np.flatnonzero(~ends[:-1])), min_count)
-    while len(codes):
-        order = disjoint(codes, counts, max(min_count, int(counts.max()) // BAND), room - n_rules)
-        is_left, is_right = ends_of(order)
-        at = np.flatnonzero(is_left[seq[:-1]] & ~ends[:-1])
-        at = at[is_right[seq[at + 1]]]
-        hit, slot = PairIndex(order).find(code(at))
-        at = at[hit]
-        # of a run of one id every second pair stays
-        twin = seq[at] == seq[at + 1]
-        if twin.any():
-            same = np.r_[False, (np.diff(at) == 1) & (slot[1:] == slot[:-1]) & twin[1:]]
-            head = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
-            keep = (np.arange(len(at)) - head) % 2 == 0
-            at, slot = at[keep], slot[keep]
+    slot = np.zeros(none + 1, dtype=np.int64)
+    at = np.flatnonzero(~ends)
+    codes, counts, slot[at] = grouped(seq[at], seq[at + 1], vocabulary, min_count, 1)
+    codes, counts = np.r_[-1, codes], np.r_[0, counts]
+    while (most := int(counts.max())) >= min_count:
+        order = disjoint(codes, counts, max(min_count, most // BAND), room - n_rules)
+        number = np.zeros(len(codes), dtype=np.int32)
+        number[order] = vocabulary + n_rules + np.arange(len(order))
+        at = np.flatnonzero((number > 0)[slot])
+        left, right = codes[order] >> 32, codes[order] & 0xFFFFFFFF
+        twins = np.zeros(len(codes), dtype=bool)
+        twins[order[left == right]] = True
+        k = np.flatnonzero(twins[slot[at]])
+        if len(k):
+            # of a run of one id every second pair stays
+            of = at[k]
+            same = np.r_[False, (after[of[:-1]] == of[1:]) & (slot[of[1:]] == slot[of[:-1]])]
+            head = np.maximum.accumulate(np.where(same, 0, np.arange(len(of))))
+            at = np.delete(at, k[(np.arange(len(of)) - head) % 2 == 1])
+        second, prior = after[at], before[at]
+        then = after[second]
         # pairs that go: the places, and their neighbours on either side, each once
-        left = at[np.r_[True, np.diff(at) > 2]] - 1
-        gone = np.concatenate([at, left[left >= 0], at[at + 2 < len(seq)] + 1])
-        _, place = PairIndex(codes).find(code(gone[~ends[gone]]))
-        counts = counts - np.bincount(place, minlength=len(codes))
-        seq[at] = vocabulary + n_rules + slot
-        ends[at] = ends[at + 1]
-        stay = np.ones(len(seq), dtype=bool)
-        stay[at + 1] = False
-        seq, ends = seq[stay], ends[stay]
+        prior = prior[np.r_[True, prior[1:] != second[:-1]]]
+        own = slot[at]
+        counts -= np.bincount(np.concatenate([own, slot[second], slot[prior]]), minlength=len(counts))
+        seq[at] = number[own]
+        after[at], before[then] = then, at
+        slot[second], alive[second] = 0, False
         # pairs that come: a nonterminal and what follows it, or what is before it
-        new = at - np.arange(len(at))
-        left = new[np.r_[True, np.diff(new) > 1]] - 1
-        come = np.concatenate([new[new + 1 < len(seq)], left[left >= 0]])
-        more, n = counted(code(come[~ends[come]]), min_count)
-        often = counts >= min_count
-        codes, counts = np.concatenate([codes[often], more]), np.concatenate([counts[often], n])
-        by_code = np.argsort(codes, kind="stable")
-        codes, counts = codes[by_code], counts[by_code]
-        rules.append(np.stack([order >> 32, order & 0xFFFFFFFF], axis=1))
+        slot[at] = 0
+        come = np.concatenate([at[then != none], prior[prior != none]])
+        rules.append(np.stack([left, right], axis=1))
         n_rules += len(order)
+        more, n, slot[come] = grouped(seq[come], seq[after[come]], vocabulary + n_rules, min_count, len(codes))
+        counts[0] = 0
+        codes, counts = np.concatenate([codes, more]), np.concatenate([counts, n])
         if n_rules == room:
             break
     made = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
-    return made, seq.astype(np.int64), ends
+    return made, seq[:-1][alive].astype(np.int64), (after[:-1] == none)[alive]
 
 
 def pack_symbols(symbols: np.ndarray, width: int) -> bytes:

@@ -1,6 +1,7 @@
 """The grammar goes to its end, its incremental counts are right, and files of any width read back."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -34,6 +35,43 @@ def test_no_frequent_pair_is_left(seed, n, ids):
         assert len(symbols) < len(seq) / 2
 
 
+def recounted(seq, ends, vocabulary):
+    """The same grammar with all pairs counted anew in each round."""
+    seq, ends, rules = seq.astype(np.int64).tolist(), ends.tolist(), []
+    while True:
+        count = Counter(p for p, e in zip(zip(seq, seq[1:]), ends) if not e)
+        often = sorted((-n, p) for p, n in count.items() if n >= rp.MIN_COUNT and n >= max(count.values()) // rp.BAND)
+        if not often:
+            return rules, seq, ends
+        taken, lefts, rights = [], set(), set()
+        for _, (a, b) in often:
+            if a in rights or b in lefts or (a == b and (a in lefts or a in rights)):
+                continue
+            lefts.add(a)
+            rights.add(b)
+            taken.append((a, b))
+        number = {p: vocabulary + len(rules) + k for k, p in enumerate(sorted(taken))}
+        rules += [list(p) for p in sorted(taken)]
+        out, marks, i = [], [], 0
+        while i < len(seq):
+            new = number.get((seq[i], seq[i + 1])) if i + 1 < len(seq) and not ends[i] else None
+            i += new is not None
+            out.append(seq[i] if new is None else new)
+            marks.append(ends[i])
+            i += 1
+        seq, ends = out, marks
+
+
+@pytest.mark.parametrize("seed,n,ids,run", [(11, 3000, 2, 0.8), (12, 4000, 30, 0.2), (13, 4000, 500, 0.0), (14, 400, 1, 0.5), (15, 1, 3, 0.0)])
+def test_rules_are_those_of_a_full_recount(seed, n, ids, run):
+    seq, ends = block(seed, n, ids, run)
+    want = recounted(seq, ends, ids)
+    assert [x.tolist() for x in rp.grammar(seq, ends, ids)] == list(want)
+    # ids too wide for a pair and its place in one number
+    got = rp.grammar(seq + np.uint32(1 << 29), ends, ids + (1 << 29))
+    assert [(got[0] - (1 << 29)).tolist(), (got[1] - (1 << 29)).tolist(), got[2].tolist()] == list(want)
+
+
 def test_pair_index_finds_all_and_nothing_else():
     rng = np.random.default_rng(7)
     codes = np.unique(rng.integers(0, 1 << 40, 5000))

@@ -1,5 +1,7 @@
 """Operators on token ids: SentencePiece codec (1), packing (4), Re-Pair files (6)."""
 
+import random
+import re
 import struct
 import zlib
 
@@ -30,6 +32,45 @@ def test_words_give_the_ids_of_the_whole_text(spark):
     assert got == whole_ids(texts)
 
 
+WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\u017f]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\u017f\x09-\x0d\x20]+")
+
+
+def test_pieces_of_many_texts_are_those_of_the_pattern():
+    rnd = random.Random(5)
+    for _ in range(400):
+        texts = ["".join(rnd.choice("'''strevmld re \n\x0b12.!é\xdf\u017f\x00\x7f") for _ in range(rnd.randint(0, 25))) for _ in range(rnd.randint(0, 4))]
+        got, upto = common.plain_pieces(texts)
+        got, upto = got.to_pylist(), upto.tolist()
+        assert [got[lo:hi] for lo, hi in zip([0, *upto], upto)] == [WORD.findall(t) for t in texts], texts
+
+
+def test_each_distinct_piece_is_looked_up_once():
+    tok, asked = common.WordTokenizer(BPE), []
+    look, tok._pieces._places = tok._pieces._places, lambda pieces: asked.append(pieces) or look(pieces)
+    texts = ["the cat isn't the dog", "", "the dog's 12 cats", "été 漢字 the"] * 50
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in tok.encode(texts)]
+    assert got == whole_ids(texts)
+    assert [sorted(x) for x in asked] == [sorted({w for t in texts[:3] for w in WORD.findall(t)})]
+
+
+def test_a_full_table_of_pieces_stays_bounded_and_right():
+    rnd, asked = random.Random(6), []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        return [ord(c) for p in pieces for c in p], [len(p) for p in pieces]
+
+    table = common.IdTable(encode, limit=20_000)
+    for _ in range(60):
+        pieces = list({"".join(rnd.choices("abcdefgh", k=rnd.randint(0, 4))) for _ in range(40)})
+        place = np.array([rnd.randrange(len(pieces)) for _ in range(rnd.choice([0, 1, 100]))], dtype=np.int64)
+        ids, n = table.ids(pieces, place)
+        assert ids.tolist() == [ord(c) for k in place for c in pieces[k]]
+        assert n.tolist() == [len(pieces[k]) for k in place]
+        assert len(table._slots) == len(table._to) - 1 < 20_000 / common.IdTable.ENTRY + 40
+    assert len(asked) > len(set(asked))
+
+
 # --- 1
 def test_codec_on_odd_texts():
     c, ref = sp.coder(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
